@@ -3,15 +3,16 @@
 The plan keeps every step distributed and every group splittable:
 
 1. one pass over the texts makes a compact sketch of each document: the size of its shingle set, a
-   128-bit key of the whole set, band keys of its SuperMinHash signature, and one bit of each slot;
+   128-bit key of the whole set, and the band keys of its SuperMinHash signature;
 2. documents with equal sets are one class, stood for by their smallest id, so that groups of
    exact copies of any size never meet the band join;
 3. in each band bucket the classes are compared with the bucket's most central class only (the one
    whose band keys are the most shared), which keeps the pairs linear in the bucket; pairs are
    confirmed on full shingle sets;
-4. after a union-find, classes of a bucket that are not yet joined with its centre are compared
-   with the bucket's classes of other components, where the slot bits say that the pair can reach
-   the threshold. So no link between different components is lost for want of a centre;
+4. after a union-find, classes that their centre didn't take in are matched with the centre's other classes, but
+   only pairs whose differences with the centre overlap enough to reach the threshold come out of
+   the join, and are confirmed on full sets. So no link is lost for want of a centre, and near copies that are
+   too far apart among themselves are told so by a bitmap each, not by pairs of texts;
 5. union-find again over all confirmed links.
 
 Union-find runs as large-star and small-star rounds over the table of links: each round is a
@@ -34,10 +35,6 @@ from dyelake.llm.text import NOT_SPACE, Rows, fingerprints, mix, rows_of, shingl
 #: Signature slots, and rows of a band. A pair at similarity 0.85 shares no band with
 #: probability (1 - 0.85**6)**32, 3e-7; one at 0.3 shares some band with probability 0.02.
 SLOTS, BAND_ROWS = 192, 6
-#: Of 192 slot bits, a pair at similarity 0.85 differs in 14.4 on average (deviation 3.7); 40 is
-#: seven deviations above, so the bits rule out next to no true pair.
-MOST_BITS_APART = 40
-
 _U = np.uint64
 
 
@@ -89,7 +86,7 @@ def _sets(part: Rows, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame, width: int, slots: int = SLOTS, band_rows: int = BAND_ROWS) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, bands array, b0, b1, b2) of each row of (doc_id, text).
+    """(doc_id, n_shingles, k1, k2, bands array) of each row of (doc_id, text).
 
     k1 and k2 are equal for equal shingle sets. A row without words has 0 shingles and no bands.
     """
@@ -109,18 +106,16 @@ def sketches(docs: DataFrame, width: int, slots: int = SLOTS, band_rows: int = B
                 sig = super_minhash(hashes, row, n, slots).view(_U)
                 words = mix(sig.reshape(n, slots // band_rows, band_rows) * odd).sum(axis=2, dtype=_U)
                 bands = mix(words + np.arange(slots // band_rows, dtype=_U) * _U(0xD1342543DE82EF95)).view(np.int64)
-                bit = (mix(sig) >> _U(17)) & _U(1)
-                packed = np.packbits(bit.astype(np.uint8), axis=1).view(np.int64)
                 full = size > 0
                 lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(full * bands.shape[1]))).astype(np.int32), bands[full].ravel())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(part.first, n), pa.array(size), pa.array(keys[0]), pa.array(keys[1]), lists, *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(3))],
-                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "b0", "b1", "b2"],
+                    [batch.column("doc_id").slice(part.first, n), pa.array(size), pa.array(keys[0]), pa.array(keys[1]), lists],
+                    names=["doc_id", "n_shingles", "k1", "k2", "bands"],
                 )
 
-    if slots != 192 or slots % band_rows:
-        raise ValueError("the slot bits fill three longs: 192 slots, in bands of equal size")
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, b0 long, b1 long, b2 long")
+    if slots % band_rows:
+        raise ValueError("bands are of equal size")
+    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -137,24 +132,37 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, shingles binary")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full sets have 100 * intersection >= percent * union."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each (a, b) of ``pairs`` on full sets: (a, b, n, apart, linked, delta, lost).
+
+    n is the size of b's set, apart that of the symmetric difference with a's, linked says whether
+    100 * intersection >= percent * union, delta is a bitmap of the difference, of a size that a alone decides, and
+    lost the elements that fell on a set bit of it.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            rows = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 one, two = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                both = np.sort(np.concatenate((one, two)), kind="stable")
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= percent * (len(both) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                odd = np.setxor1d(one, two, assume_unique=True)
+                shared = (len(one) + len(two) - len(odd)) // 2
+                size = 1 << min(16, max(9, int(4 * len(one)).bit_length()))
+                bits = np.zeros(size, np.uint8)
+                bits[(mix(odd) & _U(size - 1)).astype(np.int64)] = 1
+                rows.append((len(two), len(odd), 100 * shared >= percent * (shared + len(odd)), np.packbits(bits, bitorder="little").view(np.int64), len(odd) - int(bits.sum())))
+            n, apart, linked, delta, lost = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+            edges = np.concatenate(([0], np.cumsum([len(d) for d in delta]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(n, pa.int64()), pa.array(apart, pa.int64()), pa.array(linked, pa.bool_()), pa.ListArray.from_arrays(edges, np.concatenate(delta) if delta else np.empty(0, np.int64)), pa.array(lost, pa.int64())],
+                names=["a", "b", "n", "apart", "linked", "delta", "lost"],
+            )
 
     return (
         pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
         .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         .select("a", "b", "x", "y")
-        .mapInArrow(check, "a long, b long")
+        .mapInArrow(check, "a long, b long, n long, apart long, linked boolean, delta array<long>, lost long")
     )
 
 
@@ -193,11 +201,15 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _can_link(percent: int, x: str, y: str) -> Column:
-    """Whether sizes and slot bits leave room for the threshold."""
-    sizes = f"100 * least({x}.n_shingles, {y}.n_shingles) >= {percent} * greatest({x}.n_shingles, {y}.n_shingles)"
-    bits = " + ".join(f"bit_count({x}.b{k} ^ {y}.b{k})" for k in range(3))
-    return F.expr(f"{sizes} AND {bits} <= {MOST_BITS_APART}")
+def _can_link(percent: int) -> Column:
+    """Whether classes x and y of one centre can reach the threshold, from their differences with the centre.
+
+    Two sets' difference has Dx + Dy - 2c elements, with c elements that both differences hold; c is at most
+    the bits that both bitmaps have, and what the bitmap lost. So no pair that links is ruled out.
+    """
+    near = f"{100 + percent} * (%s) <= {100 - percent} * (x.n + y.n)"
+    both = "aggregate(zip_with(x.delta, y.delta, (p, q) -> bit_count(p & q)), 0, (s, v) -> s + v)"
+    return F.expr(f"{near % 'abs(x.apart - y.apart)'} AND {near % f'x.apart + y.apart - 2 * (least(x.lost, y.lost) + {both})'}")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -219,35 +231,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = written(sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
     # A class's representative, once even where a doc_id has several rows.
     reps = sketch.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["k1", "k2", "doc_id"])
-    rows = reps.select("k1", "k2", "doc_id", "n_shingles", "b0", "b1", "b2", F.explode("bands").alias("band"))
+    rows = reps.select("doc_id", F.explode("bands").alias("band"))
     shared = written(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     members = written(rows.join(shared, "band"))
     central = written(members.groupBy("doc_id").agg(F.sum("n").alias("c")))
-    hubs = written(
-        members.join(central, "doc_id").groupBy("band").agg(F.max(F.struct("c", (-F.col("doc_id")).alias("minus"), "n_shingles", "b0", "b1", "b2")).alias("h"))
-        .select("band", (-F.col("h.minus")).alias("doc_id"), "h.n_shingles", "h.b0", "h.b1", "h.b2")
-    )
-    pairs = (
-        members.alias("m").join(hubs.alias("h"), (F.col("m.band") == F.col("h.band")) & (F.col("m.doc_id") != F.col("h.doc_id")) & _can_link(percent, "m", "h"))
-        .select(F.col("h.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct()
+    centres = written(
+        members.select("band", "doc_id").join(central, "doc_id").groupBy("band").agg(F.max(F.struct("c", (-F.col("doc_id")).alias("minus"))).alias("h")).select("band", (-F.col("h.minus")).alias("a"))
     )
+    pairs = members.select("band", F.col("doc_id").alias("b")).join(centres, "band").filter("a != b").select("a", "b").distinct()
     sets = written(full_sets(docs.filter("doc_id IS NOT NULL").join(central.select("doc_id"), "doc_id", "left_semi"), width).dropDuplicates(["doc_id", "shingles"]))
-    links = written(confirmed(pairs, sets, percent))
+    around = written(compared(pairs, sets, percent))
+    links = around.filter("linked").select("a", "b")
     joined = written(components(links))
 
-    # Classes of a bucket that its centre didn't take in, against all other components there.
-    labelled = members.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    labelled = written(labelled.select("band", "doc_id", "n_shingles", "b0", "b1", "b2", "component"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    centre = labelled.join(hubs.select("band", "doc_id"), ["band", "doc_id"], "left_semi").groupBy("band").agg(F.min("component").alias("centre"))
-    open_buckets = written(mixed.join(centre, "band").select("band", "centre"))
-    members2 = written(labelled.join(open_buckets, "band"))
-    loose = members2.filter("component != centre")
+    # Classes that their centre didn't take in, against the centre's other classes of other components.
+    of = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    around = around.join(of("b"), "b", "left").join(of("a"), "a", "left").withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")})
+    around = around.withColumn("loose", F.col("of_a") != F.col("of_b"))
+    open_centres = around.filter("loose").select("a").distinct()
+    around = written(around.join(written(open_centres), "a", "left_semi"))
     more = (
-        loose.alias("m").join(members2.alias("h"), (F.col("m.band") == F.col("h.band")) & (F.col("m.component") != F.col("h.component")) & _can_link(percent, "m", "h"))
-        .select(F.least("m.doc_id", "h.doc_id").alias("a"), F.greatest("m.doc_id", "h.doc_id").alias("b")).distinct()
+        around.filter("loose").alias("x").join(around.alias("y"), (F.col("x.a") == F.col("y.a")) & F.expr("x.of_b != y.of_b AND (NOT y.loose OR x.b < y.b)") & _can_link(percent))
+        .select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
     )
-    links2 = written(confirmed(more, sets, percent))
+    links2 = written(compared(more, sets, percent).filter("linked").select("a", "b"))
     # Rows of one doc_id with different texts are one node: the class ids are linked through it.
     same = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
     joined = components(links.unionByName(links2).unionByName(same))

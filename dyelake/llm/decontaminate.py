@@ -29,7 +29,7 @@ from dyelake.llm.text import ALNUM, fingerprints, rows_of
 
 #: Test text of one block at most, in bytes: what the driver reads and sends to tasks at once.
 BLOCK_BYTES = 32_000_000
-SEGMENT_BYTES = 4_000_000
+SEGMENT_BYTES = 2_000_000
 
 _U = np.uint64
 
@@ -158,7 +158,7 @@ def search(index: DataFrame, tests: Tests, near_span: int = 0) -> DataFrame:
     wanted = index.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"term": terms.view(np.int64)}), "term long")), "term", "left_semi").unionByName(index.filter("term IS NULL"))
 
     def look(rows: pd.DataFrame) -> pd.DataFrame:
-        top = rows["term"].isna().to_numpy()
+        top = rows["top"].to_numpy()
         lists = {int(t): np.frombuffer(p, np.int32) for t, p in zip(rows["term"][~top], rows["postings"][~top], strict=True)}
         directory = np.frombuffer(rows["postings"][top].iloc[0], np.int64).reshape(-1, 4)
         first, count = directory[:, 2], directory[:, 3]
@@ -195,6 +195,8 @@ def search(index: DataFrame, tests: Tests, near_span: int = 0) -> DataFrame:
             "near_items": [sorted(x) for x in near],
         })
 
+    # Through pandas a long column with nulls would lose digits.
+    wanted = wanted.select("segment", F.col("term").isNull().alias("top"), F.coalesce("term", F.lit(0)).alias("term"), "postings")
     return wanted.groupBy("segment").applyInPandas(look, "segment long, slot long, doc_id long, n_words long, covered binary, items array<string>, near_items array<string>")
 
 

@@ -57,7 +57,7 @@ def targets(sized: DataFrame) -> DataFrame:
 
 def lines(sized: DataFrame) -> DataFrame:
     """``sized`` with ``start``: the words of the document's source before it in the permuted line."""
-    held = sized.withColumns({"a": F.substring("key", 1, 2), "b": F.substring("key", 1, 4), "s": F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))})
+    held = sized.withColumns({"a": F.substring("key", 1, 2), "b": F.substring("key", 1, 4), "s": _key()})
     before = lambda of, by, order: F.coalesce(F.sum(of).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     parts = written(held.groupBy("s", "a", "b").agg(F.sum("size").alias("words")))
     wide = parts.groupBy("s", "a").agg(F.sum("words").alias("words"))
@@ -84,7 +84,7 @@ def splitting_tree(quota: DataFrame, shards: int = SHARDS, seed: int = 17) -> Da
     """
     if shards < 1 or shards & (shards - 1):
         raise ValueError("shards is a power of two")
-    ordered = F.sort_array(F.collect_list(F.struct(F.coalesce(F.concat(F.lit("="), "source"), F.lit("~null")).alias("s"), "blocks")))
+    ordered = F.sort_array(F.collect_list(F.struct(_key().alias("s"), "blocks")))
     node = quota.agg(ordered.alias("q")).select(F.col("q.s").alias("names"), F.col("q.blocks").alias("n"), F.lit(0).cast("long").alias("node"))
     for level in range(shards.bit_length() - 1):
         units = F.flatten(F.transform("n", lambda c, i: F.array_repeat(i, c.cast("int"))))
@@ -99,81 +99,68 @@ def splitting_tree(quota: DataFrame, shards: int = SHARDS, seed: int = 17) -> Da
     return rows.withColumn("first_block", first).filter("n_blocks > 0")
 
 
-def _place(line: DataFrame, quota: DataFrame) -> DataFrame:
-    """Documents' lines with their source's quota; a source's row is small, and sources are few."""
-    s = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
-    return line.join(quota.withColumn("s", s).drop("source"), "s", "left")
+def _key(source: str = "source") -> Column:
+    """A source as a join key: null is a source of its own, last in the order of keys."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit("~null"))
 
 
-def taken_words(line: DataFrame, quota: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of lines() rows.
+def taken_pieces(line: DataFrame, quota: DataFrame, drawn: DataFrame) -> DataFrame:
+    """(doc_id, source, size, start, source_size, target, pieces, taken) of lines() rows.
 
-    The mix takes words 0 to target of the line, going round; a document is taken by the part of it that
-    lies in that, so taken is at most MOST_PASSES times its size and a source's sum is its target, rounded.
+    pieces has (shard, words) for each output shard that takes some of the document, once for each pass over the
+    source's line; taken is their sum. Block k of a source ends at word round(k * target / blocks) of its line, going round, so
+    a source's sum is its target, rounded, and taken is at most MOST_PASSES times the size.
     """
-    whole = F.round("target").cast("long")
-    placed = _place(line, quota).withColumn("goal", whole)
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("goal") / F.col("source_size"))).otherwise(0).cast("long")
-    placed = placed.withColumn("passes", passes).withColumn("rest", F.col("goal") - F.col("passes") * F.col("source_size"))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + part).cast("long").alias("taken"), "start")
+    ends = drawn.groupBy("s").agg(F.sort_array(F.collect_list(F.struct((F.col("first_block") + F.col("n_blocks")).alias("end"), "shard"))).alias("ends"))
+    goal = F.round("target").cast("long")
+    # One row a source, with one entry a shard: the stretch of the line that the shard's blocks are.
+    plan = quota.withColumn("s", _key()).join(ends, "s", "left")
+    stretch = F.transform("ends", lambda e: F.struct(F.round(e["end"] * goal / F.col("blocks")).cast("long").alias("to"), e["shard"].alias("shard")))
+    plan = plan.select("s", "source_size", "target", F.coalesce(stretch, F.array().cast("array<struct<to:bigint,shard:int>>")).alias("ends"))
+    held = line.join(plan, "s", "left")
 
+    def of_pass(k: int) -> Column:
+        low = F.col("start") + k * F.col("source_size")
+        high = low + F.col("size")
+        before = lambda i: F.coalesce(F.get("ends", i - 1)["to"], F.lit(0))
+        return F.transform("ends", lambda e, i: F.struct(e["shard"].alias("shard"), (F.least(high, e["to"]) - F.greatest(low, before(i))).alias("words")))
 
-def mix_report(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, n_shards) of each row of ``docs`` (doc_id, text, source).
+    pieces = F.filter(F.concat(*(of_pass(k) for k in range(MOST_PASSES))), lambda x: x["words"] > 0)
+    held = held.withColumn("pieces", pieces)
+    return held.select("doc_id", "source", "size", "start", "source_size", "target", "pieces", F.aggregate("pieces", F.lit(0).cast("long"), lambda s, x: s + x["words"]).alias("taken"))
+
+
+def plan_mix(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, start, source_size, target, pieces, taken) of each row of ``docs`` (doc_id, text, source).
 
     size counts the text's words (runs of characters other than ASCII white space), taken the words that the
-    mix takes of the document, repeats counted; n_shards is the number of output shards that have some of it. A source's taken
+    mix takes of the document, repeats counted, and pieces says how many of them each output shard takes. A source's taken
     words add up to its target, rounded to a word: the one document at the end of its line is taken in part.
 
-    Null and empty texts have size 0 and are taken by 0 words. A null source is a source, the last in
-    order. Documents of one doc_id are placed one by one; equal rows next to each other. An empty table gives an empty
+    Null and empty texts have size 0 and no words are taken of them. A null source is a source, the last in
+    order. Documents of one doc_id are placed one by one, equal rows next to each other. An empty table gives an empty
     one; other columns are ignored. Runs agree: all draws are seeded hashes.
     """
     sized = written(sizes(docs))
     quota = written(quotas(targets(sized)))
-    taken = taken_words(lines(sized), quota)
-    drawn = written(splitting_tree(quota))
-    # Ends of the shards' stretches of each source's line, in words: one short array a source.
-    s = F.coalesce(F.concat(F.lit("="), "source"), F.lit("~null"))
-    ends = drawn.groupBy("s").agg(F.sort_array(F.collect_list(F.col("first_block") + F.col("n_blocks"))).alias("ends"))
-    held = taken.withColumn("s", s).join(ends.join(quota.withColumn("s", s).select("s", F.col("blocks").alias("all_blocks")), "s"), "s", "left")
-    scaled = F.transform("ends", lambda e: e * F.col("target") / F.col("all_blocks"))
-
-    def shards_of(low: Column, high: Column) -> Column:
-        """How many shards' stretches meet words low to high of the line."""
-        return F.when(high > low, 1 + F.size(F.filter(scaled, lambda e: (e > low) & (e < high - 1e-6)))).otherwise(0)
-
-    rounds = F.lit(0)
-    for k in range(MOST_PASSES):
-        low = F.col("start") + F.lit(k) * F.col("source_size")
-        rounds = rounds + shards_of(low, F.least(low + F.col("size"), F.col("target")))
-    return held.select("doc_id", "size", "source_size", "target", "taken", F.coalesce(rounds, F.lit(0)).cast("long").alias("n_shards"))
+    return taken_pieces(lines(sized), quota, written(splitting_tree(quota)))
 
 
 def mixed(docs: DataFrame, salts: int = 8) -> DataFrame:
     """The rows of ``docs`` as the mix takes them, with ``docs``' columns: whole documents, repeated up to MOST_PASSES times.
 
     A document at the end of its source's line is taken once more if its middle lies in the target. Documents
-    without words weigh nothing and are taken once. A copy goes to the output shard that drew the block in which it starts;
-    each shard is dealt to ``salts`` tasks and every task's rows are shuffled by a seeded hash.
+    without words weigh nothing and are taken once. A copy goes to an output shard that drew words of the document; each shard is dealt to ``salts`` tasks and every task's rows are shuffled by a seeded hash.
 
     Rows that agree in doc_id, source and size are taken alike, as the first of them in the line. Other cases
-    as in mix_report().
+    as in plan_mix().
     """
-    slim = written(sizes(docs))
-    quota = written(quotas(targets(slim)))
-    taken = taken_words(lines(slim), quota)
-    copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
-    s = F.coalesce(F.concat(F.lit("="), "source"), F.lit("~null"))
-    ends = written(splitting_tree(quota)).groupBy("s").agg(F.sort_array(F.collect_list(F.struct((F.col("first_block") + F.col("n_blocks")).alias("end"), "shard"))).alias("ends"))
-    plan = quota.withColumn("s", s).join(ends, "s").select("source", F.col("blocks").alias("all_blocks"), "ends")
-    chosen = taken.groupBy("doc_id", "source", "size").agg(F.min(F.struct("start", copies.alias("copies"))).alias("c"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-    chosen = chosen.join(plan, chosen["source"].eqNullSafe(plan["source"]), "left").drop(plan["source"])
-    at = lambda k: (F.col("c.start") + k * F.col("source_size")) * F.col("all_blocks") / F.col("target")
-    shard = lambda k: F.coalesce(F.filter("ends", lambda e: e["end"] > at(k))[0]["shard"], F.element_at("ends", -1)["shard"], F.lit(0))
-    chosen = chosen.select("doc_id", "source", "size", F.expr("CASE WHEN c.copies > 0 THEN sequence(0, c.copies - 1) END").alias("ks"), "c", "source_size", "target", "all_blocks", "ends")
-    chosen = chosen.filter("ks IS NOT NULL").select("doc_id", "source", "size", F.transform("ks", shard).alias("shards"))
+    taken = plan_mix(docs)
+    first = taken.groupBy("doc_id", "source", "size").agg(F.min(F.struct("start", "taken", "pieces")).alias("c"))
+    copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("c.taken") / F.col("size") + 0.5)).cast("int")
+    # A copy goes where a piece of the document goes: the first copy with the first piece, the next with the last.
+    shard = lambda k: F.coalesce(F.get("c.pieces", F.when(k == 0, 0).otherwise(F.size("c.pieces") - 1))["shard"], F.lit(0))
+    chosen = first.withColumn("copies", copies).filter("copies > 0").select("doc_id", "source", "size", F.transform(F.sequence(F.lit(0), F.col("copies") - 1), shard).alias("shards"))
     columns = docs.columns
     whole = docs.withColumn("size of the mix", F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")).alias("x")
     match = F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & F.col("x.source").eqNullSafe(F.col("y.source")) & (F.col("x.size of the mix") == F.col("y.size"))

@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dyelake.llm import chat, language_id, pii
+from dyelake.llm import chat, language_id, pii, sql
 from dyelake.llm.decontaminate import contamination
-from dyelake.llm.mixing import mix_report
+from dyelake.llm.mixing import plan_mix
 from dyelake.llm.near_dedup import near_duplicates
 from dyelake.llm.quality_model import quality_scores
 from dyelake.llm.quality_rules import quality_rules
@@ -24,7 +24,7 @@ TOKENIZERS = os.environ.get("DYELAKE_TOKENIZERS", "/opt/tokenizers")
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
-    return mix_report(table(spark, sf_dir, "documents"))
+    return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,4 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_mix_sources": sql.OP1,
+    "op2_chat_format": sql.OP2,
+    "op6_minhash_near_dedup": sql.OP6,
+    "op9_benchmark_decontamination": sql.OP9,
+}

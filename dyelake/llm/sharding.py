@@ -13,6 +13,7 @@ parts them; only where one text's copies alone outweigh what a cut may miss are
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,9 @@ DIMENSIONS = {
 }
 
 
+FIELDS = [*DIMENSIONS, "tie"]
+
+
 @dataclass
 class Node:
     """shards first .. first + count - 1; split on ``dim`` at ``at``: left if below, or equal and tie < tie_at."""
@@ -42,12 +46,29 @@ class Node:
     left: Node | None = None
     right: Node | None = None
 
-    def choose(self, leaf) -> Column:
-        """An expression of leaf(node) over the documents' columns."""
-        if self.left is None:
-            return leaf(self)
-        below = (F.col(self.dim) < F.lit(self.at)) | ((F.col(self.dim) == F.lit(self.at)) & (F.col("tie") < F.lit(self.tie_at)))
-        return F.when(below, self.left.choose(leaf)).otherwise(self.right.choose(leaf))
+
+def _pick(values: list, at: Column) -> Column:
+    """values[at], of a constant array."""
+    return F.get(F.array(*map(F.lit, values)), at)
+
+
+def leaf_of(root: Node, number: Callable[[Node], int]) -> Column:
+    """The number of each document's leaf: a walk down the tree, which lies in constant arrays."""
+    nodes = [root]
+    for n in nodes:
+        if n.left is not None:
+            nodes += [n.left, n.right]
+    index = {id(n): i for i, n in enumerate(nodes)}
+    depth = max(1, len(nodes).bit_length() + 1)
+    dims = F.array(*map(F.col, FIELDS))
+
+    def step(at: Column, _: Column) -> Column:
+        value, edge = F.get(dims, _pick([FIELDS.index(n.dim or "d0") for n in nodes], at)), _pick([n.at for n in nodes], at)
+        below = (value < edge) | ((value == edge) & (F.col("tie") < _pick([n.tie_at for n in nodes], at)))
+        down = F.when(below, _pick([index[id(n.left or n)] for n in nodes], at)).otherwise(_pick([index[id(n.right or n)] for n in nodes], at))
+        return down
+
+    return _pick([number(n) for n in nodes], F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step))
 
 
 def points(docs: DataFrame) -> DataFrame:
@@ -56,80 +77,107 @@ def points(docs: DataFrame) -> DataFrame:
     base = base.withColumns({"bytes": F.coalesce("b", F.lit(0)).cast("long"), "chars": F.coalesce("c", F.lit(0)).cast("long")})
     base = base.withColumn("size", F.col("bytes") + 16).withColumn("crc", F.coalesce("text_crc32", F.lit(0)))
     dims = {k: F.expr(v).cast("double") for k, v in DIMENSIONS.items()}
-    return base.withColumns(dims).select("doc_id", "size", "text_crc32", (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)).alias("tie"), *DIMENSIONS)
+    # Equal values go by text first, so that copies stay together, and by doc_id among copies.
+    tie = (F.col("crc") + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)) / float(1 << 32)
+    return base.withColumns(dims).select("doc_id", "size", "text_crc32", tie.alias("tie"), *DIMENSIONS)
 
 
 @dataclass
 class _Search:
-    """Where a node's cut may lie: values of ``field`` in [low, high], with ``before`` bytes below low."""
+    """Where a cut of ``node`` along ``dim`` may lie: values of ``field`` in [low, high], ``before`` bytes below low.
+
+    field is the dimension itself or, within its one value ``at``, the order of texts and doc_ids. In the end
+    the cut is at (at, tie_at) and misses its goal by ``miss`` bytes.
+    """
 
     node: Node
     total: int
-    field: str = ""
-    low: float = 0.0
-    high: float = 0.0
+    dim: str
+    field: str
+    low: float
+    high: float
     before: int = 0
-    within: str = "true"
+    at: float = 0.0
+    tie_at: float = float("-inf")
+    miss: float = float("inf")
+
+    def narrow(self, bins: list, most_left: float) -> bool:
+        """Takes the sums of bins, in order; whether the search goes on."""
+        goal, total = self.total * (self.node.count // 2) / self.node.count, self.before
+        for k, r in enumerate(bins):
+            if total + r["size"] < goal and k + 1 < len(bins):
+                total += r["size"]
+                continue
+            # The goal lies in this bin: cut before it, after it, or look into it.
+            under, over = goal - total, total + r["size"] - goal
+            if min(under, over) > most_left and not (r["low"] == r["high"] and self.field == "tie"):
+                self.before = total
+                if r["low"] == r["high"]:
+                    # One value outweighs what may be missed: it is cut by the order of its texts, then of doc_ids.
+                    self.at, self.field, self.low, self.high = r["low"], "tie", 0.0, 1.0
+                else:
+                    self.low, self.high = r["low"], r["high"]
+                return True
+            self.miss = min(abs(under), abs(over))
+            last = over < under and k + 1 == len(bins)
+            edge = r["low"] if over >= under else float("inf") if last else bins[k + 1]["low"]
+            if self.field == "tie":
+                self.tie_at = edge
+            elif last:
+                # Everything up to and with the last value looked at.
+                self.at, self.tie_at = r["high"], edge
+            else:
+                self.at = edge
+            break
+        return False
+
+
+def _run(seen: DataFrame, root: Node, searches: list[_Search], most_left: float) -> None:
+    """Carries on the searches, of different nodes, until each has its cut."""
+    going = searches
+    while going:
+        index = {id(s.node): i for i, s in enumerate(going)}
+        g, fields = F.col("g"), F.array(*map(F.col, FIELDS))
+        value = F.get(fields, _pick([FIELDS.index(s.field) for s in going], g))
+        low, high = _pick([s.low for s in going], g), _pick([s.high for s in going], g)
+        width = _pick([max(s.high - s.low, 5e-324) for s in going], g)
+        # A search within one value looks at that value only.
+        own = F.get(fields, _pick([FIELDS.index(s.dim) for s in going], g))
+        alone = ~_pick([s.field == "tie" for s in going], g) | (own == _pick([s.at for s in going], g))
+        sums = (
+            seen.withColumn("g", leaf_of(root, lambda n: index.get(id(n), -1)))  # noqa: B023
+            .filter("g >= 0").withColumn("value", value).filter(alone & (F.col("value") >= low) & (F.col("value") <= high))
+            .withColumn("bin", F.least(F.lit(BINS - 1), F.floor((F.col("value") - low) / width * BINS)).cast("int"))
+            .groupBy("g", "bin").agg(F.sum("size").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
+        )
+        bins: list[list] = [[] for _ in going]
+        for r in sorted(sums, key=lambda r: r["bin"]):
+            bins[r["g"]].append(r)
+        going = [s for s, own in zip(going, bins, strict=True) if s.narrow(own, most_left)]
 
 
 def _level(seen: DataFrame, root: Node, nodes: list[Node], most_left: float) -> None:
-    """Splits ``nodes``, leaves of the tree so far."""
+    """Splits ``nodes``, leaves of the tree so far, along the widest dimension; where documents are so few that its
+    best cut misses by much more than ``most_left``, along the one that misses least."""
     number = {id(n): i for i, n in enumerate(nodes)}
-    at = root.choose(lambda n: F.lit(number.get(id(n), -1)))
-    held = seen.withColumn("node", at).filter("node >= 0")
+    held = seen.withColumn("node", leaf_of(root, lambda n: number.get(id(n), -1))).filter("node >= 0")
     aggs = [f(d).alias(f"{n}_{d}") for d in DIMENSIONS for f, n in ((F.min, "min"), (F.max, "max"), (F.stddev_pop, "std"))]
-    searches = []
-    for r in held.groupBy("node").agg(F.sum("size").alias("total"), *aggs).collect():
-        dim = max(DIMENSIONS, key=lambda d: (r[f"std_{d}"] or 0.0, d))
-        searches.append(_Search(nodes[r["node"]], r["total"], dim, r[f"min_{dim}"], r[f"max_{dim}"]))
-        nodes[r["node"]].dim = dim
-    going = searches
-    while going:
-        index = {id(s.node): i for i, s in enumerate(going)}
-        own = root.choose(lambda n: F.lit(index.get(id(n), -1)))  # noqa: B023
-        inside, bin_of = F.lit(False), F.lit(0)
-        for i, s in enumerate(going):
-            here, value = F.col("g") == i, F.col(s.field)
-            inside = F.when(here, F.expr(s.within) & (value >= s.low) & (value <= s.high)).otherwise(inside)
-            bin_of = F.when(here, F.least(F.lit(BINS - 1), F.floor((value - s.low) / max(s.high - s.low, 5e-324) * BINS))).otherwise(bin_of)
-        value = F.lit(0.0)
-        for i, s in enumerate(going):
-            value = F.when(F.col("g") == i, F.col(s.field)).otherwise(value)
-        rows = (
-            seen.withColumn("g", own).filter("g >= 0").filter(inside).withColumn("bin", bin_of.cast("int")).withColumn("value", value)
-            .groupBy("g", "bin").agg(F.sum("size").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
-        )
-        left_open = []
-        for i, s in enumerate(going):
-            goal = s.total * (s.node.count // 2) / s.node.count
-            total = s.before
-            mine = sorted((r for r in rows if r["g"] == i), key=lambda r: r["bin"])
-            for k, r in enumerate(mine):
-                if total + r["size"] < goal and k + 1 < len(mine):
-                    total += r["size"]
-                    continue
-                # The quantile lies in this bin: cut before it, after it, or look into it.
-                miss = min(goal - total, total + r["size"] - goal)
-                after = goal - total > total + r["size"] - goal
-                if miss <= most_left or (r["low"] == r["high"] and s.field == "tie"):
-                    edge = (mine[k + 1]["low"] if k + 1 < len(mine) else float("inf")) if after else r["low"]
-                    if s.field == "tie":
-                        s.node.tie_at = edge
-                    else:
-                        s.node.at, s.node.tie_at = edge, float("-inf")
-                        if edge == float("inf"):
-                            # Beyond the last value looked at: everything up to and with it.
-                            s.node.at, s.node.tie_at = r["high"], float("inf")
-                elif r["low"] == r["high"]:
-                    # One point outweighs what may be missed: its copies are dealt out by doc_id.
-                    s.node.at = r["low"]
-                    left_open.append(_Search(s.node, s.total, "tie", 0.0, 1.0, total, f"{s.field} = {r['low']!r}D"))
-                else:
-                    left_open.append(_Search(s.node, s.total, s.field, r["low"], r["high"], total, s.within))
-                break
-        going = left_open
-    for s in searches:
+    best: dict[int, _Search] = {}
+    ranges = held.groupBy("node").agg(F.sum("size").alias("total"), *aggs).collect()
+    for turn in range(len(DIMENSIONS)):
+        tries = []
+        for r in ranges:
+            dim = sorted(DIMENSIONS, key=lambda d: (-(r[f"std_{d}"] or 0.0), d))[turn]  # noqa: B023
+            if turn == 0 or best[r["node"]].miss > 5 * most_left:
+                tries.append(_Search(nodes[r["node"]], r["total"], dim, dim, r[f"min_{dim}"], r[f"max_{dim}"]))
+        _run(seen, root, tries, most_left)
+        for s in tries:
+            i = number[id(s.node)]
+            if i not in best or s.miss < best[i].miss:
+                best[i] = s
+    for s in best.values():
         n, half = s.node, s.node.count // 2
+        n.dim, n.at, n.tie_at = s.dim, s.at, s.tie_at
         n.left, n.right = Node(n.first, half), Node(n.first + half, n.count - half)
 
 
@@ -157,7 +205,7 @@ def kd_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     """
     seen = written(points(docs))
     root = kd_tree(seen, shards)
-    placed = seen.select("doc_id", "size", "text_crc32", root.choose(lambda n: F.lit(n.first)).alias("shard"), F.floor(F.col("tie") * 4096).alias("part"))
+    placed = seen.select("doc_id", "size", "text_crc32", leaf_of(root, lambda n: n.first).alias("shard"), F.pmod(F.xxhash64("doc_id", "size"), F.lit(4096)).alias("part"))
     counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     offset = counts.withColumn("from", F.coalesce(F.sum("n").over(W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
     own = F.row_number().over(W.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")) - 1

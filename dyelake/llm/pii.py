@@ -207,10 +207,11 @@ def personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
 def digest(found: DataFrame) -> DataFrame:
     """Counts by kind of base spans, their digest, and all spans as text, of personal_data() rows."""
     base = F.filter("spans", lambda x: x["base"])
+    number = lambda kind: F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long")
     text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     return found.select(
         "doc_id",
-        *(F.size(F.filter("spans", lambda x, k=k: x["base"] & (x["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS),
+        *(number(k).alias(f"n_{k}") for k in KINDS),
         F.sha2(text(base), 256).alias("base_sha256"),
         text(F.col("spans")).alias("spans"),
     )

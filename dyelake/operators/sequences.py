@@ -55,37 +55,34 @@ def aa_join(tokens: Column, every: int = 0) -> Column:
     return F.when(F.size(tokens) > 0, F.array_join(parts, " ")).otherwise("")
 
 
-def cuts(tokens: Column, proteases: list[str]) -> Column:
-    """Places before which the proteases cut, counted from 0, in order; never the start. Any protease's cut counts."""
-    base = F.transform(tokens, lambda t: F.substring(t, 1, 1))
-
-    def fits(i: Column, before: list[str], after: list[str]) -> Column:
-        at = [(-len(before) + k, r) for k, r in enumerate(before)] + list(enumerate(after))
-        ok = F.lit(True)
-        for offset, residues in at:
-            if residues:
-                ok = ok & F.coalesce(F.get(base, i + offset).isin(*residues), F.lit(False))
-        return ok
-
-    def cut(i: Column) -> Column:
-        out = F.lit(False)
-        for p in proteases:
-            verdict = F.lit(False)
-            for keep, before, after in PROTEASES[p]:
-                verdict = F.when(fits(i, before, after), F.lit(keep)).otherwise(verdict)
-            out = out | verdict
-        return out
-
-    return F.when(F.size(tokens) > 1, F.filter(F.sequence(F.lit(1), F.size(tokens) - 1), cut)).otherwise(F.array().cast("array<int>"))
-
-
-def cleave(tokens: Column, proteases: list[str]) -> Column:
-    """(pep_start, pep_stop, tokens) of each peptide between cuts; without proteases the whole sequence."""
-    edges = F.array_distinct(F.concat(F.array(F.lit(0)), cuts(tokens, proteases) if proteases else F.array().cast("array<int>"), F.array(F.size(tokens))))
-    return F.transform(
-        F.slice(edges, 1, F.size(edges) - 1),
-        lambda a, i: F.struct(a.alias("pep_start"), F.get(edges, i + 1).alias("pep_stop"), F.slice(tokens, a + 1, F.get(edges, i + 1) - a).alias("tokens")),
-    )
+def cut_pattern(proteases: list[str]) -> str:
+    """A pattern that matches, without width, at each cut of any of the proteases in a string of residue letters."""
+
+    def place(before: list[str], after: list[str]) -> str:
+        left, right = ("".join(f"[{r}]" if r else "." for r in side) for side in (before, after))
+        return (f"(?<={left})" if left else "") + (f"(?={right})" if right else "")
+
+    out = []
+    for p in proteases:
+        rules = PROTEASES[p]
+        for i, (keep, before, after) in enumerate(rules):
+            if keep:
+                # A later rule that fits here and doesn't cut wins, unless a still later one cuts: that has its own alternative.
+                out.append(place(before, after) + "".join(f"(?!{place(b, a)})" for k, b, a in rules[i + 1 :] if not k))
+    return "(?!^)(?!$)(?:" + "|".join(out) + ")"
+
+
+def cleave(pros: DataFrame, key: str, sequence: str, proteases: list[str]) -> DataFrame:
+    """(key, pep_start, pep_stop, seqstr) of each peptide between cuts of ``pros`` (key, sequence); each key is one row.
+
+    Any protease's cut counts; without proteases the whole sequence is one peptide. Sequences are plain residue letters, as
+    they are before modified forms are made. A protein is split in one scan, whatever its length, and peptides' places are running
+    sums of their lengths.
+    """
+    parts = F.split(sequence, cut_pattern(proteases)) if proteases else F.array(sequence)
+    rows = pros.filter(F.length(sequence) > 0).select(key, F.posexplode(parts).alias("n", "seqstr")).filter("seqstr != ''")
+    stop = F.sum(F.length("seqstr")).over(W.partitionBy(key).orderBy("n")).cast("int")
+    return rows.select(key, (stop - F.length("seqstr")).cast("int").alias("pep_start"), stop.alias("pep_stop"), "seqstr")
 
 
 def reversed_ptm_locs(locs: Column, length: Column) -> Column:

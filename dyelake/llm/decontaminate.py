@@ -29,7 +29,7 @@ from dyelake.llm.text import ALNUM, fingerprints, rows_of
 
 #: Test text of one block at most, in bytes: what the driver reads and sends to tasks at once.
 BLOCK_BYTES = 32_000_000
-SEGMENT_BYTES = 2_000_000
+SEGMENT_BYTES = 4_000_000
 
 _U = np.uint64
 
@@ -66,7 +66,7 @@ def positional_index(docs: DataFrame, terms: np.ndarray | None = None, gap: int
                 order = np.argsort(hashes, kind="stable")
                 hashes, place = hashes[order], place[order].astype(np.int32)
                 heads = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))) if len(hashes) else np.empty(0, np.int64)
-                tails = np.append(heads[1:], len(hashes))
+                tails = np.append(heads[1:], len(hashes))[: len(heads)]
                 lists = [directory.tobytes(), *(place[a:b].tobytes() for a, b in zip(heads, tails, strict=True))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(lists), segment)), pa.array([None, *hashes[heads].view(np.int64)], pa.int64()), pa.array([len(part), *(tails - heads)], pa.int64()), pa.array(lists, pa.binary())],
@@ -104,36 +104,41 @@ def test_windows(rows: list, width: int) -> Tests:
     return Tests([np.frombuffer(k, _U) for k in found], [sorted(v) for v in found.values()])
 
 
-def _matches(lists: dict[int, np.ndarray], window: np.ndarray, rarest_first: np.ndarray) -> np.ndarray:
-    """Positions at which the window's words stand in a row."""
-    at = None
-    for k in rarest_first:
-        own = lists.get(int(window[k]))
-        if own is None:
-            return np.empty(0, np.int64)
-        if at is None:
-            at = own.astype(np.int64) - k
-        else:
-            i = np.minimum(np.searchsorted(own, at + k), len(own) - 1)
-            at = at[own[i] == at + k]
+def _close(lists: dict[int, np.ndarray], order: list[tuple[int, int]], span: int) -> np.ndarray:
+    """Positions of the rarest term around which every other term has a posting fewer than ``span`` words away."""
+    at = lists[order[0][1]].astype(np.int64)
+    for _, term in order[1:]:
+        own = lists[term]
+        i = np.searchsorted(own, at - (span - 1))
+        at = at[(i < len(own)) & (own[np.minimum(i, len(own) - 1)] < at + span)]
         if not len(at):
-            return at
+            break
     return at
 
 
-def _near(lists: dict[int, np.ndarray], window: np.ndarray, rarest: int, span: int) -> np.ndarray:
-    """Positions of the rarest term that lie in some run of ``span`` words with all the window's terms."""
-    own = lists[int(window[rarest])].astype(np.int64)
-    others = [lists[int(t)] for t in set(window.tolist())]
-    ok = np.zeros(len(own), bool)
-    for shift in range(span):
-        low = own - shift
-        every = np.ones(len(own), bool)
-        for x in others:
-            i = np.searchsorted(x, low)
-            every &= (i < len(x)) & (x[np.minimum(i, len(x) - 1)] < low + span)
-        ok |= every
-    return own[ok]
+def _exact(lists: dict[int, np.ndarray], order: list[tuple[int, int]], at: np.ndarray) -> np.ndarray:
+    """Starts of the window's words in a row, from positions of the rarest term moved back by its offset."""
+    at = at - order[0][0]
+    for k, term in order[1:]:
+        if not len(at):
+            break
+        own = lists[term]
+        at = at[own[np.minimum(np.searchsorted(own, at + k), len(own) - 1)] == at + k]
+    return at
+
+
+def _near(lists: dict[int, np.ndarray], terms: set[int], at: np.ndarray, span: int) -> np.ndarray:
+    """Those of the positions that lie in some run of ``span`` words with all the terms."""
+    place = at[:, None] + np.arange(1 - span, span)
+    # Bit j of a place around a position: it holds term j.
+    held = np.zeros(place.shape, np.int64)
+    for j, t in enumerate(terms):
+        own = lists[t]
+        held |= (own[np.minimum(np.searchsorted(own, place), len(own) - 1)] == place).astype(np.int64) << j
+    ok = np.zeros(len(at), bool)
+    for low in range(span):
+        ok |= np.bitwise_or.reduce(held[:, low : low + span], axis=1) == (1 << len(terms)) - 1
+    return at[ok]
 
 
 def search(index: DataFrame, tests: Tests, near_span: int = 0) -> DataFrame:
@@ -150,10 +155,9 @@ def search(index: DataFrame, tests: Tests, near_span: int = 0) -> DataFrame:
         F.broadcast(spark.createDataFrame(pd.DataFrame({"term": terms.view(np.int64)}), "term long")), "term", "left_semi").collect()}
     windows = []
     for w, items in zip(tests.windows, tests.items, strict=True):
-        signed = w.view(np.int64)
-        often = np.array([counts.get(int(t), 0) for t in signed])
-        if often.all():  # a term that no document has rules the window out
-            windows.append((signed, np.argsort(often, kind="stable"), items))
+        signed = w.view(np.int64).tolist()
+        if all(t in counts for t in signed):  # a term that no document has rules the window out
+            windows.append((sorted(enumerate(signed), key=lambda x: (counts[x[1]], x[0])), items))  # noqa: B023
     held = spark.sparkContext.broadcast(windows)
     wanted = index.join(F.broadcast(spark.createDataFrame(pd.DataFrame({"term": terms.view(np.int64)}), "term long")), "term", "left_semi").unionByName(index.filter("term IS NULL"))
 
@@ -167,18 +171,21 @@ def search(index: DataFrame, tests: Tests, near_span: int = 0) -> DataFrame:
         items: list[set] = [set() for _ in directory]
         near: list[set] = [set() for _ in directory]
         doc_of = lambda at: np.searchsorted(first, at, "right") - 1
-        for window, order, ids in held.value:
-            if int(window[order[0]]) not in lists:
+        for order, ids in held.value:
+            if not all(t in lists for _, t in order):
                 continue
-            at = _matches(lists, window, order)
+            at = _close(lists, order, max(near_span, len(order)))
+            if not len(at):
+                continue
+            if near_span:
+                for d in np.unique(doc_of(_near(lists, {t for _, t in order}, at, near_span))):
+                    near[d].update(ids)
+            at = _exact(lists, order, at)
             np.add.at(edge, at, 1)
-            np.add.at(edge, at + len(window), -1)
+            np.add.at(edge, at + len(order), -1)
             for d in np.unique(doc_of(at)):
                 items[d].update(ids)
                 near[d].update(ids)
-            if near_span and all(int(t) in lists for t in window):
-                for d in np.unique(doc_of(_near(lists, window, order[0], near_span))):
-                    near[d].update(ids)
         inside = np.concatenate(([0], (np.cumsum(edge[:-1]) > 0).astype(np.int8), [0]))
         turn = np.diff(inside)
         starts, ends = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)

@@ -31,7 +31,7 @@ VIEWS = {
     # One peak per order, one cycle per line of it.
     "radmat": """SELECT CAST(l_orderkey AS INT) AS peak_i, 0 AS channel_i,
         CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) - 1 AS INT) AS cycle_i,
-        CAST(l_orderkey % 20 AS INT) AS field_i, floor(l_extendedprice) AS signal, l_quantity AS noise, 1 + floor(abs(l_discount) * 100 + 0.5) / 20 AS aspect_ratio FROM lineitem""",
+        CAST(l_orderkey % 20 AS INT) AS field_i, CAST(floor(l_extendedprice) AS DOUBLE) AS signal, l_quantity AS noise, 1 + floor(abs(l_discount) * 100 + 0.5) / 20 AS aspect_ratio FROM lineitem""",
     "peaks": """SELECT CAST(o_orderkey AS INT) AS peak_i, CAST(o_orderkey % 20 AS INT) AS field_i, CAST(floor(o_orderkey / 20) AS INT) AS field_peak_i,
         CAST(o_custkey % 512 AS DOUBLE) AS aln_x, CAST(floor(o_totalprice) % 512 AS DOUBLE) AS aln_y FROM orders""",
     "fields": """SELECT DISTINCT CAST(l_orderkey % 20 AS INT) AS field_i, 0 AS channel_i, CAST(l_linenumber - 1 AS INT) AS cycle_i,

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from dyelake.functions.numbers import ratio
 
-PEAK = W.partitionBy("peak_i", "channel_i").orderBy("cycle_i")
+
+def _peak():
+    """A peak's cycles in order."""
+    return W.partitionBy("peak_i", "channel_i").orderBy("cycle_i")
 
 
 def to_long(dense: DataFrame) -> DataFrame:
@@ -40,7 +43,7 @@ def filter_peaks(
     on_through: above ``dark`` in cycles 0 to that one, inclusive; off_at: not above it from that cycle on; monotonic: no rise from a cycle to the
     next of more than that part of the peak's mean; cycle_0 and any_cycle_max bound signals, aspect_ratio every cycle's ratio.
     """
-    rise = F.col("signal") - F.lag("signal").over(PEAK)
+    rise = F.col("signal") - F.lag("signal").over(_peak())
     rows = radmat.withColumn("rise", rise)
     on = F.col("signal") > F.lit(dark if dark is not None else 0.0)
     tests: list[Column] = []
@@ -95,14 +98,14 @@ def n_peaks(peaks: DataFrame) -> DataFrame:
 
 def lifespan(radmat: DataFrame) -> DataFrame:
     """(peak_i, channel_i, lifespan): the length L of the step that fits the signals best in angle: the greatest sum of the first L over sqrt(L), the first if equal."""
-    run = F.sum("signal").over(PEAK) / F.sqrt(F.col("cycle_i") + 1)
+    run = F.sum("signal").over(_peak()) / F.sqrt(F.col("cycle_i") + 1)
     scored = radmat.select("peak_i", "channel_i", (F.col("cycle_i") + 1).alias("length"), run.alias("fit"))
     return scored.groupBy("peak_i", "channel_i").agg(F.max(F.struct("fit", (-F.col("length")).alias("minus"))).alias("b")).select("peak_i", "channel_i", (-F.col("b.minus")).alias("lifespan"))
 
 
 def monotonic_metric(radmat: DataFrame, spans: DataFrame) -> DataFrame:
     """(peak_i, channel_i, metric): the greatest rise within the lifespan over the mean there; null where there is no second cycle."""
-    live = radmat.join(spans, ["peak_i", "channel_i"]).filter("cycle_i < lifespan").withColumn("rise", F.col("signal") - F.lag("signal").over(PEAK))
+    live = radmat.join(spans, ["peak_i", "channel_i"]).filter("cycle_i < lifespan").withColumn("rise", F.col("signal") - F.lag("signal").over(_peak()))
     return live.groupBy("peak_i", "channel_i").agg((F.max("rise") / F.avg("signal")).alias("metric"))
 
 

@@ -211,3 +211,46 @@ def crowding(peaks: DataFrame, keep: float = 8.0) -> DataFrame:
     close = (F.col("field_i") == F.col("f")) & (F.col("cx") == F.col("gx")) & (F.col("cy") == F.col("gy")) & (d2 > 0) & (d2 < keep * keep)
     hit = own.join(other, close, "left_semi").select("peak_i").distinct().withColumn("crowded", F.lit(True))
     return own.select("peak_i").join(hit, "peak_i", "left").na.fill(False, ["crowded"])
+
+
+def peaks_fits(peaks: DataFrame, fits: DataFrame) -> DataFrame:
+    """Peaks with their Gaussian fit by field and number in the field; peaks without one stay."""
+    return peaks.join(fits, ["field_i", "field_peak_i"], "left")
+
+
+def sigcalls(radmat: DataFrame, calls: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Radmat rows with their peak's call (dyetrack 0 where there is none) and the called track's count (dyt_i, cycle_i, count) in that cycle."""
+    called = radmat.join(calls.select("peak_i", "dyt_i"), "peak_i", "left").na.fill(0, ["dyt_i"])
+    return called.join(tracks, ["dyt_i", "cycle_i"], "left").na.fill(0, ["count"])
+
+
+def fields_metadata(fields: DataFrame, metadata: DataFrame, qualities: DataFrame) -> DataFrame:
+    """Field rows with stage place and exposure of their field and cycle, and all qualities of channel and cycle."""
+    return fields.join(metadata, ["field_i", "cycle_i"], "left").join(qualities, ["field_i", "channel_i", "cycle_i"], "full")
+
+
+def regional_stats(pixels: DataFrame, tile: int) -> DataFrame:
+    """(field_i, ty, tx, median, std): median and population deviation of ``value`` by square tiles of (y, x)."""
+    keys = [F.floor(F.col(c) / tile).cast("int").alias(f"t{c}") for c in ("y", "x")]
+    return pixels.groupBy("field_i", *keys).agg(F.percentile("value", F.lit(0.5)).alias("median"), F.stddev_pop("value").alias("std"))
+
+
+def field_channel_summary(radmat: DataFrame) -> DataFrame:
+    """(field_i, channel_i, frames, peaks, first, early): cycles, peaks, mean signal of cycle 1 and of cycles 1 to 5."""
+    mean = lambda cond: F.avg(F.when(cond, F.col("signal")))
+    return radmat.groupBy("field_i", "channel_i").agg(
+        F.count_distinct("cycle_i").alias("frames"), F.count_distinct("peak_i").alias("peaks"), mean(F.col("cycle_i") == 1).alias("first"), mean(F.col("cycle_i").between(1, 5)).alias("early")
+    )
+
+
+def bestseq_counts(bestseq: DataFrame) -> DataFrame:
+    """(peak_i, channel_i, seq, n): each peak's fitted counts as digits, and how many peaks share them; nulls are left out, "ch2" is channel 1."""
+    rows = bestseq.filter("counts IS NOT NULL").select("peak_i", (F.substring("channel", 3, 9).cast("int") - 1).alias("channel_i"), F.array_join(F.transform("counts", lambda x: x.cast("string")), "").alias("seq"))
+    return rows.join(rows.groupBy("seq").agg(F.count(F.lit(1)).alias("n")), "seq").select("peak_i", "channel_i", "seq", "n")
+
+
+def evenly_spaced(rows: DataFrame, order: list, n: int = 3) -> DataFrame:
+    """``n`` rows at even distances of an ordering of few rows, its ends among them."""
+    placed = rows.withColumns({"place": F.row_number().over(W.orderBy(*order)) - 1, "all": F.count(F.lit(1)).over(W.partitionBy())})
+    spots = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.floor(i * (F.col("all") - 1) / (n - 1)))
+    return placed.filter(F.array_contains(spots, F.col("place").cast("long"))).drop("place", "all")

@@ -38,7 +38,7 @@ VIEWS = {
         CAST(l_orderkey % 20 * 3 - 20 AS DOUBLE) AS aln_y, CAST(l_linenumber * 4 - l_orderkey % 20 AS DOUBLE) AS aln_x FROM lineitem""",
     "metadata": """SELECT DISTINCT CAST(l_orderkey % 20 AS INT) AS field_i, CAST(l_linenumber - 1 AS INT) AS cycle_i,
         CAST(l_orderkey % 20 * 1000 AS DOUBLE) AS stage_x, CAST(l_orderkey % 20 * 500 + l_linenumber AS DOUBLE) AS stage_y, CAST(10 + l_linenumber AS DOUBLE) AS exposure_time FROM lineitem""",
-    "qualities": """SELECT CAST(l_orderkey % 20 AS INT) AS field_i, 0 AS channel_i, CAST(l_linenumber - 1 AS INT) AS cycle_i, sum(floor(l_quantity)) AS quality FROM lineitem GROUP BY 1, 2, 3""",
+    "qualities": """SELECT CAST(l_orderkey % 20 AS INT) AS field_i, 0 AS channel_i, CAST(l_linenumber - 1 AS INT) AS cycle_i, CAST(sum(floor(l_quantity)) AS DOUBLE) AS quality FROM lineitem GROUP BY 1, 2, 3""",
     "rects": """SELECT CAST(c_custkey % 20 AS INT) AS field_i, CAST(c_custkey % 480 AS INT) AS l, CAST(c_custkey % 480 + 8 AS INT) AS r, CAST(c_custkey * 7 % 480 AS INT) AS b, CAST(c_custkey * 7 % 480 + 8 AS INT) AS t FROM customer""",
     "dyepeps": """SELECT CAST(l_suppkey % 50 + 1 AS INT) AS dyt_i, CAST(l_partkey + 1 AS INT) AS pep_i, CAST(count(*) AS BIGINT) AS n_reads FROM lineitem GROUP BY 1, 2""",
     "reads": """SELECT CAST(l_partkey + 1 AS INT) AS pep_i, CAST(l_linenumber % 3 AS INT) AS d0, CAST(floor(l_quantity / 25) AS INT) AS d1, CAST(l_suppkey % 2 AS INT) AS d2 FROM lineitem""",

@@ -144,3 +144,77 @@ def new_peaks_per_cycle(spark, sf_dir):
 def crowding(spark, sf_dir):
     """J-22: peaks with another nearer than 8."""
     return R.crowding(view(spark, sf_dir, "peaks"))
+
+
+_PHOTO = ", ".join(f"max(signal) FILTER (cycle_i = {c}) AS \"FRAME {c}\"" for c in range(4))
+_FLAGS = ", ', ', ".join(f"CASE WHEN coalesce(max(signal) FILTER (cycle_i = {c}) > 30000, FALSE) THEN 'True' ELSE 'False' END" for c in range(4))
+
+
+@query(f"SELECT 'ch1' AS CHANNEL, field_i AS FIELD, peak_i AS H, peak_i AS W, concat('(', {_FLAGS}, ')') AS CATEGORY, {_PHOTO} FROM radmat GROUP BY field_i, peak_i")
+def photometry_table(spark, sf_dir):
+    """S-9: the table that an external fitter reads."""
+    from dyelake.sources.fields import photometry_table as table_of
+
+    return table_of(view(spark, sf_dir, "radmat"), 30000, 4)
+
+
+@query("SELECT peak_i, channel_i, CAST(row_number() OVER (PARTITION BY peak_i ORDER BY cycle_i) - 1 AS INT) AS cycle_i, signal, noise FROM radmat")
+def radmat_to_long(spark, sf_dir):
+    """S-7: dense arrays to a row a measurement."""
+    rows = view(spark, sf_dir, "radmat").groupBy("peak_i").agg(F.sort_array(F.collect_list(F.struct("cycle_i", "signal", "noise"))).alias("s"))
+    return R.to_long(rows.select("peak_i", F.array("s.signal").alias("signal"), F.array("s.noise").alias("noise")))
+
+
+@query("SELECT field_i, field_peak_i, peak_i, o_totalprice AS amp FROM peaks LEFT JOIN (SELECT o_orderkey % 20 AS field_i, floor(o_orderkey / 20) AS field_peak_i, o_totalprice FROM orders WHERE o_orderstatus = 'F') f USING (field_i, field_peak_i)")
+def peaks_fits(spark, sf_dir):
+    """J-12: peaks with their fits."""
+    from dyelake.plans.adapters import over
+
+    fits = over(spark, sf_dir, "SELECT CAST(o_orderkey % 20 AS INT) AS field_i, CAST(floor(o_orderkey / 20) AS INT) AS field_peak_i, o_totalprice AS amp FROM orders WHERE o_orderstatus = 'F'")
+    return R.peaks_fits(view(spark, sf_dir, "peaks"), fits).select("field_i", "field_peak_i", "peak_i", "amp")
+
+
+_TRACKS = "SELECT CAST(s_suppkey % 50 AS INT) AS dyt_i, CAST(s_nationkey % 5 AS INT) AS cycle_i, CAST(max(s_suppkey % 4) AS INT) AS count FROM supplier GROUP BY 1, 2"
+
+
+@query(f"WITH c AS (SELECT peak_i, min(dyt_i) AS d FROM calls_k GROUP BY 1), r AS (SELECT cycle_i, coalesce(d, 0) AS dyt_i FROM radmat LEFT JOIN c USING (peak_i)) SELECT r.cycle_i, coalesce(t.count, 0) AS count, count(*) AS n FROM r LEFT JOIN ({_TRACKS}) t ON t.dyt_i = r.dyt_i AND t.cycle_i = r.cycle_i GROUP BY ALL")
+def sigcalls(spark, sf_dir):
+    """J-13: radmat rows with their call's dye count in the cycle."""
+    from dyelake.plans.adapters import over
+
+    calls = view(spark, sf_dir, "calls_k").groupBy("peak_i").agg(F.min("dyt_i").alias("dyt_i"))
+    rows = R.sigcalls(view(spark, sf_dir, "radmat"), calls, over(spark, sf_dir, _TRACKS))
+    return rows.groupBy("cycle_i", "count").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT field_i, channel_i, cycle_i, aln_x, stage_x, exposure_time, quality FROM fields LEFT JOIN metadata USING (field_i, cycle_i) FULL JOIN qualities USING (field_i, channel_i, cycle_i)")
+def fields_metadata(spark, sf_dir):
+    """J-14: fields with stage place and quality."""
+    return R.fields_metadata(view(spark, sf_dir, "fields"), view(spark, sf_dir, "metadata"), view(spark, sf_dir, "qualities")).select("field_i", "channel_i", "cycle_i", "aln_x", "stage_x", "exposure_time", "quality")
+
+
+@query("SELECT field_i, CAST(floor(aln_y / 64) AS INT) AS ty, CAST(floor(aln_x / 64) AS INT) AS tx, quantile_cont(field_peak_i, 0.5) AS median, round(stddev_pop(field_peak_i), 6) AS std FROM peaks GROUP BY 1, 2, 3")
+def regional_stats(spark, sf_dir):
+    """A-27: median and deviation by region."""
+    pixels = view(spark, sf_dir, "peaks").select("field_i", F.col("aln_y").alias("y"), F.col("aln_x").alias("x"), F.col("field_peak_i").alias("value"))
+    return _round(R.regional_stats(pixels, 64), "std")
+
+
+@query("SELECT field_i, channel_i, count(DISTINCT cycle_i) AS frames, count(DISTINCT peak_i) AS peaks, round(avg(signal) FILTER (cycle_i = 1), 6) AS first, round(avg(signal) FILTER (cycle_i BETWEEN 1 AND 5), 6) AS early FROM radmat GROUP BY 1, 2")
+def field_channel_summary(spark, sf_dir):
+    """A-31: frames, peaks and early signal by field and channel."""
+    return _round(R.field_channel_summary(view(spark, sf_dir, "radmat")), "first", "early")
+
+
+@query("WITH s AS (SELECT peak_i, string_agg(CAST(floor(signal / 40000) AS INT), '' ORDER BY cycle_i) AS seq FROM radmat GROUP BY 1) SELECT peak_i, 1 AS channel_i, seq, count(*) OVER (PARTITION BY seq) AS n FROM s")
+def bestseq_counts(spark, sf_dir):
+    """A-36: peaks by their fitted counts."""
+    rows = view(spark, sf_dir, "radmat").groupBy("peak_i").agg(F.sort_array(F.collect_list(F.struct("cycle_i", F.floor(F.col("signal") / 40000).cast("int").alias("c")))).alias("s"))
+    return R.bestseq_counts(rows.select("peak_i", F.lit("ch2").alias("channel"), F.col("s.c").alias("counts")))
+
+
+@query("WITH m AS (SELECT field_i, sum(quality) AS quality FROM qualities GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY quality, field_i) - 1 AS p, count(*) OVER () AS n FROM m) SELECT field_i, CAST(quality AS BIGINT) AS quality FROM r WHERE p IN (0, floor((n - 1) / 2), n - 1)")
+def worst_median_best(spark, sf_dir):
+    """T-8: the fields of worst, median and best quality."""
+    means = view(spark, sf_dir, "qualities").groupBy("field_i").agg(F.sum("quality").cast("long").alias("quality"))
+    return R.evenly_spaced(means, ["quality", "field_i"])

@@ -147,3 +147,38 @@ def knn_dyetracks(rows: DataFrame, tracks: DataFrame, k: int, block_rows: int =
         parts = part if parts is None else parts.unionByName(part)
     rank = F.row_number().over(W.partitionBy("row_i").orderBy(F.round("dist2", 9), "dyt_i"))
     return parts.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def fit_row_k(rows: DataFrame, beta: float) -> DataFrame:
+    """``rows`` (radrow, dyetrack arrays) with k: sum of r^2 over sum of r * beta * d, 10 where the denominator isn't positive."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+    low = dot("radrow", "dyetrack") * beta
+    return rows.withColumn("k", F.when(low > 0, dot("radrow", "radrow") / low).otherwise(10.0))
+
+
+def train_of_real_peps(train: DataFrame, peps: DataFrame, pros: DataFrame) -> DataFrame:
+    """Training rows whose true peptide's protein is no decoy."""
+    real = peps.join(pros.filter("NOT pro_is_decoy").select("pro_i"), "pro_i", "left_semi").select(F.col("pep_i").alias("true_pep_i"))
+    return train.join(real, "true_pep_i", "left_semi")
+
+
+def all_runs(*tables: tuple[int, str, DataFrame]) -> DataFrame:
+    """One table of several runs' frames (run_i, run_name, frame), with the run as columns."""
+    out = None
+    for i, name, df in tables:
+        own = df.withColumns({"run_i": F.lit(i), "run_name": F.lit(name)})
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    return out
+
+
+def differing_across_runs(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, n): keys that have several values over the runs; empty if all agree."""
+    return rows.groupBy(key).agg(F.count_distinct(value).alias("n")).filter("n > 1")
+
+
+def label_sets(labels: DataFrame, n: int) -> DataFrame:
+    """(labels): all choices of ``n`` of a short table's labels, each in order."""
+    sets = labels.select(F.array("label").alias("labels"))
+    for _ in range(n - 1):
+        sets = sets.crossJoin(F.broadcast(labels)).filter(F.col("label") > F.element_at("labels", -1)).select(F.concat("labels", F.array("label")).alias("labels"))
+    return sets

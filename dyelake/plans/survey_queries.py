@@ -120,3 +120,49 @@ def domain_loss(spark, sf_dir):
     pros = view(spark, sf_dir, "pros")
     kept = S.survey_filters(view(spark, sf_dir, "survey"), 20).join(pros.select("pro_i", "pro_id"), "pro_i")
     return lost(pros, kept, "pro_id")
+
+
+@query("""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS r, list_transform(embedding::DOUBLE[], lambda x: floor(abs(x) * 10)) AS d FROM embeddings),
+s AS (SELECT vec_id, list_sum(list_transform(r, lambda x: x * x)) AS a, 2 * list_sum(list_transform(list_zip(r, d), lambda x: x[1] * x[2])) AS b FROM v) SELECT vec_id, round(CASE WHEN b > 0 THEN a / b ELSE 10 END, 6) AS k FROM s""")
+def fit_row_k(spark, sf_dir):
+    """M-3: each row's scale against its dyetrack."""
+    rows = over(spark, sf_dir, "SELECT vec_id, embedding FROM embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("radrow"))
+    rows = rows.withColumn("dyetrack", F.transform("radrow", lambda x: F.floor(F.abs(x) * 10).cast("double")))
+    return S.fit_row_k(rows, 2.0).select("vec_id", F.round("k", 6).alias("k"))
+
+
+@query("SELECT run_i, count(*) AS n FROM calls WHERE true_pep_i IN (SELECT pep_i FROM peps JOIN pros USING (pro_i) WHERE NOT pro_is_decoy) GROUP BY 1")
+def train_of_real_peps(spark, sf_dir):
+    """J-24: calls of real proteins' peptides by run."""
+    rows = S.train_of_real_peps(view(spark, sf_dir, "calls"), view(spark, sf_dir, "peps"), view(spark, sf_dir, "pros"))
+    return rows.groupBy("run_i").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT run_name, count(DISTINCT status) AS n FROM runs GROUP BY 1 HAVING count(DISTINCT status) > 1")
+def differing_across_runs(spark, sf_dir):
+    """U-6: runs of one name whose values differ."""
+    return S.differing_across_runs(view(spark, sf_dir, "runs"), "run_name", "status")
+
+
+@query("WITH b AS (SELECT DISTINCT n_name AS x FROM nation) SELECT a.x AS first, b.x AS second FROM b a, b WHERE a.x < b.x")
+def label_sets(spark, sf_dir):
+    """F-14: all pairs of labels."""
+    from dyelake.sources.tables import table
+
+    out = S.label_sets(table(spark, sf_dir, "nation").select(F.col("n_name").alias("label")).distinct(), 2)
+    return out.select(F.col("labels")[0].alias("first"), F.col("labels")[1].alias("second"))
+
+
+@query("SELECT run_i, run_name, count(*) AS n FROM (SELECT 0 AS run_i, 'early' AS run_name, score FROM calls WHERE run_i < 2 UNION ALL SELECT 1, 'late', score FROM calls WHERE run_i >= 2) GROUP BY ALL")
+def all_runs(spark, sf_dir):
+    """U-1: runs' frames as one table."""
+    calls = view(spark, sf_dir, "calls")
+    return S.all_runs((0, "early", calls.filter("run_i < 2")), (1, "late", calls.filter("run_i >= 2"))).groupBy("run_i", "run_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH r AS (SELECT true_pep_i, row_number() OVER (PARTITION BY true_pep_i) AS k FROM calls) SELECT true_pep_i, count(*) AS n FROM r WHERE k <= 5 GROUP BY 1")
+def subsample_per_class(spark, sf_dir):
+    """T-6: at most five rows of each true peptide."""
+    from dyelake.operators.calls import subsample_per_class as sample
+
+    return sample(view(spark, sf_dir, "calls"), 5).groupBy("true_pep_i").agg(F.count(F.lit(1)).alias("n"))

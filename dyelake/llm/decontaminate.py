@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dyelake.functions.storage import written
-from dyelake.llm.text import ALNUM, fingerprints, rows_of
+from dyelake.llm.text import ALNUM, fingerprints, rows_of, texts_of
 
 #: Test text of one block at most, in bytes: what the driver reads and sends to tasks at once.
 BLOCK_BYTES = 32_000_000
-SEGMENT_BYTES = 4_000_000
+SEGMENT_BYTES = 2_000_000
 
 _U = np.uint64
 
@@ -74,7 +74,7 @@ def positional_index(docs: DataFrame, terms: np.ndarray | None = None, gap: int
                 )
                 segment += 1
 
-    return docs.select("doc_id", "text").mapInArrow(make, "segment long, term long, n long, postings binary")
+    return texts_of(docs).mapInArrow(make, "segment long, term long, n long, postings binary")
 
 
 @dataclass

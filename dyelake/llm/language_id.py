@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dyelake.llm.text import Rows, by_row, mix, rows_of
+from dyelake.llm.text import Rows, by_row, mix, rows_of, texts_of
 
 _U = np.uint64
 _LETTER = np.zeros(256, bool)
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, per_language: int = 3000, least_share: float = 1e-5, sl
                 keys, n = np.unique(lang[part.first + row] << 32 | grams, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
-    counts = sample.select("text", "lang").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = texts_of(sample, "text", "lang").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = counts.withColumn("l", F.shiftright("key", 32))
     totals = {r["l"]: r["n"] for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
     least = F.create_map(*(F.lit(x) for l, n in totals.items() for x in (l, least_share * n))) if totals else F.lit(None)
@@ -146,7 +146,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
                 score = np.where(none, 0.0, score)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, n), pa.array(names[best].tolist(), pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, lang_pred string, score double")
+    return texts_of(docs).mapInArrow(make, "doc_id long, lang_pred string, score double")
 
 
 def held_out() -> Column:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dyelake.functions.storage import written
-from dyelake.llm.text import NOT_SPACE, Rows, fingerprints, mix, rows_of, shingles
+from dyelake.llm.text import NOT_SPACE, Rows, fingerprints, mix, rows_of, shingles, texts_of
 
 #: Signature slots, and rows of a band. A pair at similarity 0.85 shares no band with
 #: probability (1 - 0.85**6)**32, 3e-7; one at 0.3 shares some band with probability 0.02.
@@ -115,7 +115,7 @@ def sketches(docs: DataFrame, width: int, slots: int = SLOTS, band_rows: int = B
 
     if slots % band_rows:
         raise ValueError("bands are of equal size")
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
+    return texts_of(docs).mapInArrow(make, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -129,7 +129,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
                 sets = [hashes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, len(part)), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, shingles binary")
+    return texts_of(docs).mapInArrow(make, "doc_id long, shingles binary")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

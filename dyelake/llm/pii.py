@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dyelake.llm.char_tagger import Tagger, encode
-from dyelake.llm.text import rows_of
+from dyelake.llm.text import rows_of, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -189,7 +189,7 @@ def personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
-            for part in rows_of(column, 8_000_000, fold=False):
+            for part in rows_of(column, fold=False):
                 n = len(part)
                 own: list[list] = [[] for _ in range(n)]
                 rows = np.flatnonzero(part.per_row(_GATE[part.data]))
@@ -201,7 +201,7 @@ def personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
                     own[r] = [dict(zip(("kind", "start", "end", "base"), x, strict=True)) for x in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1]))]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, n), pa.array(own, kind)], names=["doc_id", "spans"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, spans array<struct<kind:string,start:long,end:long,base:boolean>>")
+    return texts_of(docs).mapInArrow(make, "doc_id long, spans array<struct<kind:string,start:long,end:long,base:boolean>>")
 
 
 def digest(found: DataFrame) -> DataFrame:

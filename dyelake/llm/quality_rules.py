@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dyelake.functions.storage import written
-from dyelake.llm.text import NOT_SPACE, by_row, fingerprints, mix, rows_of
+from dyelake.llm.text import NOT_SPACE, by_row, fingerprints, mix, rows_of, texts_of
 
 _U = np.uint64
 _SYMBOL = np.zeros(256, bool)
@@ -82,7 +82,7 @@ def measures(docs: DataFrame) -> DataFrame:
                 }
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, n), *(pa.array(np.asarray(out[k], np.int64)) for k in MEASURES)], names=["doc_id", *MEASURES])
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, " + ", ".join(f"{k} long" for k in MEASURES))
+    return texts_of(docs).mapInArrow(make, "doc_id long, " + ", ".join(f"{k} long" for k in MEASURES))
 
 
 def _vote(bad: str, good: str) -> Column:

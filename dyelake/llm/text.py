@@ -12,8 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-CHUNK_BYTES = 2_000_000
+#: Text of one chunk: each byte takes some tens of bytes in numpy while its chunk is worked on.
+CHUNK_BYTES = 1_000_000
+#: Rows of one Arrow batch at most: a batch's texts lie in the memory of the JVM and of the Python worker at once.
+BATCH_ROWS = 1000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -63,6 +67,14 @@ def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
 
 
+def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns (doc_id and text) of ``docs``, to be read by Python in batches of BATCH_ROWS rows at most."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(docs.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        docs.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return docs.select(*(columns or ("doc_id", "text")))
+
+
 @dataclass
 class Rows:
     """Some whole rows of a text column: UTF-8 bytes and offsets of len + 1."""

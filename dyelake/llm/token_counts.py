@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dyelake.llm.text import NOT_SPACE, by_row, fingerprints, rows_of
+from dyelake.llm.text import NOT_SPACE, by_row, fingerprints, rows_of, texts_of
 
 
 @dataclass
@@ -137,7 +137,7 @@ def token_counts(docs: DataFrame, vocabulary: bytes, prefix: bytes = b" ") -> Da
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(held.value)
         for batch in batches:
-            for part in rows_of(batch.column("text"), 8_000_000, fold=False):
+            for part in rows_of(batch.column("text"), fold=False):
                 starts, ends, row = part.spans(NOT_SPACE[part.data])
                 _, firsts, which = np.unique(fingerprints(part.data, starts, ends), return_index=True, return_inverse=True)
                 pieces = automaton.count(part.data, starts[firsts], ends[firsts], prefix)
@@ -147,4 +147,4 @@ def token_counts(docs: DataFrame, vocabulary: bytes, prefix: bytes = b" ") -> Da
                     names=["doc_id", "n_words", "n_tokens", "n_bytes"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, n_words long, n_tokens long, n_bytes long")
+    return texts_of(docs).mapInArrow(make, "doc_id long, n_words long, n_tokens long, n_bytes long")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dyelake.sources.tables import table
 
@@ -86,3 +87,9 @@ def over(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for t in given:
         text = re.sub(rf"(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)
     return spark.sql(text, **given)
+
+
+def fields_of(radmat: DataFrame) -> DataFrame:
+    """The ``fields`` table of every field, channel and cycle of ``radmat``; the view of that name ends with the seventh cycle."""
+    own = radmat.select("field_i", "channel_i", "cycle_i").distinct()
+    return own.withColumns({"aln_y": (F.col("field_i") * 3 - 20).cast("double"), "aln_x": ((F.col("cycle_i") + 1) * 4 - F.col("field_i")).cast("double")})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dyelake.operators import radmat as R
-from dyelake.plans.adapters import view
+from dyelake.plans.adapters import fields_of, view
 from dyelake.plans.registry import query
 
 
@@ -117,8 +117,9 @@ def zero_out_nan_peaks(spark, sf_dir):
 
 @query("SELECT r.peak_i, r.cycle_i, n AS n_peaks, p.aln_x - f.aln_x AS raw_x, p.aln_y - f.aln_y AS raw_y FROM radmat r JOIN peaks p ON p.peak_i = r.peak_i JOIN fields f ON f.field_i = r.field_i AND f.channel_i = r.channel_i AND f.cycle_i = r.cycle_i JOIN (SELECT field_i, max(field_peak_i) + 1 AS n FROM peaks GROUP BY 1) k ON k.field_i = r.field_i WHERE p.aln_x - f.aln_x >= 100 AND p.aln_x - f.aln_x < 400 AND p.aln_y - f.aln_y >= 100 AND p.aln_y - f.aln_y < 400")
 def raw_coordinates(spark, sf_dir):
-    """J-11, P-6, P-11: radmat with field and peak, raw coordinates, in a region."""
-    rows = R.fields_peaks_radmat(view(spark, sf_dir, "fields"), view(spark, sf_dir, "peaks"), view(spark, sf_dir, "radmat"))
+    """J-11, P-6, P-11: radmat with field and peak, raw coordinates, in a region; the SQL form lacks cycles after the seventh."""
+    radmat = view(spark, sf_dir, "radmat")
+    rows = R.fields_peaks_radmat(fields_of(radmat), view(spark, sf_dir, "peaks"), radmat)
     return R.filter_rows(rows, roi=(100, 400, 100, 400)).select("peak_i", "cycle_i", "n_peaks", "raw_x", "raw_y")
 
 
@@ -152,10 +153,10 @@ _FLAGS = ", ', ', ".join(f"CASE WHEN coalesce(max(signal) FILTER (cycle_i = {c})
 
 @query(f"SELECT 'ch1' AS CHANNEL, field_i AS FIELD, peak_i AS H, peak_i AS W, concat('(', {_FLAGS}, ')') AS CATEGORY, {_PHOTO} FROM radmat GROUP BY field_i, peak_i")
 def photometry_table(spark, sf_dir):
-    """S-9: the table that an external fitter reads."""
+    """S-9: the table that an external fitter reads, with every cycle of radmat; the SQL form has the first four only."""
     from dyelake.sources.fields import photometry_table as table_of
 
-    return table_of(view(spark, sf_dir, "radmat"), 30000, 4)
+    return table_of(view(spark, sf_dir, "radmat"), 30000)
 
 
 @query("SELECT peak_i, channel_i, CAST(row_number() OVER (PARTITION BY peak_i ORDER BY cycle_i) - 1 AS INT) AS cycle_i, signal, noise FROM radmat")

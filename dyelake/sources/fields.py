@@ -44,8 +44,13 @@ def export_radmat(radmat: DataFrame, path: str, files: int = 16) -> None:
     radmat.select(*columns).repartitionByRange(files, *order).sortWithinPartitions(*order).write.option("header", True).csv(path)
 
 
-def photometry_table(radmat: DataFrame, threshold: float, n_cycles: int) -> DataFrame:
-    """One row a peak and channel: CHANNEL, FIELD, H, W, CATEGORY of each cycle's signal above the threshold, and FRAME 0 .. n - 1."""
+def photometry_table(radmat: DataFrame, threshold: float, n_cycles: int | None = None) -> DataFrame:
+    """One row a peak and channel: CHANNEL, FIELD, H, W, CATEGORY of each cycle's signal above the threshold, and FRAME 0 .. n - 1.
+
+    Without ``n_cycles``, all cycles of ``radmat``, counted first.
+    """
+    if n_cycles is None:
+        n_cycles = radmat.agg(F.coalesce(F.max("cycle_i") + 1, F.lit(0))).first()[0]
 
     def at(c: int, x: Column) -> Column:
         return F.max(F.when(F.col("cycle_i") == c, x))

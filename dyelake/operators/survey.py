@@ -120,8 +120,9 @@ def step_dyetracks(spark, n_cycles: int, n_dyes: int, multi_drop: bool = False)
 def knn_dyetracks(rows: DataFrame, tracks: DataFrame, k: int, block_rows: int = 4096) -> DataFrame:
     """(row_i, dyt_i, dist2, rank): the ``k`` nearest of ``tracks`` (dyt_i, vec) for each of ``rows`` (row_i, vec), by squared distance.
 
-    Tracks are sent to the tasks in blocks of bounded size; every row meets every block as a matrix product, only its best k of a block
-    come out, and the blocks' bests are merged. Equal distances go to the lower dyt_i.
+    Tracks are sent to the tasks in blocks of bounded size; every row meets every block as a matrix product, by which tracks near enough to be
+    among its best k are found. Of those the distances are summed exactly, only the best k of a block come out, and the blocks' bests are
+    merged. Equal distances go to the lower dyt_i.
     """
     import numpy as np
     import pandas as pd
@@ -135,13 +136,21 @@ def knn_dyetracks(rows: DataFrame, tracks: DataFrame, k: int, block_rows: int =
         ids, mat = held["dyt_i"].to_numpy(), np.array(held["vec"].tolist(), np.float64).reshape(len(held), -1)
 
         def look(batches, ids=ids, mat=mat):
+            own = (mat * mat).sum(1)
             for x in batches:
-                v = np.array(x["vec"].tolist(), np.float64)
-                if not len(v) or not len(ids):
-                    continue
-                d = np.maximum(0, (v * v).sum(1)[:, None] - 2 * v @ mat.T + (mat * mat).sum(1))
-                best = np.argsort(np.round(d, 9), axis=1, kind="stable")[:, :k]
-                yield pd.DataFrame({"row_i": np.repeat(x["row_i"].to_numpy(), best.shape[1]), "dyt_i": ids[best].ravel(), "dist2": np.take_along_axis(d, best, 1).ravel()})
+                # Few rows at a time, for their distances to the block are held at once.
+                for s in range(0, len(x) if len(ids) else 0, 256):
+                    v = np.array(x["vec"].iloc[s : s + 256].tolist(), np.float64)
+                    norm = (v * v).sum(1)
+                    d = own - 2 * (v @ mat.T)
+                    kth = np.partition(d, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+                    # As far as the product's error and the rounding could reach.
+                    row, track = np.nonzero(d <= (kth + 2e-9 + 1e-12 * (norm + own.max()))[:, None])
+                    exact = np.concatenate([((v[row[i : i + 65536]] - mat[track[i : i + 65536]]) ** 2).sum(1) for i in range(0, len(row), 65536)])
+                    order = np.lexsort((track, np.round(exact, 9), row))
+                    row, track, exact = row[order], track[order], exact[order]
+                    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+                    yield pd.DataFrame({"row_i": x["row_i"].to_numpy()[s + row[best]], "dyt_i": ids[track[best]], "dist2": exact[best]})
 
         part = rows.select("row_i", "vec").mapInPandas(look, "row_i long, dyt_i long, dist2 double")
         parts = part if parts is None else parts.unionByName(part)

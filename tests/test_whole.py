@@ -1,9 +1,11 @@
 """Queries that do the whole job where their SQL forms do less: compared with plain forms over all rows."""
 
 import duckdb
+import numpy as np
 import pytest
 from conftest import SF
 
+from dyelake.operators.survey import knn_dyetracks
 from dyelake.plans.adapters import duck
 from dyelake.plans.all_queries import QUERIES
 
@@ -37,3 +39,28 @@ def test_raw_coordinates_has_every_cycle(spark, con):
     want = sorted(x for x in raw if 100 <= x[2] < 400 and 100 <= x[3] < 400)
     got = sorted((r["peak_i"], r["cycle_i"], r["raw_x"], r["raw_y"]) for r in QUERIES["raw_coordinates"](spark, SF).collect())
     assert got == want and max(c for _, c, *_ in got) > 6
+
+
+def nearest(ids, vecs, k):
+    v = np.array(vecs, np.float64)
+    out = []
+    for i, x in zip(ids, v, strict=True):
+        d = ((v - x) ** 2).sum(1)
+        out += [(i, ids[j], round(float(d[j]), 6), n + 1) for n, j in enumerate(sorted(range(len(ids)), key=lambda j: (round(d[j], 9), ids[j]))[:k])]
+    return sorted(out)
+
+
+def test_knn_dyetracks_searches_every_vector(spark, con):
+    ids, vecs = zip(*con.execute("SELECT vec_id, embedding FROM embeddings ORDER BY 1").fetchall(), strict=True)
+    got = QUERIES["knn_dyetracks"](spark, SF)
+    assert sorted((r["row_i"], r["dyt_i"], r["dist2"], r["rank"]) for r in got.collect()) == nearest(ids, vecs, 4)
+
+
+@pytest.mark.parametrize("block_rows", [4, 4096])
+def test_knn_dyetracks_of_copies_and_far_vectors(spark, block_rows):
+    rng = np.random.default_rng(5)
+    vecs = [*([[1.0, 2.0, 3.0]] * 9), *rng.integers(-2, 3, (12, 3)).astype(float).tolist(), *(1e6 + rng.integers(0, 3, (9, 3))).tolist()]
+    ids = [int(i) for i in rng.permutation(len(vecs))]
+    rows = spark.createDataFrame(list(zip(ids, vecs, strict=True)), "row_i long, vec array<double>")
+    got = knn_dyetracks(rows, rows.withColumnRenamed("row_i", "dyt_i"), 4, block_rows)
+    assert sorted((r["row_i"], r["dyt_i"], round(r["dist2"], 6), r["rank"]) for r in got.collect()) == sorted(nearest(*zip(*sorted(zip(ids, vecs, strict=True)), strict=True), 4))

@@ -47,15 +47,23 @@ def known_language(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
 def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each near-duplicate group: that of the smallest doc_id.
 
-    Rows of one doc_id are one document, of which one row stays. Documents without words, and those without a
-    doc_id, are in no group and stay.
+    Only near copies go. Where a doc_id is null or has several rows, each text of it is a document of its own, and of a group the
+    row least by doc_id (nulls last), hash of doc_id and text, and hash of all columns stays. Documents without words are in no group and
+    stay.
     """
-    found = written(near_duplicates(docs, width, percent))
-    gone = found.filter("NOT kept").select(F.col("doc_id").alias("k")).distinct()
-    left = _without(docs, F.col("doc_id"), written(gone))
-    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return left
-    return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id IS NULL"))
+    if docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty():
+        gone = near_duplicates(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("k"))
+        return _without(docs, F.col("doc_id"), written(gone))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    own, whole = "key of the row", "print of the row"
+    words = F.coalesce(F.col("text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
+    # Copies of a whole row are one from here on, so that none can be in the way of a join.
+    keyed = docs.filter(words).select(*names, F.xxhash64("doc_id", "text").alias(own), F.xxhash64(*names).alias(whole)).dropDuplicates([own, whole])
+    found = near_duplicates(docs.filter(words).select(F.xxhash64("doc_id", "text").alias("doc_id"), "text").dropDuplicates(["doc_id"]), width, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("null"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col(own), F.col(whole))
+    best = keyed.select(order.alias("row"), F.col(own)).join(found.select(F.col("doc_id").alias(own), "component_id"), own).groupBy("component_id").agg(F.min("row").alias("row"))
+    stay = written(best.select(F.col("row")[own].alias(own), F.col("row")[whole].alias(whole)))
+    return keyed.join(stay, [own, whole], "left_semi").select(*names).unionByName(docs.filter(~words))
 
 
 def uncontaminated(docs: DataFrame, bench: DataFrame, width: int = 10) -> DataFrame:

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the tables written since each scratch() that is open.
+_open: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is absent (local runs and tests) a temporary folder stands in, for then
-    all executors are threads of this process.
+    Where the setting is absent and all executors are threads of this process (local runs and tests) a temporary folder
+    stands in. On a cluster its absence is an error: executors would each write to their own disk.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-dyelake-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -24,9 +32,30 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, which cuts its lineage.
 
-    A lost executor then costs a reread of files, not a recomputation of all that came before.
-    The files stay until the folder's owner clears it.
+    A lost executor then costs a reread of files, not a recomputation of all that came before. Inside scratch() the
+    files go when that ends; else they stay until the folder's owner clears it.
     """
     path = f"{shared_dir(df.sparkSession)}/dyelake-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for own in _open:
+        own.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders, in whatever store they are."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written() inside are deleted at its end: what is wanted of them must have been written elsewhere by then."""
+    own: list[str] = []
+    _open.append(own)
+    try:
+        yield
+    finally:
+        _open.remove(own)
+        remove(spark, *own)

@@ -16,12 +16,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dyelake.llm.text import Rows, by_row, mix, rows_of, texts_of
+from dyelake.llm.text import Rows, by_row, mix, rows_of, texts_of, type_of
 
 _U = np.uint64
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
-GRAM_BYTES = 4
+#: Slots of a filter: as many a gram as make false positives rare, and no more than the hash bits tell apart.
+SLOTS_PER_GRAM, MOST_SLOTS, MOST_HASHES = 10, 1 << 20, 3
 
 
 def _grams(part: Rows) -> tuple[np.ndarray, np.ndarray]:
@@ -52,6 +53,10 @@ class Filters:
     masks: np.ndarray
     hashes: int
 
+    def __post_init__(self) -> None:
+        if self.masks.shape[1] > MOST_SLOTS or self.hashes > MOST_HASHES:
+            raise ValueError(f"a filter has at most {MOST_SLOTS} slots and {MOST_HASHES} hashes: 20 bits of a hash are one slot's")
+
     def slots(self, grams: np.ndarray) -> list[np.ndarray]:
         drawn = mix(grams.astype(_U) + _U(0x9E3779B97F4A7C15))
         return [((drawn >> _U(20 * k)) & _U(self.masks.shape[1] - 1)).astype(np.int64) for k in range(self.hashes)]
@@ -74,15 +79,18 @@ class Filters:
         return out
 
 
-def fit(docs: DataFrame, per_language: int = 3000, least_share: float = 1e-5, slots: int = 1 << 18, hashes: int = 3) -> Filters:
+def fit(docs: DataFrame, per_language: int = 3000, least_share: float = 1e-5, hashes: int = 3, most_languages: int = 1024) -> Filters:
     """Filters from the text and lang of labelled ``docs`` (doc_id, text, lang; null lang is left out).
 
     A language's n-grams are those that make up ``least_share`` or more of the n-grams of about
     ``per_language`` of its documents (all, if it has fewer), drawn by a hash of doc_id. So a language adds at
-    most 1 / least_share n-grams, which bounds what comes to the driver.
+    most 1 / least_share n-grams, which bounds what comes to the driver. Slots are SLOTS_PER_GRAM times the n-grams of the language that has
+    most, rounded up to a power of two and at most MOST_SLOTS. More than ``most_languages`` values of lang are an error: such a column doesn't name languages.
     """
     known = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy("lang").collect()
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy("lang").limit(most_languages + 1).collect()
+    if len(sizes) > most_languages:
+        raise ValueError(f"lang has more than {most_languages} values")
     languages = [r["lang"] for r in sizes]
     share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["docs"])))) if sizes else F.lit(None)
     sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 1_000_003 * share[F.col("lang")]) if sizes else known
@@ -101,9 +109,10 @@ def fit(docs: DataFrame, per_language: int = 3000, least_share: float = 1e-5, sl
     totals = {r["l"]: r["n"] for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
     least = F.create_map(*(F.lit(x) for l, n in totals.items() for x in (l, least_share * n))) if totals else F.lit(None)
     kept = counts.filter(F.col("n") >= least[F.col("l")]).select("key").toPandas()["key"].to_numpy(np.int64) if totals else np.empty(0, np.int64)
+    sets = [(kept[kept >> 32 == l] & 0xFFFFFFFF).astype(np.uint32) for l in range(len(languages))]
+    slots = min(MOST_SLOTS, 1 << max(10, (SLOTS_PER_GRAM * max(map(len, sets), default=0)).bit_length()))
     made = Filters(languages, np.zeros((max(1, -(-len(languages) // 64)), slots), _U), hashes)
-    for l in range(len(languages)):
-        own = (kept[kept >> 32 == l] & 0xFFFFFFFF).astype(np.uint32)
+    for l, own in enumerate(sets):
         for s in made.slots(own):
             made.masks[l // 64][np.unique(s)] |= _U(1 << l % 64)
     return made
@@ -146,7 +155,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
                 score = np.where(none, 0.0, score)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, n), pa.array(names[best].tolist(), pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
-    return texts_of(docs).mapInArrow(make, "doc_id long, lang_pred string, score double")
+    return texts_of(docs).mapInArrow(make, f"doc_id {type_of(docs, 'doc_id')}, lang_pred string, score double")
 
 
 def held_out() -> Column:

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 
 #: Text of one chunk: each byte takes some tens of bytes in numpy while its chunk is worked on.
 CHUNK_BYTES = 1_000_000
-#: Rows of one Arrow batch at most: a batch's texts lie in the memory of the JVM and of the Python worker at once.
+#: Rows and bytes of one Arrow batch at most (one row may be longer): a batch's texts lie in the memory of the JVM and of the Python worker at once.
 BATCH_ROWS = 1000
+BATCH_BYTES = 4_000_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -30,8 +31,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+#: Bytes of one piece of a long range: pieces are hashed side by side, and then their hashes as a range of their own.
+_PIECE = 256
+#: Masks that keep the first k of eight bytes.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,38 +46,58 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for k, base in enumerate((_BASE, _BASE_INV)):
-            made = np.full(size, base, _U)
-            made[0] = 1
-            _powers[k] = np.multiply.accumulate(made)
-    return _powers[0][:n], _powers[1][:n]
+def _piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each short byte range: its eight-byte words go through mix() one after another."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    words = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    size = ends - starts
+    out = size.astype(_U) * _U(0xD6E8FEB86659FD93) + _U(0x2545F4914F6CDD1D)
+    live = np.arange(len(starts))
+    for at in range(0, int(size.max(initial=0)), 8):
+        live = live[size[live] > at]
+        word = words[starts[live] + at] & _KEEP[np.minimum(size[live] - at, 8)]
+        out[live] = mix(out[live] * _U(0x9FB21C651E98DF25) ^ word)
+    return out
 
 
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range of ``data``; equal ranges get equal hashes anywhere."""
-    if not len(starts):
-        return np.empty(0, _U)
-    up, down = _power(len(data))
-    sums = np.empty(len(data) + 1, _U)
-    sums[0] = 0
-    np.cumsum((data.astype(_U) + _U(1)) * up, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
+    """A 64-bit hash of each byte range of ``data``; equal ranges get equal hashes anywhere.
+
+    Every byte goes through a mixing step together with all before it, so that no regular pattern of bytes cancels out.
+    """
+    size = ends - starts
+    if not (size > _PIECE).any():
+        return _piece_hashes(data, starts, ends)
+    out = np.empty(len(starts), _U)
+    short = size <= _PIECE
+    out[short] = _piece_hashes(data, starts[short], ends[short])
+    a, b = starts[~short], ends[~short]
+    count = -(-(b - a) // _PIECE)
+    edges = np.concatenate(([0], np.cumsum(count)))
+    low = np.repeat(a, count) + (np.arange(edges[-1]) - np.repeat(edges[:-1], count)) * _PIECE
+    own = _piece_hashes(data, low, np.minimum(low + _PIECE, np.repeat(b, count)))
+    out[~short] = mix(fingerprints(own.view(np.uint8), edges[:-1] * 8, edges[1:] * 8) ^ mix((b - a).astype(_U)))
+    return out
 
 
 def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns (doc_id and text) of ``docs``, to be read by Python in batches of BATCH_ROWS rows at most."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(docs.sparkSession.conf.get(name)) <= BATCH_ROWS:
-        docs.sparkSession.conf.set(name, str(BATCH_ROWS))
+    """The named columns (doc_id and text) of ``docs``, to be read by Python in batches of bounded rows and bytes.
+
+    Spark reads these two bounds from the session when a job starts, so they stay lowered in the session after this call.
+    """
+    conf = docs.sparkSession.conf
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        had = conf.get(name, None)
+        if had is None or not had.isdigit() or not 0 < int(had) <= most:
+            conf.set(name, str(most))
     return docs.select(*(columns or ("doc_id", "text")))
 
 
+def type_of(df: DataFrame, column: str) -> str:
+    """A column's type in a schema string."""
+    return df.schema[column].dataType.simpleString()
+
+
 @dataclass
 class Rows:
     """Some whole rows of a text column: UTF-8 bytes and offsets of len + 1."""

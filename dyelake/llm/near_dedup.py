@@ -9,10 +9,11 @@ The plan keeps every step distributed and every group splittable:
 3. in each band bucket the classes are compared with the bucket's most central class only (the one
    whose band keys are the most shared), which keeps the pairs linear in the bucket; pairs are
    confirmed on full shingle sets;
-4. after a union-find, classes that their centre didn't take in are matched with the centre's other classes, but
-   only pairs whose differences with the centre overlap enough to reach the threshold come out of
-   the join, and are confirmed on full sets. So no link is lost for want of a centre, and near copies that are
-   too far apart among themselves are told so by a bitmap each, not by pairs of texts;
+4. after a union-find, classes that their centre didn't take in may still be linked with others of the centre's
+   classes. What such classes share beyond what the centre has lies in their differences with it, so these are joined by
+   prefixes: of each difference, in the order of how many classes of the centre have an element, only as many of the
+   rarest as two linked classes can't both do without. So no link is lost for want of a centre, and the variants of one
+   template, however many, meet only where they share rare elements. Pairs are confirmed on full sets;
 5. union-find again over all confirmed links.
 
 Union-find runs as large-star and small-star rounds over the table of links: each round is a
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dyelake.functions.storage import written
@@ -132,12 +133,17 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return texts_of(docs).mapInArrow(make, "doc_id long, shingles binary")
 
 
+def _both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, x, y): pairs with their sets."""
+    wide = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    return texts_of(wide.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a"), "a", "b", "x", "y")
+
+
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each (a, b) of ``pairs`` on full sets: (a, b, n, apart, linked, delta, lost).
+    """Each (a, b) of ``pairs`` on full sets: (a, b, n, apart, linked).
 
     n is the size of b's set, apart that of the symmetric difference with a's, linked says whether
-    100 * intersection >= percent * union, delta is a bitmap of the difference, of a size that a alone decides, and
-    lost the elements that fell on a set bit of it.
+    100 * intersection >= percent * union.
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,25 +151,55 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rows = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 one, two = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                odd = np.setxor1d(one, two, assume_unique=True)
-                shared = (len(one) + len(two) - len(odd)) // 2
-                size = 1 << min(16, max(9, int(4 * len(one)).bit_length()))
-                bits = np.zeros(size, np.uint8)
-                bits[(mix(odd) & _U(size - 1)).astype(np.int64)] = 1
-                rows.append((len(two), len(odd), 100 * shared >= percent * (shared + len(odd)), np.packbits(bits, bitorder="little").view(np.int64), len(odd) - int(bits.sum())))
-            n, apart, linked, delta, lost = zip(*rows, strict=True) if rows else ((), (), (), (), ())
-            edges = np.concatenate(([0], np.cumsum([len(d) for d in delta]))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(n, pa.int64()), pa.array(apart, pa.int64()), pa.array(linked, pa.bool_()), pa.ListArray.from_arrays(edges, np.concatenate(delta) if delta else np.empty(0, np.int64)), pa.array(lost, pa.int64())],
-                names=["a", "b", "n", "apart", "linked", "delta", "lost"],
-            )
-
-    return (
-        pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-        .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-        .select("a", "b", "x", "y")
-        .mapInArrow(check, "a long, b long, n long, apart long, linked boolean, delta array<long>, lost long")
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                apart = len(one) + len(two) - 2 * shared
+                rows.append((len(two), apart, 100 * shared >= percent * (shared + apart)))
+            n, apart, linked = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(n, pa.int64()), pa.array(apart, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "n", "apart", "linked"])
+
+    return _both(pairs, sets).mapInArrow(check, "a long, b long, n long, apart long, linked boolean")
+
+
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, e): the elements of the symmetric difference of each pair's sets, as an array."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            odd = [np.setxor1d(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U), assume_unique=True) for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
+            edges = np.concatenate(([0], np.cumsum([len(o) for o in odd]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.ListArray.from_arrays(edges, np.concatenate([np.empty(0, _U), *odd]).view(np.int64))], names=["a", "b", "e"])
+
+    return _both(pairs, sets).mapInArrow(make, "a long, b long, e array<long>")
+
+
+def loose_pairs(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of classes of one centre that may be linked, one of them at least loose, by prefixes of their differences.
+
+    ``around`` (a, b, n, apart, loose, of_b) has centre a's classes b, the sizes of b's set and of its difference with a's, whether
+    it isn't a's component's, and its own component. With k = (100 - percent) / (100 + percent), classes x and y of n_x and n_y elements are linked
+    if their sets differ in at most k (n_x + n_y) elements; differences D_x and D_y with the centre then share
+    (|D_x| + |D_y| - k (n_x + n_y)) / 2 or more. Neither set is longer than the other by more than 100 / percent, |D_x| and |D_y| are no
+    further apart than the sets are, and a loose class differs from the centre by more than would link them. So the larger difference shares all but k n
+    (1 + 100 / percent) of its elements, and the smaller all but half of that or (1 + k) / 2 of its own; one more element than these, taken in the order
+    of rarity, must be common.
+    """
+    k, longest = (100 - percent) / (100 + percent), 1 + 100 / percent
+    each = written(differences(around.select("a", "b"), sets)).select("a", "b", F.explode("e").alias("e"))
+    # Elements of one class only come first in the order and join with nothing: their number is what matters.
+    common = each.groupBy("a", "e").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    ranked = each.join(common, ["a", "e"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("times", "e"))).alias("es"))
+    rows = around.join(ranked, ["a", "b"]).withColumn("alone", F.col("apart") - F.size("es"))
+    limit = k * longest * F.col("n")
+    first = lambda most: F.explode(F.slice("es", 1, F.greatest(F.lit(0), F.floor(most + 1e-6) + 1 - F.col("alone")).cast("int")))
+    rows = written(rows)
+    facts = ("a", "b", "n", "apart", "loose", "of_b")
+    large = rows.select(*facts, first(limit).alias("p")).select(*facts, F.col("p.e").alias("e")).alias("x")
+    small = rows.select(*facts, first(F.least(limit / 2, (1 + k) / 2 * F.col("apart"))).alias("p")).select(*facts, F.col("p.e").alias("e")).alias("y")
+    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.e") == F.col("y.e"))
+    may = F.expr(
+        f"(x.apart > y.apart OR (x.apart = y.apart AND x.b < y.b)) AND (x.loose OR y.loose) AND x.of_b != y.of_b AND x.apart - y.apart <= {k!r} * (x.n + y.n) + 1e-6 AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
     )
+    return large.join(small, same & may).select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -201,17 +237,6 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _can_link(percent: int) -> Column:
-    """Whether classes x and y of one centre can reach the threshold, from their differences with the centre.
-
-    Two sets' difference has Dx + Dy - 2c elements, with c elements that both differences hold; c is at most
-    the bits that both bitmaps have, and what the bitmap lost. So no pair that links is ruled out.
-    """
-    near = f"{100 + percent} * (%s) <= {100 - percent} * (x.n + y.n)"
-    both = "aggregate(zip_with(x.delta, y.delta, (p, q) -> bit_count(p & q)), 0, (s, v) -> s + v)"
-    return F.expr(f"{near % 'abs(x.apart - y.apart)'} AND {near % f'x.apart + y.apart - 2 * (least(x.lost, y.lost) + {both})'}")
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs`` (doc_id, text).
 
@@ -248,13 +273,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     of = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     around = around.join(of("b"), "b", "left").join(of("a"), "a", "left").withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")})
     around = around.withColumn("loose", F.col("of_a") != F.col("of_b"))
-    open_centres = around.filter("loose").select("a").distinct()
-    around = written(around.join(written(open_centres), "a", "left_semi"))
-    more = (
-        around.filter("loose").alias("x").join(around.alias("y"), (F.col("x.a") == F.col("y.a")) & F.expr("x.of_b != y.of_b AND (NOT y.loose OR x.b < y.b)") & _can_link(percent))
-        .select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
-    )
-    links2 = written(compared(more, sets, percent).filter("linked").select("a", "b"))
+    open_centres = written(around.filter("loose").select("a").distinct())
+    around = written(around.join(open_centres, "a", "left_semi"))
+    links2 = written(compared(loose_pairs(around, sets, percent), sets, percent).filter("linked").select("a", "b"))
     # Rows of one doc_id with different texts are one node: the class ids are linked through it.
     same = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
     joined = components(links.unionByName(links2).unionByName(same))

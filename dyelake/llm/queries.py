@@ -8,9 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dyelake.llm import chat, language_id, pii, sql
+from dyelake.llm import chat, language_id, mixing, pii, sql
 from dyelake.llm.decontaminate import contamination
-from dyelake.llm.mixing import plan_mix
 from dyelake.llm.near_dedup import near_duplicates
 from dyelake.llm.quality_model import quality_scores
 from dyelake.llm.quality_rules import quality_rules
@@ -24,7 +23,7 @@ TOKENIZERS = os.environ.get("DYELAKE_TOKENIZERS", "/opt/tokenizers")
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
-    return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.digest(mixing.plan_mix(table(spark, sf_dir, "documents")))
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

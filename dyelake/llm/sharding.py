@@ -2,108 +2,91 @@
 
 Each node of the tree holds a box of documents and the number of shards to make of it. It is split along
 the dimension in which its documents spread widest, at the weighted quantile that gives either side the bytes of
-its shards. The quantile of every node of a level is found by counting: documents fall into a fixed number of
-bins of their node's range, bins are summed by a grouped aggregate, and the bin that holds the
-quantile is opened again until what is left in it is small beside a shard. So the driver sees at most
-nodes x bins sums, no document moves, and the finished tree is a small table of thresholds.
-
-The dimensions are functions of the text alone, so equal texts are one point of the space and a cut never
-parts them; only where one text's copies alone outweigh what a cut may miss are they dealt out by doc_id.
+its shards. The quantile of every node of a level is found by counting: documents fall into bins of their node's
+range, bins are summed by a grouped aggregate, and the bin that holds the
+quantile is opened again until what is left in it is small beside a shard. So the driver sees a bounded number of
+sums, documents don't move, and the tree is a table of one row a node, which is sent to the tasks.
+
+Dimensions are length, shares of non-ASCII and of white-space characters, language and source, each scaled to what the table has. Equal
+texts are one point of the space, also where their language or source differ, and a cut never
+parts them; only where one text's copies alone outweigh what a cut may miss are they dealt out by doc_id. Documents of one value
+go by a hash of their text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dyelake.functions.storage import written
 
-BINS = 1024
-#: Metadata dimensions, each a double in 0 to 1: length, share of non-ASCII bytes, and the text's hash.
-DIMENSIONS = {
-    "d0": "least(1.0D, ln(1 + size) / 30)",
-    "d1": "CASE WHEN bytes > 0 THEN CAST(bytes - chars AS DOUBLE) / bytes ELSE 0D END",
-    "d2": "crc / 4294967296D",
-}
-
-
-FIELDS = [*DIMENSIONS, "tie"]
-
-
-@dataclass
-class Node:
-    """shards first .. first + count - 1; split on ``dim`` at ``at``: left if below, or equal and tie < tie_at."""
-
-    first: int
-    count: int
-    dim: str = ""
-    at: float = 0.0
-    tie_at: float = 0.0
-    left: Node | None = None
-    right: Node | None = None
-
-
-def _pick(values: list, at: Column) -> Column:
-    """values[at], of a constant array."""
-    return F.get(F.array(*map(F.lit, values)), at)
-
-
-def leaf_of(root: Node, number: Callable[[Node], int]) -> Column:
-    """The number of each document's leaf: a walk down the tree, which lies in constant arrays."""
-    nodes = [root]
-    for n in nodes:
-        if n.left is not None:
-            nodes += [n.left, n.right]
-    index = {id(n): i for i, n in enumerate(nodes)}
-    depth = max(1, len(nodes).bit_length() + 1)
-    dims = F.array(*map(F.col, FIELDS))
-
-    def step(at: Column, _: Column) -> Column:
-        value, edge = F.get(dims, _pick([FIELDS.index(n.dim or "d0") for n in nodes], at)), _pick([n.at for n in nodes], at)
-        below = (value < edge) | ((value == edge) & (F.col("tie") < _pick([n.tie_at for n in nodes], at)))
-        down = F.when(below, _pick([index[id(n.left or n)] for n in nodes], at)).otherwise(_pick([index[id(n.right or n)] for n in nodes], at))
-        return down
-
-    return _pick([number(n) for n in nodes], F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step))
+#: Bins of all nodes of a level together, and those of a node at most.
+LEVEL_BINS, BINS = 65_536, 1024
+#: Levels whose cuts are worked out anew by each pass before the documents' nodes are written.
+WRITE_LEVELS = 6
+DIMENSIONS = ("length", "non_ascii", "spaces", "lang_place", "source_place")
+_FIELDS = (*DIMENSIONS, "tie")
+#: The logarithm of more bytes than a text can have.
+_LONGEST = 22.0
 
 
 def points(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, tie, dimensions) of each row of (doc_id, text); 80 bytes a document."""
-    base = docs.select("doc_id", F.octet_length("text").alias("b"), F.char_length("text").alias("c"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
-    base = base.withColumns({"bytes": F.coalesce("b", F.lit(0)).cast("long"), "chars": F.coalesce("c", F.lit(0)).cast("long")})
-    base = base.withColumn("size", F.col("bytes") + 16).withColumn("crc", F.coalesce("text_crc32", F.lit(0)))
-    dims = {k: F.expr(v).cast("double") for k, v in DIMENSIONS.items()}
+    """(doc_id, size, text_crc32, tie, DIMENSIONS) of each row of (doc_id, text) and, where ``docs`` has them, lang and source.
+
+    Copies of a text take the least lang and source of them all. lang_place and source_place are places in the order of code points by
+    rows, 0 to 1, and by length within a language or source, so that a cut that falls within one divides it by length. Languages and sources are few
+    beside documents.
+    """
+    kind = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("")
+    base = docs.select("doc_id", kind("lang").alias("lang"), kind("source").alias("source"), F.coalesce("text", F.lit("")).alias("t"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+    size, chars = F.octet_length("t").cast("long"), F.char_length("t").cast("double")
+    share = lambda n: F.when(chars > 0, n / F.greatest(F.lit(1.0), chars)).otherwise(0.0)
     # Equal values go by text first, so that copies stay together, and by doc_id among copies.
-    tie = (F.col("crc") + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)) / float(1 << 32)
-    return base.withColumns(dims).select("doc_id", "size", "text_crc32", tie.alias("tie"), *DIMENSIONS)
+    tie = (F.coalesce("text_crc32", F.lit(0)) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)) / float(1 << 32)
+    spaces = chars - F.char_length(F.translate("t", " \n\t", ""))
+    seen = written(
+        base.select("doc_id", (size + 16).alias("size"), "text_crc32", F.xxhash64("t").alias("print"), tie.alias("tie"), F.log1p(size.cast("double")).alias("length"), share(size - chars).alias("non_ascii"), share(spaces).alias("spaces"), "lang", "source")
+    )
+    # Groups of copies of several languages or sources: few, and joined back.
+    mixed = seen.groupBy("print", "size").agg(*(f(c).alias(f"{n}_{c}") for c in ("lang", "source") for n, f in (("least", F.min), ("most", F.max))))
+    mixed = written(mixed.filter("least_lang != most_lang OR least_source != most_source").select("print", "size", "least_lang", "least_source"))
+    seen = seen.join(mixed, ["print", "size"], "left").withColumns({c: F.coalesce(f"least_{c}", c) for c in ("lang", "source")})
+    for c in ("lang", "source"):
+        counts = seen.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+        every = F.sum("n").over(W.partitionBy())
+        places = counts.select(c, ((F.sum("n").over(W.orderBy(c)) - F.col("n")) / every).alias("from"), (F.col("n") / every).alias("part"))
+        seen = seen.join(written(places), c).withColumn(f"{c}_place", F.col("from") + F.col("part") * F.col("length") / _LONGEST).drop("from", "part")
+    return written(seen.select("doc_id", "size", "text_crc32", "tie", *DIMENSIONS))
 
 
 @dataclass
-class _Search:
-    """Where a cut of ``node`` along ``dim`` may lie: values of ``field`` in [low, high], ``before`` bytes below low.
+class _Cut:
+    """A node of shards first .. first + count - 1, and where its cut along ``dim`` may lie: values of ``field`` in [low, high], ``before``
+    bytes below low.
 
     field is the dimension itself or, within its one value ``at``, the order of texts and doc_ids. In the end
-    the cut is at (at, tie_at) and misses its goal by ``miss`` bytes.
+    a document goes left if its value is below ``at``, or equals it and its tie is below ``tie_at``.
     """
 
-    node: Node
-    total: int
-    dim: str
-    field: str
-    low: float
-    high: float
+    node: int
+    first: int
+    count: int
+    total: int = 0
+    dim: str = ""
+    field: str = ""
+    low: float = 0.0
+    high: float = 0.0
     before: int = 0
     at: float = 0.0
     tie_at: float = float("-inf")
-    miss: float = float("inf")
 
     def narrow(self, bins: list, most_left: float) -> bool:
         """Takes the sums of bins, in order; whether the search goes on."""
-        goal, total = self.total * (self.node.count // 2) / self.node.count, self.before
+        goal, total = self.total * (self.count // 2) / self.count, self.before
         for k, r in enumerate(bins):
             if total + r["size"] < goal and k + 1 < len(bins):
                 total += r["size"]
@@ -118,7 +101,6 @@ class _Search:
                 else:
                     self.low, self.high = r["low"], r["high"]
                 return True
-            self.miss = min(abs(under), abs(over))
             last = over < under and k + 1 == len(bins)
             edge = r["low"] if over >= under else float("inf") if last else bins[k + 1]["low"]
             if self.field == "tie":
@@ -132,80 +114,86 @@ class _Search:
         return False
 
 
-def _run(seen: DataFrame, root: Node, searches: list[_Search], most_left: float) -> None:
+def _sent(df: DataFrame, rows: dict[str, list]) -> DataFrame:
+    """A table of one row a node, as many as shards at most, for tasks to look up."""
+    return F.broadcast(df.sparkSession.createDataFrame(pa.table(rows)))
+
+
+def _value(field: str) -> Column:
+    return F.get(F.array(*map(F.col, _FIELDS)), F.col(field))
+
+
+def _run(seen: DataFrame, cuts: list[_Cut], most_left: float) -> None:
     """Carries on the searches, of different nodes, until each has its cut."""
-    going = searches
+    going = cuts
     while going:
-        index = {id(s.node): i for i, s in enumerate(going)}
-        g, fields = F.col("g"), F.array(*map(F.col, FIELDS))
-        value = F.get(fields, _pick([FIELDS.index(s.field) for s in going], g))
-        low, high = _pick([s.low for s in going], g), _pick([s.high for s in going], g)
-        width = _pick([max(s.high - s.low, 5e-324) for s in going], g)
+        bins = max(8, min(BINS, LEVEL_BINS // len(going)))
+        sent = _sent(seen, {
+            "node": [c.node for c in going], "field": [_FIELDS.index(c.field) for c in going], "lo": [float(c.low) for c in going], "hi": [float(c.high) for c in going],
+            "own": [_FIELDS.index(c.dim) for c in going], "spot": [float(c.at) for c in going], "tied": [c.field == "tie" for c in going],
+        })
+        value = F.col("value")
         # A search within one value looks at that value only.
-        own = F.get(fields, _pick([FIELDS.index(s.dim) for s in going], g))
-        alone = ~_pick([s.field == "tie" for s in going], g) | (own == _pick([s.at for s in going], g))
-        sums = (
-            seen.withColumn("g", leaf_of(root, lambda n: index.get(id(n), -1)))  # noqa: B023
-            .filter("g >= 0").withColumn("value", value).filter(alone & (F.col("value") >= low) & (F.col("value") <= high))
-            .withColumn("bin", F.least(F.lit(BINS - 1), F.floor((F.col("value") - low) / width * BINS)).cast("int"))
-            .groupBy("g", "bin").agg(F.sum("size").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
-        )
-        bins: list[list] = [[] for _ in going]
+        held = seen.join(sent, "node").withColumn("value", _value("field")).filter((~F.col("tied") | (_value("own") == F.col("spot"))) & (value >= F.col("lo")) & (value <= F.col("hi")))
+        spot = F.least(F.lit(bins - 1), F.floor((value - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(5e-324)) * bins)).cast("int")
+        sums = held.groupBy("node", spot.alias("bin")).agg(F.sum("size").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
+        found: dict[int, list] = {c.node: [] for c in going}
         for r in sorted(sums, key=lambda r: r["bin"]):
-            bins[r["g"]].append(r)
-        going = [s for s, own in zip(going, bins, strict=True) if s.narrow(own, most_left)]
+            found[r["node"]].append(r)
+        going = [c for c in going if c.narrow(found[c.node], most_left)]
 
 
-def _level(seen: DataFrame, root: Node, nodes: list[Node], most_left: float) -> None:
-    """Splits ``nodes``, leaves of the tree so far, along the widest dimension; where documents are so few that its
-    best cut misses by much more than ``most_left``, along the one that misses least."""
-    number = {id(n): i for i, n in enumerate(nodes)}
-    held = seen.withColumn("node", leaf_of(root, lambda n: number.get(id(n), -1))).filter("node >= 0")
+def _aim(seen: DataFrame, cuts: list[_Cut]) -> None:
+    """Gives each node the dimension in which its documents' scaled values deviate most."""
     aggs = [f(d).alias(f"{n}_{d}") for d in DIMENSIONS for f, n in ((F.min, "min"), (F.max, "max"), (F.stddev_pop, "std"))]
-    best: dict[int, _Search] = {}
-    ranges = held.groupBy("node").agg(F.sum("size").alias("total"), *aggs).collect()
-    for turn in range(len(DIMENSIONS)):
-        tries = []
-        for r in ranges:
-            dim = sorted(DIMENSIONS, key=lambda d: (-(r[f"std_{d}"] or 0.0), d))[turn]  # noqa: B023
-            if turn == 0 or best[r["node"]].miss > 5 * most_left:
-                tries.append(_Search(nodes[r["node"]], r["total"], dim, dim, r[f"min_{dim}"], r[f"max_{dim}"]))
-        _run(seen, root, tries, most_left)
-        for s in tries:
-            i = number[id(s.node)]
-            if i not in best or s.miss < best[i].miss:
-                best[i] = s
-    for s in best.values():
-        n, half = s.node, s.node.count // 2
-        n.dim, n.at, n.tie_at = s.dim, s.at, s.tie_at
-        n.left, n.right = Node(n.first, half), Node(n.first + half, n.count - half)
-
-
-def kd_tree(seen: DataFrame, shards: int, slack: float = 0.002) -> Node:
-    """The tree over points() rows; each cut misses its byte goal by ``slack`` of a shard at most."""
-    total = seen.agg(F.sum("size")).first()[0] or 0
-    root = Node(0, shards)
-    level = [root] if total and shards > 1 else []
+    known = {r["node"]: r for r in seen.join(_sent(seen, {"node": [c.node for c in cuts]}), "node").groupBy("node").agg(F.sum("size").alias("total"), *aggs).collect()}
+    # A side without documents, of tables smaller than their shards, is no node any more.
+    cuts[:] = [c for c in cuts if c.node in known]
+    for c in cuts:
+        r = known[c.node]
+        c.dim = c.field = max(DIMENSIONS, key=lambda d: r[f"std_{d}"] or 0.0)  # noqa: B023
+        c.total, c.low, c.high = r["total"], r[f"min_{c.dim}"], r[f"max_{c.dim}"]
+
+
+def kd_tree(seen: DataFrame, shards: int, slack: float = 0.002) -> DataFrame:
+    """points() rows with their shard. A cut misses its byte goal by ``slack`` of a shard, or by half of the document that lies on it."""
+    facts = seen.agg(F.sum("size").alias("total"), *(f(d).alias(f"{n}_{d}") for d in DIMENSIONS for f, n in ((F.min, "min"), (F.max, "max")))).first()
+    if not facts["total"]:
+        return seen.withColumn("shard", F.lit(0))
+    scaled = {d: (F.col(d) - facts[f"min_{d}"]) / (facts[f"max_{d}"] - facts[f"min_{d}"] or 1.0) for d in DIMENSIONS}
+    seen = seen.withColumns(scaled).withColumn("node", F.lit(1).cast("long"))
+    level, leaves = [_Cut(1, 0, shards)], {}
+    depth = 0
     while level:
-        _level(seen, root, level, slack * total / shards)
-        level = [x for n in level if n.left for x in (n.left, n.right) if x.count > 1]
-    return root
+        leaves |= {c.node: c.first for c in level if c.count == 1}
+        cuts = [c for c in level if c.count > 1]
+        if not cuts:
+            break
+        _aim(seen, cuts)
+        _run(seen, cuts, slack * facts["total"] / shards)
+        sent = _sent(seen, {"node": [c.node for c in cuts], "field": [_FIELDS.index(c.dim) for c in cuts], "spot": [float(c.at) for c in cuts], "tie_at": [float(c.tie_at) for c in cuts]})
+        below = (_value("field") < F.col("spot")) | ((_value("field") == F.col("spot")) & (F.col("tie") < F.col("tie_at")))
+        node = F.when(F.col("field").isNull(), F.col("node")).otherwise(F.col("node") * 2 + F.when(below, 0).otherwise(1))
+        seen = seen.join(sent, "node", "left").withColumn("node", node).drop("field", "spot", "tie_at")
+        depth += 1
+        seen = written(seen) if depth % WRITE_LEVELS == 0 else seen
+        level = [_Cut(2 * c.node + k, c.first + k * (c.count // 2), (c.count // 2, c.count - c.count // 2)[k]) for c in cuts for k in (0, 1)]
+    return seen.join(_sent(seen, {"node": list(leaves), "shard": list(leaves.values())}), "node").withColumn("shard", F.col("shard").cast("int")).drop("node")
 
 
 def kd_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of each row of ``docs`` (doc_id, text).
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of each row of ``docs`` (doc_id, text; lang and source if there).
 
     The law is ``bytes``: sizes of shards are near equal. size is the text's UTF-8 bytes (null: none) plus 16,
     text_crc32 the text's (null: null), slot counts a shard's rows from 0 without gaps, grown_shard is null. Equal
     texts share a shard unless a cut falls on them that can't be moved without loss of balance.
 
-    Null texts are one point like any other, as are null doc_ids for the order within copies. Rows that
+    Null texts are one point like any other, as are null doc_ids for the order within copies; null languages and sources are empty ones. Rows that
     are equal in all columns get slots of their own. An empty table gives an empty one; other columns are
     ignored. Of fewer documents than shards some shards stay empty.
     """
-    seen = written(points(docs))
-    root = kd_tree(seen, shards)
-    placed = seen.select("doc_id", "size", "text_crc32", leaf_of(root, lambda n: n.first).alias("shard"), F.pmod(F.xxhash64("doc_id", "size"), F.lit(4096)).alias("part"))
+    seen = kd_tree(points(docs), shards)
+    placed = written(seen.select("doc_id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(4096)).alias("part")))
     counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     offset = counts.withColumn("from", F.coalesce(F.sum("n").over(W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
     own = F.row_number().over(W.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")) - 1

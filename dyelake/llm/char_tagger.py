@@ -19,11 +19,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
-def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 class Tagger:
     """Emissions from a BiLSTM over character embeddings; a linear-chain CRF over the tags."""
 
@@ -81,35 +76,37 @@ class Tagger:
         return both @ self.p["Wo"] + self.p["bo"], (x, both, tape_f, tape_b)
 
     def _chain(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log forward and backward sums and the log partition."""
-        fore, aft = np.empty_like(e), np.zeros_like(e)
-        fore[0] = e[0]
-        for t in range(1, len(e)):
-            fore[t] = e[t] + _logsum(fore[t - 1][:, :, None] + self.p["A"], 1)
+        """Each place's tag probabilities (steps, batch, tags), sums over the batch of those of each pair of neighbours' tags, and
+        the log partition. Forward and backward sums are kept to a total of 1 at each place."""
+        top, edge = e.max(2, keepdims=True), self.p["A"].max()
+        like, step = np.exp(e - top), np.exp(self.p["A"] - edge)
+        fore, aft, total = np.empty_like(like), np.ones_like(like), np.empty((*e.shape[:2], 1), e.dtype)
+        for t in range(len(e)):
+            now = (fore[t - 1] @ step) * like[t] if t else like[0]
+            total[t] = now.sum(1, keepdims=True)
+            fore[t] = now / total[t]
+        pairs = np.zeros_like(step)
         for t in range(len(e) - 2, -1, -1):
-            aft[t] = _logsum(self.p["A"][None] + (e[t + 1] + aft[t + 1])[:, None, :], 2)
-        return fore, aft, _logsum(fore[-1], 1)
+            ahead = like[t + 1] * aft[t + 1] / total[t + 1]
+            aft[t] = ahead @ step.T
+            pairs += fore[t].T @ ahead
+        return fore * aft, pairs * step, (np.log(total) + top).sum((0, 2)) + (len(e) - 1) * edge
 
     def gradients(self, ids: np.ndarray, tags: np.ndarray) -> tuple[float, dict]:
         """Mean negative log likelihood of tags (batch, steps), and its gradients."""
         e, (x, both, tape_f, tape_b) = self.emissions(ids)
-        fore, aft, total = self._chain(e)
+        share, pair, total = self._chain(e)
         size, gold = ids.shape[0], tags.T
-        share = np.exp(fore + aft - total[None, :, None])
         onehot = np.eye(self.tags, dtype=np.float32)[gold]
         score = (e * onehot).sum((0, 2)) + self.p["A"][gold[:-1], gold[1:]].sum(0)
-        pair = np.zeros((self.tags, self.tags), np.float32)
-        for t in range(len(e) - 1):
-            pair += np.exp(fore[t][:, :, None] + self.p["A"] + (e[t + 1] + aft[t + 1])[:, None, :] - total[:, None, None]).sum(0)
-        np.subtract.at(pair, (gold[:-1].ravel(), gold[1:].ravel()), 1)
+        pair = pair - np.bincount((gold[:-1] * self.tags + gold[1:]).ravel(), minlength=self.tags**2).reshape(pair.shape).astype(np.float32)
         de = ((share - onehot) / size).astype(np.float32)
         grads = {"A": pair / size, "bo": de.sum((0, 1)), "Wo": both.reshape(-1, both.shape[2]).T @ de.reshape(-1, self.tags)}
         dboth = de @ self.p["Wo"].T
         n = self.hidden
         dx = self._lstm_back(x, "f", tape_f, dboth[:, :, :n], grads)
         dx = dx + self._lstm_back(x[::-1], "b", tape_b, dboth[::-1, :, n:], grads)[::-1]
-        grads["E"] = np.zeros_like(self.p["E"])
-        np.add.at(grads["E"], ids.T, dx)
+        grads["E"] = np.stack([np.bincount(ids.T.ravel(), dx[:, :, k].ravel(), VOCABULARY) for k in range(dx.shape[2])], axis=1).astype(np.float32)
         return float((total - score).mean()), grads
 
     def train(self, ids: np.ndarray, tags: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.01, seed: int = 5) -> float:
@@ -123,7 +120,7 @@ class Tagger:
                 losses.append(lost)
                 step += 1
                 norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
-                now = rate * (0.5 if epoch > epochs * 2 // 3 else 1.0)
+                now = rate * (0.5 if epoch >= epochs * 2 // 3 else 1.0)
                 for k, g in grads.items():
                     g = g * min(1.0, 5 / (norm + 1e-9))
                     m[k] = 0.9 * m[k] + 0.1 * g
@@ -144,6 +141,5 @@ class Tagger:
         path[-1] = best.argmax(1)
         for t in range(len(e) - 1, 0, -1):
             path[t - 1] = np.take_along_axis(back[t], path[t][:, None], 1)[:, 0]
-        fore, aft, total = self._chain(e)
-        sure = np.take_along_axis(np.exp(fore + aft - total[None, :, None]), path[:, :, None], 2)[:, :, 0]
+        sure = np.take_along_axis(self._chain(e)[0], path[:, :, None], 2)[:, :, 0]
         return path.T, sure.T

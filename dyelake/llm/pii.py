@@ -1,10 +1,10 @@
 """Personal data: fixed patterns, and a character tagger that adds what they miss.
 
-The patterns give the base spans. A BiLSTM-CRF learns from spans that the patterns label in a
-bounded sample of texts, and from written-out forms beside them, and reads every place of every text that
-could hold personal data: each digit or @ sign with its surroundings. A text is read in overlapping
-windows, and where they overlap, the window in which a character lies most centrally decides, so that
-spans across window edges come out whole.
+The patterns give the base spans. A BiLSTM-CRF learns from labelled spans: those of the patterns and of assigned keys in a
+bounded sample of windows of the texts, and written-out forms that no pattern takes (numbers in other groupings, spelled-out addresses, keys and
+identity numbers) set into such windows. It reads every place of every text that could hold personal data: each digit, @ sign,
+bracketed "at" and " dot ", with what surrounds it. A text is read in overlapping windows, and where they overlap, the window in which a
+character lies most centrally decides, so that spans across window edges come out whole.
 """
 
 from __future__ import annotations
@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from dyelake.llm.char_tagger import Tagger, encode
 from dyelake.llm.text import rows_of, texts_of
 
-KINDS = ("email", "ip", "card", "phone")
+#: Kinds of the patterns, and those that only the tagger finds.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret", "ssn")
 WINDOW, STRIDE = 64, 32
+EPOCHS = 14
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_BACK = re.compile(r"[A-Za-z0-9._%+-]*")
@@ -30,10 +33,24 @@ _LOCAL_BACK = re.compile(r"[A-Za-z0-9._%+-]*")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_ASSIGNED = re.compile(r"""(?i)\b(?:token|secret|password|api[_-]?key)\s*[=:]\s*["']?([A-Za-z0-9+/_-]{12,})""")
+_PLACE = re.compile(r"(?i)[0-9@]|[\[(]at[\])]| dot ")
 _GATE = np.zeros(256, bool)
 _GATE[0x30:0x3A] = _GATE[0x40] = True
 
 
+def _gated(data: np.ndarray) -> np.ndarray:
+    """Bytes at which a place to read begins: what _PLACE matches."""
+    out = _GATE[data]
+    if len(data) > 4:
+        low = data | 0x20
+        at = (low[1:-3] == 0x61) & (low[2:-2] == 0x74) & np.isin(data[:-4], (0x28, 0x5B)) & np.isin(data[3:-1], (0x29, 0x5D))
+        dot = (data[:-4] == 0x20) & (low[1:-3] == 0x64) & (low[2:-2] == 0x6F) & (low[3:-1] == 0x74) & (data[4:] == 0x20)
+        out[:-4] |= at | dot
+        out[-4] |= bool(data[-4] in (0x28, 0x5B) and low[-3] == 0x61 and low[-2] == 0x74 and data[-1] in (0x29, 0x5D))
+    return out
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -70,9 +87,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def windows(text: str) -> list[int]:
-    """Starts of overlapping windows that cover each digit and @ sign of the text with what surrounds it."""
+    """Starts of overlapping windows that cover each place of the text that is read, with what surrounds it."""
     starts: list[int] = []
-    for m in re.finditer("[0-9@]", text):
+    for m in _PLACE.finditer(text):
         for k in range(max(0, m.start() - 40) // STRIDE, (m.start() + 8) // STRIDE + 1):
             if not starts or starts[-1] < k * STRIDE:
                 starts.append(k * STRIDE)
@@ -88,55 +105,117 @@ def _tags(start: int, spans: list[tuple[str, int, int]]) -> np.ndarray:
     return out
 
 
-def _written_out(rng: random.Random) -> tuple[str, str | None]:
-    """A form that the patterns don't take, with its kind, or one that only looks like personal data."""
-    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
-    w = lambda: "".join(rng.choice("abcdefghilmnoprstuw") for _ in range(rng.randint(3, 8)))
-    forms = [
-        (f"({rng.randint(2, 9)}{d(2)}) {d(3)}-{d(4)}", "phone"), (f"{rng.randint(2, 9)}{d(2)}-{d(3)}-{d(4)}", "phone"), (f"{rng.randint(2, 9)}{d(2)}.{d(3)}.{d(4)}", "phone"),
-        (f"+{rng.randint(1, 9)} ({d(3)}) {d(3)}-{d(4)}", "phone"), (f"{w()}.{d(2)}@{w()}.{w()}.com", "email"), (f"{w()}@{w()}.org", "email"),
-        (f"4{d(3)}.{d(4)}.{d(4)}.{d(4)}", "card"), (".".join(str(rng.randint(1, 254)) for _ in range(4)), "ip"),
-        (f"19{d(2)}-0{rng.randint(1, 9)}-1{d(1)}", None), (f"{rng.randint(1, 9)}.{d(1)}", None), (f"{d(2)}:{d(2)}", None), (f"${d(3)}.{d(2)}", None), (f"{d(4)}", None), (d(rng.randint(1, 6)), None),
-        ("password=" + "".join(rng.choice("0123456789abcdef") for _ in range(18)), None), ("AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(16)), None),
-        ('token = "' + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + '"', None), (f"{w()}@{w()}", None), (f"v{d(1)}.{d(2)}.{d(1)}", None),
-    ]
-    return rng.choice(forms)
+def written_out(rng: random.Random, held_out: bool = False) -> tuple[str, str | None]:
+    """A form that the patterns don't take, with its kind, or one that only looks like personal data (None).
 
+    ``held_out`` gives forms in groupings and with words that learn() has not seen, for measuring.
+    """
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    chars = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    word = lambda: chars(rng.randint(3, 8), "abcdefghilmnoprstuwyk")
+    byte, area = lambda: str(rng.randint(0, 255)), lambda: f"{rng.randint(2, 9)}{digits(2)}"
+    hexed, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def card(mark: str) -> str:
+        while not _luhn(n := f"{rng.randint(3, 6)}{digits(15)}"):
+            pass
+        return mark.join(n[i : i + 4] for i in range(0, 16, 4))
+
+    name, host, end = rng.choice((word(), f"{word()}.{word()}", f"{word()}{digits(2)}", f"{word()}_{word()}")), word(), rng.choice(("com", "org", "net", "edu", "de"))
+    quote = rng.choice(('"', "'", ""))
+    if held_out:
+        spelled = rng.choice((f"{name} (at) {host} dot {end}", f"{name} [at] {host}.{word()}.{end}", f"{name}(at){host} dot {end}"))
+        phone = rng.choice((f"({area()}){digits(3)}-{digits(4)}", f"1-{area()}-{digits(3)}-{digits(4)}", f"{area()} {digits(3)}-{digits(4)}"))
+        key = rng.choice((f"auth_token: {quote}{chars(32, hexed)}{quote}", f"client_secret = {quote}{chars(28, mixed)}{quote}", chars(36, hexed), f"ghs_{chars(36, mixed)}"))
+        address = rng.choice(("(.)".join(byte() for _ in range(4)), ":".join(chars(4, hexed) for _ in range(7)) + "::"))
+        number, odd = card(rng.choice(("/", "_"))), rng.choice((f"{digits(2)}/{digits(2)}/19{digits(2)}", f"no. {digits(5)}", f"{digits(2)},{digits(3)} km", f"Fig. {digits(1)}.{digits(2)}", f"{digits(3)}%", f"Q{rng.randint(1, 4)} 20{digits(2)}"))
+    else:
+        spelled = rng.choice((f"{name} [at] {host} [dot] {end}", f"{name} at {host} dot {end}", f"{name}(at){host}.{end}", f"{name} AT {host} DOT {end}", f"{name}[at]{host}[dot]{end}", f"{name} (at) {host}.{end}"))
+        first, mark = rng.choice(("", "", "1 ", "1-", "1.", "01 ")), rng.choice("-. ")
+        lead = rng.choice((f"({area()}) ", f"({area()})", f"{area()}-", f"{area()}.", f"{area()} "))
+        if (first, mark, lead[-1]) in (("1-", "-", "-"), ("", "-", ")"), ("", "-", " ")) and lead[-2] != ")":
+            first, mark = "1 ", "."
+        phone = rng.choice((f"{first}{lead}{digits(3)}{mark}{digits(4)}",) * 3 + (f"({area()}) {digits(3)}-{digits(4)}", f"{area()}-{digits(3)}-{digits(4)}", f"0{digits(2)} {digits(4)} {digits(4)}"))
+        word_of = rng.choice(("token", "api_key", "apikey", "secret", "password", "passwd", "pwd", "access_key", "key"))
+        key = rng.choice((f"{word_of}{rng.choice((' = ', '=', ': '))}{quote}{chars(rng.randint(16, 44), rng.choice((hexed, hexed, mixed)))}{quote}", f"AKIA{chars(16, mixed[:26] + mixed[-10:])}", f"ghp_{chars(36, mixed)}", f"sk-{chars(32, mixed)}", chars(rng.choice((32, 40)), hexed)))
+        address = rng.choice(("[.]".join(byte() for _ in range(4)), " . ".join(byte() for _ in range(4)), "(.)".join((byte(), byte(), byte(), byte())), ":".join(chars(4, hexed) for _ in range(8)), ":".join(chars(rng.randint(1, 4), hexed) for _ in range(4)) + "::" + chars(4, hexed)))
+        number = card(rng.choice((".", "/", "  ", "_", " - ")))
+        odd = rng.choice((
+            f"19{digits(2)}-0{rng.randint(1, 9)}-1{digits(1)}", f"{rng.randint(1, 9)}.{digits(1)}", f"{digits(2)}:{digits(2)}", f"${digits(3)}.{digits(2)}", digits(4), digits(rng.randint(1, 7)), f"{word()}@{word()}", f"v{digits(1)}.{digits(2)}.{digits(1)}",
+            f"{digits(1)},{digits(3)},{digits(3)}", f"{word()}{digits(2)}", f"({digits(1)})", f"pages {digits(3)}-{digits(3)}", f"{digits(2)}.{digits(2)}.20{digits(2)}", f"{digits(2)}/{digits(2)}/{digits(4)}", f"{word()} at {word()}", f"the {word()} dot {word()}", f"CC BY-NC {digits(1)}.{digits(1)}",
+        ))
+    ssn = f"{rng.randint(1, 8)}{digits(2)}-{digits(2)}-{digits(4)}"
+    form, kind = rng.choice(((spelled, "email"), (spelled, "email"), (phone, "phone"), (key, "secret"), (address, "ip"), (number, "card"), (ssn, "ssn"), (odd, None), (odd, None)))
+    return (form.upper() if kind in ("secret", "email", None) and rng.random() < 0.15 else form), kind
+
+
+def value_of(form: str, kind: str | None) -> tuple[int, int]:
+    """Where in a form its span is: of an assigned key the value, else all."""
+    m = re.search(r"""[=:]\s*["']?([A-Za-z0-9+/_-]{12,})["']?$""", form) if kind == "secret" else None
+    return m.span(1) if m else (0, len(form))
+
+
+def _labelled(text: str) -> list[tuple[str, int, int]]:
+    """Spans to learn from: the patterns', and values of assigned keys that lie in none of them."""
+    base = base_spans(text)
+    return base + [("secret", *m.span(1)) for m in _ASSIGNED.finditer(text) if not any(m.start(1) < b and a < m.end(1) for _, a, b in base)]
+
+
+def _sampled(docs: DataFrame, most_docs: int, most_windows: int) -> list:
+    """(line, tags) of windows of about ``most_docs`` documents, cut where the texts are; ``most_windows`` rows at most, by a hash of the line."""
+    share = min(1.0, most_docs / max(1, docs.count()))
+    some = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < 1_000_003 * share)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                starts = windows(text or "")
+                if starts:
+                    spans = _labelled(text)
+                    yield pa.RecordBatch.from_arrays([pa.array([text[s : s + WINDOW] for s in starts]), pa.array([_tags(s, spans).astype(np.uint8).tobytes() for s in starts], pa.binary())], names=["line", "tags"])
 
-def learn(docs: DataFrame, most_texts: int = 1500, seed: int = 3) -> Tagger:
-    """A tagger trained on about ``most_texts`` texts with a digit or @ sign, drawn by a hash of the text.
+    lines = texts_of(some, "text").mapInArrow(cut, "line string, tags binary").distinct()
+    return lines.orderBy(F.xxhash64("line"), "line", "tags").limit(most_windows).collect()
 
-    Its labels are the patterns' spans there, and as many written-out forms set into windows of the same texts.
+
+def learn(docs: DataFrame, most_docs: int = 3000, most_windows: int = 1500, forms: int = 5000, seed: int = 3) -> Tagger:
+    """A tagger trained on windows of about ``most_docs`` documents, and ``forms`` written-out forms set into such windows.
+
+    Documents are drawn by a hash of their text, windows by one of what they hold, wherever they lie in a text; ``most_windows`` bounds
+    what comes to the driver. Equal windows count once.
     """
-    some = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
-    # Which texts are drawn depends on their hashes alone; how many there are is counted over all.
-    share = min(1.0, most_texts / max(1, some.count()))
-    texts = [r["text"] for r in some.filter(F.pmod("h", F.lit(1_000_003)) < 1_000_003 * share).orderBy("h").limit(2 * most_texts).collect()]
     rng = random.Random(seed)
     ids, tags, plain = [], [], []
-    for text in texts:
-        spans = base_spans(text)
-        for s in windows(text)[:6]:
-            ids.append(encode(text[s : s + WINDOW], WINDOW))
-            tags.append(_tags(s, spans))
-            plain.append(re.sub(r"\S*[0-9@]\S*", " ", text[s : s + WINDOW]))
-    for _ in range(max(1200, len(ids) // 2)):
-        form, kind = _written_out(rng)
-        around = rng.choice(plain) if plain else "so it was said, and then "
-        cut = rng.randint(0, len(around))
-        text = around[:cut][-(WINDOW - len(form)) :] if cut else ""
-        text = f"{text.rstrip()} " if text.strip() else ""
-        line = (text + form + " " + around[cut:])[:WINDOW]
-        spans = [(kind, len(text), len(text) + len(form))] if kind else []
+    for r in _sampled(docs, most_docs, most_windows):
+        ids.append(encode(r["line"], WINDOW))
+        tags.append(np.frombuffer(r["tags"], np.uint8).astype(np.int64))
+        plain.append(re.sub(r"\S*[0-9@]\S*", " ", r["line"]))
+    for _ in range(forms):
+        line, spans = planted(rng, plain)
         ids.append(encode(line, WINDOW))
         tags.append(_tags(0, spans))
-    order = np.random.default_rng(seed).permutation(len(ids))[:5000]
     tagger = Tagger(1 + 2 * len(KINDS))
-    tagger.train(np.stack(ids)[order], np.stack(tags)[order])
+    tagger.train(np.stack(ids), np.stack(tags), epochs=EPOCHS, batch=256, rate=0.025)
     return tagger
 
 
-def tagged_spans(tagger: Tagger, texts: list[str], sure: float = 0.9) -> list[list[tuple[str, int, int]]]:
+def planted(rng: random.Random, plain: list[str], held_out: bool = False, length: int = WINDOW) -> tuple[str, list[tuple[str, int, int]]]:
+    """A line of ``length`` with a written-out form somewhere in one of the plain lines, and its spans: a part of the form where it is cut off."""
+    form, kind = written_out(rng, held_out)
+    around = rng.choice(plain) if plain else "so it was said, and then "
+    cut = rng.randint(0, len(around))
+    before, after = around[:cut].rstrip(), around[cut:].lstrip()
+    before = f"{before} " if before else ""
+    end = rng.choice((" ", " ", " ", ". ", ", ", "; ", "!! ", "\n"))
+    low, high = value_of(form, kind)
+    line = before + form + end + after
+    # Windows begin anywhere, also inside a form.
+    shift = rng.randint(0, max(0, len(before) + len(form) - 8)) if rng.random() < 0.4 else max(0, len(before) + len(form) - length)
+    spans = [(kind, max(0, len(before) + low - shift), len(before) + high - shift)] if kind else []
+    return line[shift : shift + length], [s for s in spans if s[1] < min(length, s[2])]
+
+
+def tagged_spans(tagger: Tagger, texts: list[str], sure: float = 0.6) -> list[list[tuple[str, int, int]]]:
     """The tagger's spans of each text, of windows decoded together and reconciled by text."""
     where = [(n, s) for n, text in enumerate(texts) for s in windows(text)]
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
@@ -169,8 +248,20 @@ def tagged_spans(tagger: Tagger, texts: list[str], sure: float = 0.9) -> list[li
 
 
 def _worth(kind: str, text: str) -> bool:
-    digits = sum(c in "0123456789" for c in text)
-    return {"email": "@" in text[1:-1] and "." in text, "ip": digits >= 4 and text.count(".") == 3, "card": 13 <= digits <= 19, "phone": 7 <= digits <= 15}[kind]
+    """Whether a span could be of its kind by the characters it has."""
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "email":
+        return bool(re.search(r"(?i)\S\s?(?:@|[\[(]at[\])]|\bat\b)\s?\S", text) and re.search(r"(?i)\.|\bdot\b", text))
+    if kind == "ip":
+        parts = re.split(r"[^0-9A-Za-z:]+", text)
+        return text.count(":") > 3 or len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    if kind == "phone":
+        return 7 <= len(digits) <= 15 and not re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", text)
+    if kind == "ssn":
+        return bool(re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", text))
+    return len(text) >= 12 and bool(digits) and not re.search(r"\s", text)
 
 
 def personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
@@ -178,7 +269,8 @@ def personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
 
     Offsets are code points, the end exclusive. Base spans are the patterns': per kind the leftmost ones
     that don't overlap, less those that fail the kind's test. The tagger's spans are added where they
-    overlap no base span and could be of their kind by their digits; base spans stay.
+    overlap no base span and could be of their kind by their characters; base spans stay. Added spans may be of kinds that have no pattern:
+    secret (keys, tokens and passwords with a digit) and ssn.
 
     Null and empty texts have no spans. Texts are read whole; work on a text is linear in its length.
     Repeated rows get equal answers, an empty table gives an empty one, other columns are ignored.
@@ -192,7 +284,7 @@ def personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
             for part in rows_of(column, fold=False):
                 n = len(part)
                 own: list[list] = [[] for _ in range(n)]
-                rows = np.flatnonzero(part.per_row(_GATE[part.data]))
+                rows = np.flatnonzero(part.per_row(_gated(part.data)))
                 texts = [column[part.first + int(r)].as_py() for r in rows]
                 for r, text, more in zip(rows, texts, tagged_spans(held.value, texts), strict=True):
                     base = base_spans(text)
@@ -205,13 +297,14 @@ def personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts by kind of base spans, their digest, and all spans as text, of personal_data() rows."""
+    """Counts by kind of base spans, their digest, all spans as text, and how many are the tagger's, of personal_data() rows."""
     base = F.filter("spans", lambda x: x["base"])
     number = lambda kind: F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long")
     text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     return found.select(
         "doc_id",
-        *(number(k).alias(f"n_{k}") for k in KINDS),
+        *(number(k).alias(f"n_{k}") for k in BASE_KINDS),
         F.sha2(text(base), 256).alias("base_sha256"),
         text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda x: ~x["base"])).cast("long").alias("n_added"),
     )

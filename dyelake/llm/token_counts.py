@@ -7,7 +7,8 @@ already known, so only their number is added and matching goes on from the link'
 read once.
 
 Distinct words of a batch go through the automaton together, one byte position at a time, as numpy
-arrays; a text's count is the sum of its words' counts.
+arrays; what is left of them once only a few go on is read byte by byte, so a very long word costs its length. A text's count
+is the sum of its words' counts.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,10 @@ from pyspark.sql import DataFrame
 from dyelake.llm.text import NOT_SPACE, by_row, fingerprints, rows_of, texts_of
 
 
+#: Words that are worth a step of numpy together.
+FEW = 32
+
+
 @dataclass
 class Automaton:
     """A trie over bytes; node 0 is the root. edges are node * 256 + byte, sorted, to targets.
@@ -37,6 +42,25 @@ class Automaton:
     link: np.ndarray
     popped: np.ndarray
 
+    @cached_property
+    def plain(self) -> tuple[dict, list, list]:
+        """edges as a dictionary, link and popped as lists."""
+        return dict(zip(self.edges.tolist(), self.targets.tolist(), strict=True)), self.link.tolist(), self.popped.tolist()
+
+    def rest(self, data: bytes, node: int, pieces: int) -> tuple[int, int, bool]:
+        """(node, pieces, whether it can't be split) after the bytes, from ``node`` and ``pieces`` on."""
+        edges, link, popped = self.plain
+        for byte in data:
+            to = edges.get(node << 8 | byte)
+            while to is None:
+                if link[node] < 0:
+                    return node, pieces, True
+                pieces += popped[node]
+                node = link[node]
+                to = edges.get(node << 8 | byte)
+            node = to
+        return node, pieces, False
+
     def go(self, nodes: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The targets of the nodes' edges, or -1."""
         key = nodes * 256 + byte
@@ -57,6 +81,10 @@ class Automaton:
                     live = int(np.searchsorted(-size[order], -k, "left"))
             own = order[:live]
             own = own[~bad[own]]
+            if k >= 0 and len(own) <= FEW:
+                for w in own.tolist():
+                    node[w], pieces[w], bad[w] = self.rest(data[starts[w] + k : ends[w]].tobytes(), int(node[w]), int(pieces[w]))
+                break
             byte = np.full(len(own), prefix[step], np.int64) if k < 0 else data[starts[own] + k].astype(np.int64)
             while len(own):
                 to = self.go(node[own], byte)

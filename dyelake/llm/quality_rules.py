@@ -9,7 +9,7 @@ documents only matter through their vote patterns, so a grouped count over all d
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dyelake.functions.storage import written
-from dyelake.llm.text import NOT_SPACE, by_row, fingerprints, mix, rows_of, texts_of
+from dyelake.llm.text import NOT_SPACE, Rows, by_row, fingerprints, mix, rows_of, texts_of
 
 _U = np.uint64
 _SYMBOL = np.zeros(256, bool)
@@ -30,8 +30,8 @@ _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = _LETTER[0xC0:] = True
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marked", "n_long", "n_twins")
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """(doc_id, and MEASURES as long) of each row of ``docs`` (doc_id, text).
+def measures(docs: DataFrame, more: tuple[str, str, Callable[[Rows], pa.Array]] | None = None) -> DataFrame:
+    """(doc_id, and MEASURES as long) of each row of ``docs`` (doc_id, text), and ``more``: one column's name, type and function of some rows' texts.
 
     Beyond the counts that quality_rules() returns: n_lines lines with a word, n_upper ASCII
     capitals and n_letters letters (both in code points), n_marked words that end in one of ``!|#*$%&``,
@@ -80,9 +80,11 @@ def measures(docs: DataFrame) -> DataFrame:
                     "n_long": by_row(ends - starts > 25, row, n),
                     "n_twins": by_row(twin, row, n),
                 }
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, n), *(pa.array(np.asarray(out[k], np.int64)) for k in MEASURES)], names=["doc_id", *MEASURES])
+                own = [more[2](part)] if more else []
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, n), *(pa.array(np.asarray(out[k], np.int64)) for k in MEASURES), *own], names=names)
 
-    return texts_of(docs).mapInArrow(make, "doc_id long, " + ", ".join(f"{k} long" for k in MEASURES))
+    names = ["doc_id", *MEASURES, *([more[0]] if more else [])]
+    return texts_of(docs).mapInArrow(make, "doc_id long, " + ", ".join(f"{k} long" for k in MEASURES) + (f", {more[0]} {more[1]}" if more else ""))
 
 
 def _vote(bad: str, good: str) -> Column:

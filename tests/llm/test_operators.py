@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
+from taggers import tagger_of
 
 from dyelake.llm import chat, language_id, mixing, pii, quality_model, quality_rules, sharding, token_counts
 from dyelake.llm.decontaminate import contamination
@@ -153,12 +154,12 @@ def test_base_spans():
 
 
 def test_personal_data(docs, odd, empty):
-    tagger = pii.learn(docs)
+    tagger = tagger_of(docs.sparkSession)
     out = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs, tagger).collect()}
     for r in docs.collect():
         assert [(s["kind"], s["start"], s["end"]) for s in out[r["doc_id"]] if s["base"]] == plain_spans(r["text"] or "")
     assert pii.digest(pii.personal_data(odd, tagger)).filter("n_email + n_ip + n_card + n_phone = 0").count() == 10
-    assert pii.personal_data(empty, pii.learn(empty, 10)).count() == 0
+    assert pii.personal_data(empty, pii.learn(empty, forms=200)).count() == 0
     found = pii.tagged_spans(tagger, ["please call (512) 555-0147 at noon, thank you", "nothing of the kind here, only 42 apples"])
     assert [k for k, *_ in found[0]] == ["phone"] and found[1] == []
 

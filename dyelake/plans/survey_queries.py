@@ -96,10 +96,10 @@ def pep_recalls(spark, sf_dir):
     return S.dyetrack_catalogue(view(spark, sf_dir, "reads").select("pep_i", F.array("d0", "d1", "d2").alias("dyetrack")))[2]
 
 
-@query("""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.vec_id AS row_i, b.vec_id AS dyt_i, list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS dist2 FROM e a, e b WHERE b.vec_id % 10 = 0),
+@query("""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.vec_id AS row_i, b.vec_id AS dyt_i, list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS dist2 FROM e a, e b),
 r AS (SELECT *, row_number() OVER (PARTITION BY row_i ORDER BY round(dist2, 9), dyt_i) AS rank FROM d) SELECT row_i, dyt_i, round(dist2, 6) AS dist2, CAST(rank AS INT) AS rank FROM r WHERE rank <= 4""")
 def knn_dyetracks(spark, sf_dir):
-    """J-23: the four nearest tracks of every vector; every vector is a track, in the SQL form every tenth."""
+    """J-23: the four nearest tracks of every vector; every vector is a track."""
     rows = over(spark, sf_dir, "SELECT vec_id AS row_i, embedding AS vec FROM embeddings")
     return S.knn_dyetracks(rows, rows.withColumnRenamed("row_i", "dyt_i"), 4).withColumn("dist2", F.round("dist2", 6))
 

@@ -6,6 +6,8 @@ null class: calls under a score threshold are moved there, so they still count a
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -160,3 +162,22 @@ def count_class_summary(calls: DataFrame, dyetracks: DataFrame) -> DataFrame:
     held = calls.join(dyetracks.select("dyt_i", F.array_max("dyetrack").alias("count_class")), "dyt_i")
     counts = held.groupBy("count_class").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("count_class", (F.col("n") / F.sum("n").over(W.partitionBy())).alias("share"))
+
+
+def subsample(df: DataFrame, n: int, seed: int = 1) -> DataFrame:
+    """``n`` rows drawn without replacement, by a seeded hash of the row; all if there are fewer."""
+    order = F.xxhash64(*df.columns, F.lit(seed))
+    return df.orderBy(order, *df.columns).limit(n)
+
+
+def sample_calls(calls: DataFrame, share: float, seed: int = 1) -> DataFrame:
+    """Calls drawn with replacement: each comes a Poisson number of times, ``share`` on average, by a seeded hash of the row."""
+    u = (F.pmod(F.xxhash64(*calls.columns, F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    # The number is how many of the distribution's first steps lie below u.
+    below, chance = 0.0, math.exp(-share)
+    times = F.lit(0)
+    for k in range(1, 20 + int(4 * share)):
+        below += chance
+        times = times + F.when(u > below, 1).otherwise(0)
+        chance *= share / k
+    return calls.withColumn("times", times).withColumn("copy", F.explode(F.expr("CASE WHEN times > 0 THEN sequence(1, times) ELSE array() END"))).drop("times", "copy")

@@ -254,3 +254,57 @@ def evenly_spaced(rows: DataFrame, order: list, n: int = 3) -> DataFrame:
     placed = rows.withColumns({"place": F.row_number().over(W.orderBy(*order)) - 1, "all": F.count(F.lit(1)).over(W.partitionBy())})
     spots = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.floor(i * (F.col("all") - 1) / (n - 1)))
     return placed.filter(F.array_contains(spots, F.col("place").cast("long"))).drop("place", "all")
+
+
+def flag_bad_alignment(fields: DataFrame, dim: float) -> DataFrame:
+    """Fields aligned by more than a fifth of the image's size ``dim``."""
+    return fields.filter(F.col("aln_x") * F.col("aln_x") + F.col("aln_y") * F.col("aln_y") > (0.2 * dim) ** 2)
+
+
+def bestseq_radmat(bestseq: DataFrame, radmat: DataFrame, seq: str | None = None) -> DataFrame:
+    """Each peak and channel's best sequence (peak_i, channel_i, seq) with its radmat rows; of one sequence only, if given."""
+    own = bestseq if seq is None else bestseq.filter(F.col("seq") == seq)
+    return own.join(radmat, ["peak_i", "channel_i"], "left")
+
+
+def row_balance(sigcalls: DataFrame, balance: DataFrame | None = None, max_aspect_ratio: float = 1.5, row_bal: bool = True) -> DataFrame:
+    """sigcalls() rows with k and aspect_ratio, of peaks whose lit cycles (count > 0) all have an aspect ratio below the limit, with
+    ``balanced``: the signal over k, times the cycle's factor (cycle_i, factor) if any are given."""
+    worst = F.max(F.when(F.col("count") > 0, F.col("aspect_ratio")).otherwise(0.0))
+    fine = sigcalls.groupBy("peak_i", "channel_i").agg(worst.alias("worst")).filter(F.col("worst") < max_aspect_ratio)
+    rows = sigcalls.join(fine, ["peak_i", "channel_i"], "left_semi").withColumn("balanced", ratio("signal", "k") if row_bal else F.col("signal"))
+    if balance is None:
+        return rows
+    return rows.join(F.broadcast(balance), "cycle_i").withColumn("balanced", F.col("balanced") * F.col("factor")).drop("factor")
+
+
+def cycle_balance_lifespan(spans: DataFrame, radmat: DataFrame) -> DataFrame:
+    """(cycle_i, factor): the mean signal of the peaks that are still lit (cycle below their lifespan), over the median of these means; cycles are few."""
+    means = radmat.join(spans, ["peak_i", "channel_i"]).filter("cycle_i < lifespan").groupBy("cycle_i").agg(F.avg("signal").alias("mean"))
+    return means.crossJoin(F.broadcast(means.agg(F.percentile("mean", F.lit(0.5)).alias("median")))).select("cycle_i", (F.col("mean") / F.col("median")).alias("factor"))
+
+
+def tile_anomalies(pixels: DataFrame, low: float = 0.25, high: float = 0.75, tile: int = 4) -> DataFrame:
+    """(field_i, channel_i, cycle_i, ty, tx, mean): tiles of ``pixels`` (y, x, value) whose mean is above the median of all cycles' tiles of the field and channel
+    plus the range between two of their percentiles."""
+    keys = [F.floor(F.col(c) / tile).cast("int").alias(f"t{c}") for c in ("y", "x")]
+    tiles = pixels.groupBy("field_i", "channel_i", "cycle_i", *keys).agg(F.avg("value").alias("mean"))
+    at = tiles.groupBy("field_i", "channel_i").agg(F.percentile("mean", F.array(F.lit(0.5), F.lit(low), F.lit(high))).alias("p"))
+    return tiles.join(at, ["field_i", "channel_i"]).filter(F.col("mean") > F.col("p")[0] + F.col("p")[2] - F.col("p")[1]).select("field_i", "channel_i", "cycle_i", "ty", "tx", "mean")
+
+
+def lognormal_gain(radmat: DataFrame, dark: float) -> DataFrame:
+    """One row, beta and sigma of a dye's brightness: exp of the mean, and the deviation, of the logarithms of balanced signals.
+
+    Peaks are those above ``dark`` in cycle 1 and below it in the last; their darker cells are left out, then the peaks of the upper half by deviation, and
+    each peak's signals are divided by its mean over all peaks' mean.
+    """
+    last = radmat.agg(F.max("cycle_i").alias("last"))
+    rows = radmat.crossJoin(F.broadcast(last))
+    on = F.bool_or((F.col("cycle_i") == 1) & (F.col("signal") > dark)) & F.bool_or((F.col("cycle_i") == F.col("last")) & (F.col("signal") < dark))
+    lit = F.when(F.col("signal") >= dark, F.col("signal"))
+    peaks = rows.groupBy("peak_i", "channel_i").agg(on.alias("on"), F.avg(lit).alias("mean"), F.stddev_pop(lit).alias("std")).filter("on AND mean IS NOT NULL")
+    peaks = peaks.crossJoin(F.broadcast(peaks.agg(F.percentile("std", F.lit(0.5)).alias("half")))).filter("std < half")
+    peaks = peaks.crossJoin(F.broadcast(peaks.agg(F.avg("mean").alias("all")))).select("peak_i", "channel_i", (F.col("mean") / F.col("all")).alias("scale"))
+    logs = radmat.filter(F.col("signal") >= dark).join(peaks, ["peak_i", "channel_i"]).select(F.log(F.col("signal") / F.col("scale")).alias("x"))
+    return logs.agg(F.exp(F.avg("x")).alias("beta"), F.stddev_pop("x").alias("sigma"))

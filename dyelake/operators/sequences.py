@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dyelake.functions.storage import written
+
 # Where each protease cuts. A rule is (cuts, residues before the cut from far to near, residues after it from
 # near to far); an empty string takes any residue. The last rule that fits a place decides there.
 PROTEASES: dict[str, list[tuple[bool, list[str], list[str]]]] = {
@@ -79,8 +81,8 @@ def cleave(pros: DataFrame, key: str, sequence: str, proteases: list[str]) -> Da
     they are before modified forms are made. A protein is split in one scan, whatever its length, and peptides' places are running
     sums of their lengths.
     """
-    parts = F.split(sequence, cut_pattern(proteases)) if proteases else F.array(sequence)
-    rows = pros.filter(F.length(sequence) > 0).select(key, F.posexplode(parts).alias("n", "seqstr")).filter("seqstr != ''")
+    parts = F.filter(F.split(sequence, cut_pattern(proteases)), lambda x: x != "") if proteases else F.array(sequence)
+    rows = pros.filter(F.length(sequence) > 0).select(key, F.posexplode(parts).alias("n", "seqstr"))
     stop = F.sum(F.length("seqstr")).over(W.partitionBy(key).orderBy("n")).cast("int")
     return rows.select(key, (stop - F.length("seqstr")).cast("int").alias("pep_start"), stop.alias("pep_stop"), "seqstr")
 
@@ -153,6 +155,21 @@ def global_index(df: DataFrame, group: str, order: list, name: str, bins: int =
     return df.withColumn("own place", own).join(start, group).withColumn(name, F.col("start") + F.col("own place")).drop("own place", "start")
 
 
+def numbered_by_range(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with ``name``: 0, 1, ... in ``order``, which tells rows apart. Rows are sorted in ranges, and only the ranges' totals are ranked together."""
+    own = written(df.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    totals = own.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(W.partitionBy("range").orderBy(*order)) - 1
+    return own.withColumn("place", place).join(totals.select("range", before.alias("before")), "range").withColumn(name, F.col("before") + F.col("place")).drop("range", "place", "before")
+
+
+def limit_peptides(peps: DataFrame, n: int, seed: int = 1) -> DataFrame:
+    """Peptide 0, and ``n`` others drawn by a seeded hash of their number."""
+    drawn = peps.filter("pep_i != 0").select("pep_i").distinct().orderBy(F.xxhash64("pep_i", F.lit(seed)), "pep_i").limit(n)
+    return peps.filter("pep_i = 0").unionByName(peps.join(drawn, "pep_i", "left_semi"))
+
+
 def drop_duplicate_proteins(specs: DataFrame) -> DataFrame:
     """``specs`` (name, sequence, ...) with the first name of each sequence, then the first sequence of each name."""
     for key, order in (("sequence", "name"), ("name", "sequence")):

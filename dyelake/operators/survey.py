@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dyelake.operators.classify import knn_dyetracks  # noqa: F401
+from dyelake.operators.sequences import numbered_by_range
+
 
 def survey_filters(survey: DataFrame, max_pep_len: int | None = None, max_dyes: int | None = None, allow_p2: bool = True, pros: DataFrame | None = None) -> DataFrame:
     """Survey rows within limits, and of chosen proteins (pro_i) if any are given."""
@@ -62,6 +65,42 @@ def best_prec_at_recall(prs: DataFrame, least: float, n_best: int, key: str = "p
     return best.withColumn("rank", rank).filter(F.col("rank") <= n_best).select(key, "run_i", "x.prec", "x.recall", "x.score", "rank")
 
 
+def best_run_prefilters(
+    prs: DataFrame, include_runs: list | None = None, exclude_runs: list | None = None, allow_p2: bool = True, peptides: list | None = None, unique_peps: bool = False,
+    max_pep_len: int | None = None, max_ptms: int | None = None, max_dyes: int | None = None, ptms: list | None = None, pros: list | None = None,
+) -> DataFrame:
+    """Rows of a report of all runs (run_i, pep_i, and what the given limits name) that are within the limits; None leaves a limit out.
+
+    ``peptides`` are numbers or sequences. A peptide's length is its stop less its start.
+    """
+    conds = [
+        include_runs and F.col("run_i").isin(include_runs),
+        exclude_runs and ~F.col("run_i").isin(exclude_runs),
+        None if allow_p2 else F.col("p2") == 0,
+        peptides and F.col("pep_i" if isinstance(peptides[0], int) else "seqstr").isin(peptides),
+        F.col("flu_count") == 1 if unique_peps else None,
+        None if max_pep_len is None else F.col("pep_stop") - F.col("pep_start") <= max_pep_len,
+        None if max_ptms is None else F.col("n_pep_ptms") <= max_ptms,
+        None if max_dyes is None else F.col("n_dyes_max_any_ch") <= max_dyes,
+        ptms and F.col("ptm").isin(ptms),
+        pros and F.col("pro_i").isin(pros),
+    ]
+    for c in conds:
+        prs = prs if c is None or isinstance(c, list) else prs.filter(c)
+    return prs
+
+
+def remaining_and_removed(before: DataFrame, after: DataFrame, column: str) -> DataFrame:
+    """(column, remains): every value there was before a filter, and whether some row still has it."""
+    left = after.select(column).distinct().withColumn("remains", F.lit(True))
+    return before.select(column).distinct().join(left, column, "left").na.fill(False, ["remains"])
+
+
+def peps_prs_report(report: DataFrame, prs: DataFrame) -> DataFrame:
+    """Each run's peptides (pep_i, ...) with all their points (run_i, pep_i, prec, recall, score); a peptide without any has one row of nulls."""
+    return report.join(prs, "pep_i", "left")
+
+
 def runs_by_best_peps(best: DataFrame) -> DataFrame:
     """(run_i, n, peps): how many peptides each run is best for, and which."""
     return best.filter("rank = 1").groupBy("run_i").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("pep_i")), ",").alias("peps"))
@@ -100,7 +139,7 @@ def dyetrack_catalogue(reads: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     counts = reads.groupBy("pep_i", "dyetrack").agg(F.count(F.lit(1)).alias("n_reads"))
     dark = F.array_max("dyetrack") == 0
     lit = counts.filter(~dark).select("dyetrack").distinct()
-    numbered = lit.withColumn("dyt_i", F.row_number().over(W.orderBy("dyetrack")))
+    numbered = numbered_by_range(lit, ["dyetrack"], "dyt_i").withColumn("dyt_i", (F.col("dyt_i") + 1).cast("int"))
     tracks = numbered.unionByName(counts.filter(dark).select("dyetrack").distinct().withColumn("dyt_i", F.lit(0)))
     recall = counts.groupBy("pep_i").agg((F.sum(F.when(dark, 0).otherwise(F.col("n_reads"))) / F.sum("n_reads")).alias("recall"))
     return tracks, counts.join(tracks, "dyetrack").select("dyt_i", "pep_i", "n_reads"), recall
@@ -117,47 +156,6 @@ def step_dyetracks(spark, n_cycles: int, n_dyes: int, multi_drop: bool = False)
     return tracks.select((F.row_number().over(W.orderBy("dyetrack")) - 1).alias("dyt_i"), "dyetrack")
 
 
-def knn_dyetracks(rows: DataFrame, tracks: DataFrame, k: int, block_rows: int = 4096) -> DataFrame:
-    """(row_i, dyt_i, dist2, rank): the ``k`` nearest of ``tracks`` (dyt_i, vec) for each of ``rows`` (row_i, vec), by squared distance.
-
-    Tracks are sent to the tasks in blocks of bounded size; every row meets every block as a matrix product, by which tracks near enough to be
-    among its best k are found. Of those the distances are summed exactly, only the best k of a block come out, and the blocks' bests are
-    merged. Equal distances go to the lower dyt_i.
-    """
-    import numpy as np
-    import pandas as pd
-
-    n = tracks.count()
-    blocks = max(1, -(-n // block_rows))
-    parts = None
-    for b in range(blocks):
-        own = tracks if blocks == 1 else tracks.filter(F.pmod(F.xxhash64("dyt_i"), F.lit(blocks)) == b)
-        held = own.orderBy("dyt_i").toPandas()
-        ids, mat = held["dyt_i"].to_numpy(), np.array(held["vec"].tolist(), np.float64).reshape(len(held), -1)
-
-        def look(batches, ids=ids, mat=mat):
-            own = (mat * mat).sum(1)
-            for x in batches:
-                # Few rows at a time, for their distances to the block are held at once.
-                for s in range(0, len(x) if len(ids) else 0, 256):
-                    v = np.array(x["vec"].iloc[s : s + 256].tolist(), np.float64)
-                    norm = (v * v).sum(1)
-                    d = own - 2 * (v @ mat.T)
-                    kth = np.partition(d, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-                    # As far as the product's error and the rounding could reach.
-                    row, track = np.nonzero(d <= (kth + 2e-9 + 1e-12 * (norm + own.max()))[:, None])
-                    exact = np.concatenate([((v[row[i : i + 65536]] - mat[track[i : i + 65536]]) ** 2).sum(1) for i in range(0, len(row), 65536)])
-                    order = np.lexsort((track, np.round(exact, 9), row))
-                    row, track, exact = row[order], track[order], exact[order]
-                    best = np.arange(len(row)) - np.searchsorted(row, row) < k
-                    yield pd.DataFrame({"row_i": x["row_i"].to_numpy()[s + row[best]], "dyt_i": ids[track[best]], "dist2": exact[best]})
-
-        part = rows.select("row_i", "vec").mapInPandas(look, "row_i long, dyt_i long, dist2 double")
-        parts = part if parts is None else parts.unionByName(part)
-    rank = F.row_number().over(W.partitionBy("row_i").orderBy(F.round("dist2", 9), "dyt_i"))
-    return parts.withColumn("rank", rank).filter(F.col("rank") <= k)
-
-
 def fit_row_k(rows: DataFrame, beta: float) -> DataFrame:
     """``rows`` (radrow, dyetrack arrays) with k: sum of r^2 over sum of r * beta * d, 10 where the denominator isn't positive."""
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)

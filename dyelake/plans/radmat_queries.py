@@ -223,3 +223,60 @@ def worst_median_best(spark, sf_dir):
     """T-8: the fields of worst, median and best quality."""
     means = view(spark, sf_dir, "qualities").groupBy("field_i").agg(F.sum("quality").cast("long").alias("quality"))
     return R.evenly_spaced(means, ["quality", "field_i"])
+
+
+@query("SELECT field_i, channel_i, cycle_i, aln_x, aln_y FROM fields WHERE aln_x * aln_x + aln_y * aln_y > 400")
+def flag_bad_alignment(spark, sf_dir):
+    """P-12: fields aligned by more than a fifth of the image."""
+    return R.flag_bad_alignment(view(spark, sf_dir, "fields"), 100).select("field_i", "channel_i", "cycle_i", "aln_x", "aln_y")
+
+
+_SEQ = "b AS (SELECT peak_i, 0 AS channel_i, string_agg(CAST(floor(signal / 40000) AS INT), '' ORDER BY cycle_i) AS seq FROM radmat GROUP BY 1)"
+
+
+@query(f"WITH {_SEQ} SELECT b.peak_i, seq, cycle_i, signal FROM b LEFT JOIN radmat USING (peak_i, channel_i) WHERE seq = '01'")
+def bestseq_radmat(spark, sf_dir):
+    """J-15: radmat rows of the peaks of one fitted sequence."""
+    rows = view(spark, sf_dir, "radmat")
+    seq = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("cycle_i", F.floor(F.col("signal") / 40000).cast("int").alias("c")))), lambda x: x["c"].cast("string")), "")
+    best = rows.groupBy("peak_i", "channel_i").agg(seq.alias("seq"))
+    return R.bestseq_radmat(best, rows, "01").select("peak_i", "seq", "cycle_i", "signal")
+
+
+@query(f"""WITH c AS (SELECT peak_i, min(dyt_i) AS d, min(k) AS k FROM calls_k GROUP BY 1), s AS (SELECT r.*, coalesce(d, 0) AS dyt_i, coalesce(k, 1) AS k FROM radmat r LEFT JOIN c USING (peak_i)),
+j AS (SELECT s.*, coalesce(t.count, 0) AS count FROM s LEFT JOIN ({_TRACKS}) t ON t.dyt_i = s.dyt_i AND t.cycle_i = s.cycle_i),
+w AS (SELECT *, max(CASE WHEN count > 0 THEN aspect_ratio ELSE 0 END) OVER (PARTITION BY peak_i) AS worst FROM j)
+SELECT peak_i, cycle_i, round(signal / k * (1 + cycle_i / CAST(10 AS DOUBLE)), 6) AS balanced FROM w WHERE worst < 1.4""")
+def row_balance(spark, sf_dir):
+    """F-16: signals over their row's scale, times the cycle's factor, of peaks of round lit cycles."""
+    from dyelake.plans.adapters import over
+
+    calls = view(spark, sf_dir, "calls_k").groupBy("peak_i").agg(F.min("dyt_i").alias("dyt_i"), F.min("k").alias("k"))
+    rows = R.sigcalls(view(spark, sf_dir, "radmat"), calls, over(spark, sf_dir, _TRACKS)).join(calls.select("peak_i", "k"), "peak_i", "left").na.fill(1.0, ["k"])
+    factors = view(spark, sf_dir, "radmat").select("cycle_i", (1 + F.col("cycle_i") / 10.0).alias("factor")).distinct()
+    return _round(R.row_balance(rows, factors, 1.4), "balanced").select("peak_i", "cycle_i", "balanced")
+
+
+@query(f"WITH {_SPAN}, m AS (SELECT cycle_i, avg(signal) AS m FROM radmat r JOIN s ON s.peak_i = r.peak_i WHERE cycle_i < lifespan GROUP BY 1) SELECT cycle_i, round(m / (SELECT quantile_cont(m, 0.5) FROM m), 6) AS factor FROM m")
+def cycle_balance_lifespan(spark, sf_dir):
+    """A-25: each cycle's balance over the peaks that are lit in it."""
+    rows = view(spark, sf_dir, "radmat")
+    return _round(R.cycle_balance_lifespan(R.lifespan(rows), rows), "factor")
+
+
+@query("""WITH t AS (SELECT field_i, CAST(peak_i % 3 AS INT) AS cycle_i, CAST(floor(aln_y / 64) AS INT) AS ty, CAST(floor(aln_x / 64) AS INT) AS tx, avg(field_peak_i) AS mean FROM peaks GROUP BY ALL),
+p AS (SELECT field_i, quantile_cont(mean, 0.5) + quantile_cont(mean, 0.75) - quantile_cont(mean, 0.25) AS most FROM t GROUP BY 1)
+SELECT t.field_i, 0 AS channel_i, cycle_i, ty, tx, round(mean, 6) AS mean FROM t JOIN p USING (field_i) WHERE mean > most""")
+def tile_anomalies(spark, sf_dir):
+    """A-26: tiles much brighter than the others of their field."""
+    pixels = view(spark, sf_dir, "peaks").select("field_i", F.lit(0).alias("channel_i"), (F.col("peak_i") % 3).alias("cycle_i"), F.col("aln_y").alias("y"), F.col("aln_x").alias("x"), F.col("field_peak_i").alias("value"))
+    return _round(R.tile_anomalies(pixels, tile=64), "mean")
+
+
+@query("""WITH r AS (SELECT * FROM radmat WHERE cycle_i < 3), g AS (SELECT peak_i, avg(signal) FILTER (signal >= 20000) AS mean, stddev_pop(signal) FILTER (signal >= 20000) AS std FROM r GROUP BY 1
+HAVING bool_or(cycle_i = 1 AND signal > 20000) AND bool_or(cycle_i = 2 AND signal < 20000) AND mean IS NOT NULL),
+h AS (SELECT * FROM g WHERE std < (SELECT quantile_cont(std, 0.5) FROM g)), x AS (SELECT ln(signal / (mean / (SELECT avg(mean) FROM h))) AS x FROM r JOIN h USING (peak_i) WHERE signal >= 20000)
+SELECT round(exp(avg(x)), 4) AS beta, round(stddev_pop(x), 6) AS sigma FROM x""")
+def lognormal_gain(spark, sf_dir):
+    """A-41: brightness of one dye and its spread, of balanced rows."""
+    return R.lognormal_gain(view(spark, sf_dir, "radmat").filter("cycle_i < 3"), 20000).select(F.round("beta", 4).alias("beta"), F.round("sigma", 6).alias("sigma"))

@@ -165,3 +165,113 @@ def subsample_per_class(spark, sf_dir):
     from dyelake.operators.calls import subsample_per_class as sample
 
     return sample(view(spark, sf_dir, "calls"), 5).groupBy("true_pep_i").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT pros.pro_id, peps.pep_i, run_i, score, prec, recall FROM peps JOIN pros USING (pro_i) LEFT JOIN prs ON prs.pep_i = peps.pep_i WHERE NOT pro_is_decoy")
+def peps_prs_report(spark, sf_dir):
+    """J-16: real proteins' peptides with every run's points."""
+    report = view(spark, sf_dir, "peps").join(view(spark, sf_dir, "pros").filter("NOT pro_is_decoy"), "pro_i").select("pep_i", "pro_id")
+    return S.peps_prs_report(report, view(spark, sf_dir, "prs")).select("pro_id", "pep_i", "run_i", "score", "prec", "recall")
+
+
+_REPORT = "SELECT prs.run_i, prs.pep_i, score, prec, p2, pep_start, pep_stop, flu_count, n_dyes_max_any_ch, pro_i, seq AS seqstr, pep_start % 3 AS n_pep_ptms, pep_stop AS ptm FROM prs JOIN survey ON survey.pep_i = prs.pep_i JOIN pep_strings s ON s.pep_i = prs.pep_i"
+
+
+@query(f"SELECT run_i, pep_i, score, prec FROM ({_REPORT}) WHERE run_i IN (0, 1, 2) AND run_i NOT IN (2) AND p2 = 0 AND pep_stop - pep_start <= 40 AND n_dyes_max_any_ch <= 2 AND n_pep_ptms <= 1")
+def best_run_prefilters(spark, sf_dir):
+    """P-9: points of chosen runs and of peptides within limits."""
+    rows = S.best_run_prefilters(over(spark, sf_dir, _REPORT), [0, 1, 2], [2], False, max_pep_len=40, max_dyes=2, max_ptms=1)
+    return rows.select("run_i", "pep_i", "score", "prec")
+
+
+@query(f"SELECT run_i, pep_i, ptm FROM ({_REPORT}) WHERE flu_count = 1 AND ptm <= 12 AND ptm >= 5")
+def best_run_prefilters_of_sites(spark, sf_dir):
+    """P-9: points of peptides of a fluorosequence of their own, with chosen sites."""
+    return S.best_run_prefilters(over(spark, sf_dir, _REPORT), unique_peps=True, ptms=list(range(5, 13))).select("run_i", "pep_i", "ptm")
+
+
+@query("WITH b AS (SELECT DISTINCT pep_stop FROM survey) SELECT pep_stop, pep_stop IN (SELECT pep_stop FROM survey WHERE pep_len <= 20 AND p2 = 0) AS remains FROM b")
+def remaining_and_removed(spark, sf_dir):
+    """U-4: which sites a filter leaves and which it removes."""
+    rows = view(spark, sf_dir, "survey")
+    return S.remaining_and_removed(rows, S.survey_filters(rows, 20, allow_p2=False), "pep_stop")
+
+
+_COUNTS = "SELECT CAST(s_suppkey % 50 AS INT) AS dyt_i, CAST(max(s_suppkey % 4) AS INT) AS top FROM supplier GROUP BY 1"
+
+
+@query(f"WITH t AS ({_COUNTS}), j AS (SELECT top FROM calls_k JOIN t USING (dyt_i)) SELECT top AS count_class, round(count(*) / (SELECT count(*) FROM j), 9) AS share FROM j GROUP BY 1")
+def count_class_summary(spark, sf_dir):
+    """A-40: shares of calls by the largest count of their track."""
+    from dyelake.operators.calls import count_class_summary as summary
+
+    tracks = over(spark, sf_dir, _COUNTS).select("dyt_i", F.array(F.lit(0), "top").alias("dyetrack"))
+    return summary(view(spark, sf_dir, "calls_k"), tracks).withColumn("share", F.round("share", 9))
+
+
+@query("SELECT true_pep_i, score, round(exp(-((score - 0.5) / 0.2) * ((score - 0.5) / 0.2) / 2), 9) AS weight FROM calls")
+def gaussian_weights(spark, sf_dir):
+    """F-12: a Gaussian of every score."""
+    from dyelake.functions.numbers import gaussian
+
+    return view(spark, sf_dir, "calls").select("true_pep_i", "score", F.round(gaussian("score", 0.5, 0.2), 9).alias("weight"))
+
+
+@query()
+def subsample(spark, sf_dir):
+    """T-5: a thousand calls, drawn by hash."""
+    from dyelake.operators.calls import subsample as sample
+
+    return sample(view(spark, sf_dir, "calls"), 1000)
+
+
+@query()
+def sample_calls(spark, sf_dir):
+    """T-5: as many calls again, drawn with replacement."""
+    from dyelake.operators.calls import sample_calls as sample
+
+    return sample(view(spark, sf_dir, "calls"), 1.0)
+
+
+@query()
+def limit_peptides(spark, sf_dir):
+    """T-7: peptide 0 and a hundred others."""
+    from dyelake.operators.sequences import limit_peptides as limited
+
+    return limited(view(spark, sf_dir, "peps"), 100)
+
+
+# Signals of tracks that were read, a little off: one row a line.
+_SIGNALS = """SELECT CAST(peak_i AS BIGINT) * 64 + cycle_i AS row_i, pep_i, signal, d0, d1, d2, noise FROM (SELECT peak_i, cycle_i, signal, noise, CAST(floor(signal) AS INT) AS pep_i,
+CAST(floor(signal / 7) AS INT) % 3 AS d0, CAST(floor(noise) AS INT) % 3 AS d1, CAST(floor(signal / 11) AS INT) % 2 AS d2 FROM radmat)"""
+
+
+def _signals(spark, sf_dir):
+    """(row_i, dyetrack, vec): each line's track and its signals, with errors of about a tenth."""
+    rows = over(spark, sf_dir, _SIGNALS)
+    off = lambda c: (F.pmod(F.xxhash64("row_i", F.lit(c)), F.lit(2001)) - 1000) / 10000.0
+    lit = [F.when(F.col(c) > 0, 7000.0 * F.col(c) * (1 + off(c))).otherwise(1000.0 * off(c)) for c in ("d0", "d1", "d2")]
+    return rows.select("row_i", F.array("d0", "d1", "d2").alias("dyetrack"), (F.col("row_i") % 300).cast("int").alias("pep_i"), F.array(*lit).alias("vec"))
+
+
+def _catalogue(rows):
+    tracks, dyepeps, _ = S.dyetrack_catalogue(rows.select("pep_i", "dyetrack"))
+    return tracks.withColumnRenamed("dyetrack", "vec"), dyepeps
+
+
+@query()
+def classify_nn(spark, sf_dir):
+    """M-1: every row's likeliest track and peptide of its eight nearest."""
+    from dyelake.operators.classify import classify_nn as classify
+
+    rows = _signals(spark, sf_dir)
+    return classify(rows.select("row_i", "vec"), *_catalogue(rows))
+
+
+@query()
+def score_against_all(spark, sf_dir):
+    """M-2: likelihood and scale of each fiftieth row with every track."""
+    from dyelake.operators.classify import score_against_all as score
+
+    rows = _signals(spark, sf_dir)
+    return score(rows.filter("row_i % 50 = 0").select("row_i", "vec"), _catalogue(rows)[0])

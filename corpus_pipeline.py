@@ -2,6 +2,8 @@
 
 Every stage works on all that the stage before kept; its rows are written as Parquet and read again as the next one's
 documents, so a lost executor costs part of one stage.
+Every stage takes nulls in any column, empty and very long texts, repeated rows, empty tables and other columns of any name; what
+it does with each is said at its function in dyelake.llm.stages, and at kd_shards() for the last.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dyelake.functions.storage import shared_dir
+from dyelake.functions.storage import remove, scratch, shared_dir
 from dyelake.llm import stages
 from dyelake.llm.sharding import kd_shards
 from dyelake.sources.tables import table
@@ -51,15 +53,18 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-#: SuperMinHash groups by 64-bit hashes and the mix by shuffled lines; neither has a form in SQL. tests/llm compare run() with a brute-force version.
+#: SuperMinHash groups by hashes have no form in SQL; tests/llm/test_stages.py compares run() with a plain form of all five stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``. What a stage wrote on its way goes once its rows are written, and those go once the next stage's are."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         path = f"{shared_dir(spark)}/dyelake-stage-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        remove(spark, *([before] if before else []))
+        before = path
     return docs

@@ -31,13 +31,15 @@ from dyelake.llm.text import ALNUM, fingerprints, rows_of, texts_of, type_of
 #: Test text of one block at most, in bytes: what the driver reads and sends to tasks at once. A window starts at each of its words
 #: and takes 6 bytes a word in a search, so that a block's arrays are some 10 times its text.
 BLOCK_BYTES = 4_000_000
-SEGMENT_BYTES = 2_000_000
+SEGMENT_BYTES = 1_000_000
 #: Places of windows that a segment's search works on at once.
 PLACES = 400_000
 #: Words of the longest window of a proximity search: its terms are bits of a number.
 MOST_NEAR = 62
 
 _U = np.uint64
+_NONE = hashlib.sha256(b"").hexdigest()
+_COUNTED = "doc_id {}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near_items long"
 
 
 def positional_index(docs: DataFrame, terms: np.ndarray | None = None, gap: int = 64) -> DataFrame:
@@ -246,18 +248,22 @@ def _near(plan: _Plan, seg: _Segment, window: np.ndarray, at: np.ndarray, span:
     return window[keep], at[keep]
 
 
-def _names_of(plan: _Plan, doc: np.ndarray, window: np.ndarray, n: int) -> pa.ListArray:
-    """The sorted ids of the items of the windows found in each of n documents."""
+def _items_of(plan: _Plan, doc: np.ndarray, window: np.ndarray, n: int) -> tuple[np.ndarray, list[str]]:
+    """(edges, names): the sorted ids of the items of the windows found in document d are names[edges[d] : edges[d + 1]]."""
     pairs = np.unique(np.stack((doc, window), axis=1), axis=0) if len(doc) else np.empty((0, 2), np.int64)
     sizes = plan.edges[pairs[:, 1] + 1] - plan.edges[pairs[:, 1]]
     item = plan.items[np.repeat(plan.edges[pairs[:, 1]] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
     both = np.unique(np.stack((np.repeat(pairs[:, 0], sizes), item), axis=1), axis=0)
     edges = np.searchsorted(both[:, 0], np.arange(n + 1))
-    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array([plan.names[i] for i in both[:, 1]], pa.string()))
+    return edges, [plan.names[i] for i in both[:, 1]]
 
 
-def search(index: DataFrame, tests: Tests, near_span: int = 0, gap: int = 64) -> DataFrame:
-    """(segment, slot, doc_id, n_words, covered binary, items, near_items) of each indexed document.
+def _digest(names: list[str]) -> str:
+    return hashlib.sha256(",".join(names).encode()).hexdigest()
+
+
+def search(index: DataFrame, tests: Tests, near_span: int = 0, gap: int = 64, counted: bool = False) -> DataFrame:
+    """(segment, slot, doc_id, n_words, covered binary, items, near_items) of each indexed document, or, ``counted``, contamination()'s columns.
 
     covered has a (start, end) int32 pair for each run of words of the document inside exact
     matches. items has the ids of items with an exact match, in order. near_items, where ``near_span`` > 0,
@@ -307,15 +313,21 @@ def search(index: DataFrame, tests: Tests, near_span: int = 0, gap: int = 64) ->
                 owner = doc_of(starts)
                 runs = np.stack((starts - first[owner], ends - first[owner]), axis=1).astype(np.int32)
                 cut = np.searchsorted(owner, np.arange(n + 1))
-                columns = {
-                    "segment": pa.array(np.full(n, batch.column("segment")[k].as_py())), "slot": pa.array(np.arange(n)), "doc_id": ids, "n_words": pa.array(n_words),
-                    "covered": pa.array([runs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-                    "items": _names_of(plan, *map(np.concatenate, zip(*hits, strict=True)), n), "near_items": _names_of(plan, *map(np.concatenate, zip(*close, strict=True)), n),
-                }
+                (upto, names), (near_upto, near_names) = _items_of(plan, *map(np.concatenate, zip(*hits, strict=True)), n), _items_of(plan, *map(np.concatenate, zip(*close, strict=True)), n)
+                columns = {"doc_id": ids, "n_words": pa.array(n_words)}
+                if counted:
+                    hit = np.bincount(owner, ends - starts, n).astype(np.int64)
+                    digests = [_digest(names[a:b]) if b > a else _NONE for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+                    columns |= {"n_hit": pa.array(hit), "n_items": pa.array(np.diff(upto)), "items_sha256": pa.array(digests, pa.string()), "contaminated": pa.array(hit > 0), "n_near_items": pa.array(np.diff(near_upto))}
+                else:
+                    lists = lambda edges, own: pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(own, pa.string()))
+                    columns = {"segment": pa.array(np.full(n, batch.column("segment")[k].as_py())), "slot": pa.array(np.arange(n))} | columns
+                    columns |= {"covered": pa.array([runs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()), "items": lists(upto, names), "near_items": lists(near_upto, near_names)}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
-    return texts_of(index, *index.columns).mapInArrow(look, f"segment long, slot long, doc_id {kind}, n_words long, covered binary, items array<string>, near_items array<string>")
+    schema = _COUNTED.format(kind) if counted else f"segment long, slot long, doc_id {kind}, n_words long, covered binary, items array<string>, near_items array<string>"
+    return texts_of(index, *index.columns).mapInArrow(look, schema)
 
 
 def blocks_of(bench: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Callable[[], list]]:
@@ -348,19 +360,17 @@ def contamination(docs: DataFrame, bench: DataFrame, width: int = 10, near_span:
         if index is None:
             # Of one block only its own terms are of use; more blocks share an index of all terms.
             index = written(positional_index(docs, tests.terms if len(blocks) == 1 else None, gap))
+        if len(blocks) == 1:
+            return search(index, tests, near_span, gap, counted=True)
         part = search(index, tests, near_span, gap)
         found = part if k == 0 else found.unionByName(written(part))
-    if len(blocks) > 1:
-        # A document has one row for each block.
-        one = lambda name: F.flatten(F.collect_list(name)).alias(name)
-        found = found.groupBy("segment", "slot").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("covered").alias("covered"), one("items"), one("near_items"))
-    else:
-        found = found.withColumn("covered", F.array("covered"))
-    return _counted(found)
+    # A document has one row for each block.
+    one = lambda name: F.flatten(F.collect_list(name)).alias(name)
+    return _counted(found.groupBy("segment", "slot").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("covered").alias("covered"), one("items"), one("near_items")))
 
 
 def _counted(found: DataFrame) -> DataFrame:
-    """Counts and digests of search() results; covered has the runs of one block or of several."""
+    """Counts and digests of search() results of several blocks."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -371,9 +381,9 @@ def _counted(found: DataFrame) -> DataFrame:
                 pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
                 reach = np.maximum.accumulate(np.concatenate(([0], pairs[:, 1])))
                 hit.append(int(np.maximum(0, pairs[:, 1] - np.maximum(pairs[:, 0], reach[:-1])).sum()))
-                digest.append(hashlib.sha256(",".join(own).encode()).hexdigest())
+                digest.append(_digest(own))
             near = [len(set(own)) for own in x.column("near_items").to_pylist()]
             made = [pa.array(hit, pa.int64()), pa.array([len(n) for n in names], pa.int64()), pa.array(digest, pa.string()), pa.array([n > 0 for n in hit], pa.bool_()), pa.array(near, pa.int64())]
             yield pa.RecordBatch.from_arrays([x.column("doc_id"), x.column("n_words"), *made], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near_items"])
 
-    return found.select("doc_id", "n_words", "covered", "items", "near_items").mapInArrow(make, f"doc_id {type_of(found, 'doc_id')}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near_items long")
+    return found.select("doc_id", "n_words", "covered", "items", "near_items").mapInArrow(make, _COUNTED.format(type_of(found, "doc_id")))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Text of one chunk: each byte takes some tens of bytes in numpy while its chunk is worked on.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 400_000
 #: Rows and bytes of one Arrow batch at most (one row may be longer): a batch's texts lie in the memory of the JVM and of the Python worker at once.
 BATCH_ROWS = 1000
 BATCH_BYTES = 4_000_000

@@ -37,14 +37,16 @@ def filter_rows(df: DataFrame, fields: list | None = None, reject_fields: list |
 
 def filter_peaks(
     radmat: DataFrame, dark: float | None = None, on_through: int | None = None, off_at: int | None = None, monotonic: float | None = None, cycle_0: tuple = (None, None), any_cycle_max: float | None = None, aspect_ratio: tuple = (None, None),
+    per_cycle: dict[int, tuple] | None = None, channel: int | None = None,
 ) -> DataFrame:
     """The rows of whole peaks whose signals satisfy every given limit.
 
     on_through: above ``dark`` in cycles 0 to that one, inclusive; off_at: not above it from that cycle on; monotonic: no rise from a cycle to the
-    next of more than that part of the peak's mean; cycle_0 and any_cycle_max bound signals, aspect_ratio every cycle's ratio.
+    next of more than that part of the peak's mean; cycle_0 and any_cycle_max bound signals, aspect_ratio every cycle's ratio, per_cycle (cycle: (least, most)) the signals of single cycles.
+    With ``channel`` the limits are for that channel's rows, and all rows of the peaks that it keeps stay.
     """
     rise = F.col("signal") - F.lag("signal").over(_peak())
-    rows = radmat.withColumn("rise", rise)
+    rows = (radmat if channel is None else radmat.filter(F.col("channel_i") == channel)).withColumn("rise", rise)
     on = F.col("signal") > F.lit(dark if dark is not None else 0.0)
     tests: list[Column] = []
     if on_through is not None:
@@ -53,9 +55,9 @@ def filter_peaks(
         tests += [F.bool_and(~on | (F.col("cycle_i") < off_at))]
     if monotonic is not None:
         tests += [F.coalesce(F.max("rise"), F.lit(0.0)) <= monotonic * F.avg("signal")]
-    for bound, cond in ((cycle_0[0], lambda b: F.col("signal") >= b), (cycle_0[1], lambda b: F.col("signal") <= b)):
-        if bound is not None:
-            tests += [F.bool_and(cond(bound) | (F.col("cycle_i") != 0))]
+    for cycle, (least, most) in [(0, cycle_0), *(per_cycle or {}).items()]:
+        tests += [F.bool_and((F.col("signal") >= least) | (F.col("cycle_i") != cycle))] if least is not None else []
+        tests += [F.bool_and((F.col("signal") <= most) | (F.col("cycle_i") != cycle))] if most is not None else []
     if any_cycle_max is not None:
         tests += [F.max("signal") <= any_cycle_max]
     for bound, cond in ((aspect_ratio[0], lambda b: F.col("aspect_ratio") >= b), (aspect_ratio[1], lambda b: F.col("aspect_ratio") <= b)):
@@ -64,8 +66,8 @@ def filter_peaks(
     ok = F.lit(True)
     for t in tests:
         ok = ok & t
-    fine = rows.groupBy("peak_i", "channel_i").agg(ok.alias("ok")).filter("ok").select("peak_i", "channel_i")
-    return radmat.join(fine, ["peak_i", "channel_i"], "left_semi")
+    key = ["peak_i", "channel_i"] if channel is None else ["peak_i"]
+    return radmat.join(rows.groupBy(*key).agg(ok.alias("ok")).filter("ok").select(*key), key, "left_semi")
 
 
 def balance(radmat: DataFrame, factors: DataFrame) -> DataFrame:
@@ -308,3 +310,24 @@ def lognormal_gain(radmat: DataFrame, dark: float) -> DataFrame:
     peaks = peaks.crossJoin(F.broadcast(peaks.agg(F.avg("mean").alias("all")))).select("peak_i", "channel_i", (F.col("mean") / F.col("all")).alias("scale"))
     logs = radmat.filter(F.col("signal") >= dark).join(peaks, ["peak_i", "channel_i"]).select(F.log(F.col("signal") / F.col("scale")).alias("x"))
     return logs.agg(F.exp(F.avg("x")).alias("beta"), F.stddev_pop("x").alias("sigma"))
+
+
+def peak_features(radmat: DataFrame, peaks: DataFrame, dim: int, neighbours: tuple[str, ...] = ()) -> DataFrame:
+    """One row a peak and channel: lif_len, radius, and measures of its signals over lifespan (lif_), afterlife (afl_) and all cycles (sig_).
+
+    Measures are med, men (mean), std (of the population), iqr, max, min and rng, null over no cycles. Aspect ratios have asr_med, asr_std and asr_max of the lifespan and
+    asr_cy0; each of the ``neighbours`` columns its mean over the lifespan, nei_<column>. radius is the distance of (aln_x, aln_y) from the middle of ``dim``. A group holds
+    one peak's cycles, so exact percentiles are small.
+    """
+    live = F.col("cycle_i") < F.col("lifespan")
+    quartiles = lambda x: F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    aggs = [F.max("lifespan").alias("lif_len")]
+    for pre, x in (("lif", F.when(live, F.col("signal"))), ("afl", F.when(~live, F.col("signal"))), ("sig", F.col("signal"))):
+        q = quartiles(x)
+        aggs += [q[1].alias(f"{pre}_med"), F.avg(x).alias(f"{pre}_men"), F.stddev_pop(x).alias(f"{pre}_std"), (q[2] - q[0]).alias(f"{pre}_iqr"), F.max(x).alias(f"{pre}_max"), F.min(x).alias(f"{pre}_min"), (F.max(x) - F.min(x)).alias(f"{pre}_rng")]
+    ratios = F.when(live, F.col("aspect_ratio"))
+    aggs += [F.percentile(ratios, F.lit(0.5)).alias("asr_med"), F.stddev_pop(ratios).alias("asr_std"), F.max(ratios).alias("asr_max"), F.max(F.when(F.col("cycle_i") == 0, F.col("aspect_ratio"))).alias("asr_cy0")]
+    aggs += [F.avg(F.when(live, F.col(c))).alias(f"nei_{c}") for c in neighbours]
+    made = radmat.join(lifespan(radmat), ["peak_i", "channel_i"]).groupBy("peak_i", "channel_i").agg(*aggs)
+    middle = dim // 2
+    return made.join(peaks.select("peak_i", F.hypot(F.col("aln_x") - middle, F.col("aln_y") - middle).alias("radius")), "peak_i")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dyelake.operators.classify import knn_dyetracks  # noqa: F401
+from dyelake.functions.numbers import ratio
+from dyelake.operators.classify import knn_dyetracks
 from dyelake.operators.sequences import numbered_by_range
 
 
@@ -106,9 +107,18 @@ def runs_by_best_peps(best: DataFrame) -> DataFrame:
     return best.filter("rank = 1").groupBy("run_i").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("pep_i")), ",").alias("peps"))
 
 
-def best_schemes(survey: DataFrame, n_runs: int) -> DataFrame:
-    """(run_rank, run_i, best): runs by their most isolated peptide, the first ``n_runs``."""
-    best = survey.groupBy("run_i").agg(F.max("nn_dist").alias("best"), F.sum("nn_dist").alias("total"))
+def best_schemes(survey: DataFrame, n_runs: int, objective: str = "nn_dist", lengths: DataFrame | None = None) -> DataFrame:
+    """(run_rank, run_i, best): the first ``n_runs`` runs by ``objective``.
+
+    nn_dist, nn_dist_avg and nn_dist_min are the greatest, mean and least distance of a run's peptides, coverage the residues of its peptides of a
+    fluorosequence of their own over all residues of the proteins of ``lengths`` (pro_i, length). Equal runs go by the sum of distances, then the number.
+    """
+    if objective == "coverage":
+        rows = survey.join(lengths.select("pro_i"), "pro_i", "left_semi").crossJoin(F.broadcast(lengths.agg(F.sum("length").alias("residues"))))
+        value = F.sum(F.when(F.col("flu_count") == 1, F.col("pep_len")).otherwise(0)) / F.max("residues")
+    else:
+        rows, value = survey, {"nn_dist": F.max, "nn_dist_avg": F.avg, "nn_dist_min": F.min}[objective]("nn_dist")
+    best = rows.groupBy("run_i").agg(value.alias("best"), F.sum("nn_dist").alias("total"))
     return best.withColumn("run_rank", F.row_number().over(W.orderBy(F.desc("best"), F.desc("total"), "run_i"))).filter(F.col("run_rank") <= n_runs).select("run_rank", "run_i", "best")
 
 
@@ -189,3 +199,27 @@ def label_sets(labels: DataFrame, n: int) -> DataFrame:
     for _ in range(n - 1):
         sets = sets.crossJoin(F.broadcast(labels)).filter(F.col("label") > F.element_at("labels", -1)).select(F.concat("labels", F.array("label")).alias("labels"))
     return sets
+
+
+def isolation(tracks: DataFrame, dyepeps: DataFrame, k: int = 10) -> DataFrame:
+    """(pep_i, isolation, contention_pep_i) of every peptide of ``dyepeps`` (dyt_i, pep_i, n_reads) over ``tracks`` (dyt_i, dyetrack).
+
+    A track belongs to the peptide of most of its reads. With p = 1 - exp(-0.8 d), d the squared distance to one of the ``k`` nearest tracks
+    (itself among them, and left out): reads on a peptide's own track stay with it by the product of p over neighbours of others, reads on a
+    track of another's come back by one less the product over neighbours of its own. isolation is the mean over reads;
+    contention_pep_i owns the tracks to which most reads are lost so, the lowest if equal, 0 if none.
+    """
+    owner = most_likely_pep(dyepeps).select("dyt_i", F.col("pep_i").alias("owner"))
+    rows = tracks.select(F.col("dyt_i").alias("row_i"), F.col("dyetrack").cast("array<double>").alias("vec"))
+    near = knn_dyetracks(rows, rows.withColumnRenamed("row_i", "dyt_i"), k).filter("row_i != dyt_i").join(owner.withColumnRenamed("owner", "near_owner"), "dyt_i")
+    near = near.select(F.col("row_i").alias("dyt_i"), "near_owner", (1 - F.exp(-0.8 * F.col("dist2"))).alias("p"))
+    # Both products are made by track before they meet the reads, so a track common to many peptides isn't joined neighbour by neighbour.
+    stay = near.join(owner, "dyt_i").filter("near_owner != owner").groupBy("dyt_i").agg(F.product("p").alias("stay"))
+    back = near.groupBy("dyt_i", F.col("near_owner").alias("pep_i")).agg(F.product("p").alias("back"))
+    reads = dyepeps.join(owner, "dyt_i").join(stay, "dyt_i", "left").join(back, ["dyt_i", "pep_i"], "left").na.fill(1.0, ["stay", "back"])
+    own = F.col("owner") == F.col("pep_i")
+    kept = F.col("n_reads") * F.when(own, F.col("stay")).otherwise(1 - F.col("back"))
+    lost = reads.groupBy("pep_i", "owner").agg(F.sum(kept).alias("kept"), F.sum("n_reads").alias("all"), F.round(F.sum(F.when(own, 0.0).otherwise(F.col("n_reads") * F.col("back"))), 9).alias("lost"))
+    worst = F.max(F.when(F.col("lost") > 0, F.struct("lost", (-F.col("owner")).alias("minus")))).alias("worst")
+    out = lost.groupBy("pep_i").agg(F.sum("kept").alias("kept"), F.sum("all").alias("all"), worst)
+    return out.select("pep_i", ratio("kept", "all").alias("isolation"), F.coalesce(-F.col("worst.minus"), F.lit(0)).alias("contention_pep_i"))

@@ -280,3 +280,37 @@ SELECT round(exp(avg(x)), 4) AS beta, round(stddev_pop(x), 6) AS sigma FROM x"""
 def lognormal_gain(spark, sf_dir):
     """A-41: brightness of one dye and its spread, of balanced rows."""
     return R.lognormal_gain(view(spark, sf_dir, "radmat").filter("cycle_i < 3"), 20000).select(F.round("beta", 4).alias("beta"), F.round("sigma", 6).alias("sigma"))
+
+
+@query("""SELECT peak_i, cycle_i, signal FROM radmat WHERE peak_i IN (SELECT peak_i FROM radmat WHERE channel_i = 0 GROUP BY 1
+HAVING bool_and(signal <= 90000 OR cycle_i < 3) AND bool_and(signal >= 1500 OR cycle_i <> 0) AND bool_and(aspect_ratio <= 1.47) AND bool_and(cycle_i <> 1 OR signal BETWEEN 2000 AND 80000))""")
+def filter_peaks_by_cycle(spark, sf_dir):
+    """P-7: whole peaks, dark from cycle 3, of bounded aspect ratios and signals in single cycles of a channel."""
+    rows = R.filter_peaks(view(spark, sf_dir, "radmat"), dark=90000, off_at=3, cycle_0=(1500, None), aspect_ratio=(None, 1.47), per_cycle={1: (2000, 80000)}, channel=0)
+    return rows.select("peak_i", "cycle_i", "signal")
+
+
+def _measures(pre, cond):
+    of = f" FILTER ({cond})"
+    return f"""quantile_cont(signal, 0.5){of} AS {pre}_med, round(avg(signal){of}, 6) AS {pre}_men, round(stddev_pop(signal){of}, 6) AS {pre}_std,
+        quantile_cont(signal, 0.75){of} - quantile_cont(signal, 0.25){of} AS {pre}_iqr, max(signal){of} AS {pre}_max, min(signal){of} AS {pre}_min, max(signal){of} - min(signal){of} AS {pre}_rng"""
+
+
+@query(f"""WITH {_SPAN}, m AS (SELECT r.*, lifespan FROM radmat r JOIN s ON s.peak_i = r.peak_i AND s.channel_i = r.channel_i),
+f AS (SELECT peak_i, channel_i, max(lifespan) AS lif_len, {_measures('lif', 'cycle_i < lifespan')}, {_measures('afl', 'cycle_i >= lifespan')}, {_measures('sig', 'TRUE')},
+round(quantile_cont(aspect_ratio, 0.5) FILTER (cycle_i < lifespan), 6) AS asr_med, round(stddev_pop(aspect_ratio) FILTER (cycle_i < lifespan), 6) AS asr_std, max(aspect_ratio) FILTER (cycle_i < lifespan) AS asr_max,
+max(aspect_ratio) FILTER (cycle_i = 0) AS asr_cy0, round(avg(noise) FILTER (cycle_i < lifespan), 6) AS nei_noise FROM m GROUP BY 1, 2)
+SELECT f.*, round(sqrt(pow(aln_x - 256, 2) + pow(aln_y - 256, 2)), 6) AS radius FROM f JOIN peaks ON peaks.peak_i = f.peak_i""")
+def peak_features(spark, sf_dir):
+    """A-32: each peak's measures over its lifespan, after it and over all cycles."""
+    out = R.peak_features(view(spark, sf_dir, "radmat"), view(spark, sf_dir, "peaks"), 512, ("noise",))
+    return _round(out, "lif_men", "lif_std", "afl_men", "afl_std", "sig_men", "sig_std", "asr_med", "asr_std", "nei_noise", "radius")
+
+
+@query()
+def decay_half_life(spark, sf_dir):
+    """M-8: each field's half-life of a signal that loses half of it every other cycle."""
+    from dyelake.operators.fits import decay_half_life as half_life
+
+    rows = view(spark, sf_dir, "radmat").withColumn("signal", F.col("signal") * F.pow(F.lit(2.0), -F.col("cycle_i") / 2))
+    return half_life(rows).select("field_i", "channel_i", F.col("half_lives")[0].alias("half_life"))

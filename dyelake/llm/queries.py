@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dyelake.llm import chat, language_id, mixing, pii, sql
 from dyelake.llm.decontaminate import contamination
+from dyelake.llm.line_dedup import drop_repeated_lines
 from dyelake.llm.near_dedup import near_duplicates
 from dyelake.llm.quality_model import quality_scores
 from dyelake.llm.quality_rules import quality_rules
@@ -79,6 +80,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that three documents share, except in the last that has them."""
+    kept = drop_repeated_lines(table(spark, sf_dir, "documents"), least_chars=20, least_docs=3)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_benchmark_decontamination,
         op10_quality_rules,
+        op11_line_dedup,
     )
 }
 
@@ -100,4 +108,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": sql.OP2,
     "op6_minhash_near_dedup": sql.OP6,
     "op9_benchmark_decontamination": sql.OP9,
+    "op11_line_dedup": sql.OP11,
 }

@@ -98,3 +98,13 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
     coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near_items
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r) LEFT JOIN z USING (r)
 """
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM x),
+f AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+g AS (SELECT k.*, f.key IS NOT NULL AND doc_id IS DISTINCT FROM last AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM g GROUP BY r, doc_id
+"""

@@ -12,8 +12,10 @@ from dyelake.llm import chat, language_id, mixing, pii, sql
 from dyelake.llm.decontaminate import contamination
 from dyelake.llm.line_dedup import drop_repeated_lines
 from dyelake.llm.near_dedup import near_duplicates
+from dyelake.llm.phrases import collocations
 from dyelake.llm.quality_model import quality_scores
 from dyelake.llm.quality_rules import quality_rules
+from dyelake.llm.ranked_search import ranked_search
 from dyelake.llm.sharding import kd_shards
 from dyelake.llm.token_counts import token_counts
 from dyelake.sources.tables import table
@@ -86,6 +88,16 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of two and three words in all documents, by language."""
+    return collocations(table(spark, sf_dir, "documents"), least=10, top=2000)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of each benchmark item."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_benchmark_decontamination,
         op10_quality_rules,
         op11_line_dedup,
+        op12_phrases,
+        op13_ranked_search,
     )
 }
 
@@ -109,4 +123,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_minhash_near_dedup": sql.OP6,
     "op9_benchmark_decontamination": sql.OP9,
     "op11_line_dedup": sql.OP11,
+    "op12_phrases": sql.OP12,
+    "op13_ranked_search": sql.OP13,
 }

@@ -3,6 +3,7 @@
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words as the contracts define them.
 SPACED, ALNUM = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 
@@ -108,3 +109,29 @@ g AS (SELECT k.*, f.key IS NOT NULL AND doc_id IS DISTINCT FROM last AS gone FRO
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM g GROUP BY r, doc_id
 """
+
+OP12 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, w[i : i + k - 1] AS p FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, p, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT f.lang, f.k AS size, f.p, f.a, x.k, x.a AS l, y.a AS r, CAST((CAST(1000000 AS HUGEINT) * f.a * f.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+    FROM f JOIN f x ON x.lang = f.lang AND x.k < f.k AND x.p = f.p[1 : x.k] JOIN f y ON y.lang = f.lang AND y.p = f.p[x.k + 1 : f.k] WHERE f.k > 1),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+o AS (SELECT lang, p, max(a) AS a FROM (SELECT lang, p[1:2] AS p, a FROM f WHERE k = 3 UNION ALL SELECT lang, p[2:3], a FROM f WHERE k = 3) GROUP BY ALL),
+z AS (SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM b LEFT JOIN o ON o.lang = b.lang AND o.p = b.p WHERE o.a IS NULL OR 100 * o.a < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM z JOIN t USING (lang) QUALIFY rank <= 2000
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERMS}') AS w FROM documents),
+s AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, w FROM d WHERE len(w) > 0),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM s),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM s) GROUP BY ALL),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERMS}')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+v AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, c WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+m AS (SELECT r, doc_id, 75 + (25 * n * docs) // words AS m FROM s, c),
+x AS (SELECT item_id, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN v USING (term) JOIN f USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank, doc_id, score FROM x JOIN d USING (r) WHERE score > 0 QUALIFY rank <= 20
+"""

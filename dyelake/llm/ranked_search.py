@@ -168,7 +168,7 @@ def _search_block(row: dict[str, pa.Array], mean: tuple[int, int], wanted: _Want
             order = np.argsort(-can)
             members = np.argsort(group, kind="stable")
             first = np.concatenate(([0], np.cumsum(np.bincount(group, minlength=len(one)))))
-            step, k = 8, 0
+            step, k = 1, 0
             while k < len(order) and can[order[k]] >= found.least:
                 groups = order[k : k + step]
                 groups = groups[can[groups] >= found.least]
@@ -213,9 +213,9 @@ def ranked_search(docs: DataFrame, items: DataFrame, top: int = 20) -> DataFrame
     terms = written(item_terms(items))
     index = written(block_index(docs, terms.select("term").distinct()))
     n_all, words_all = index.agg(F.sum(F.size("sizes")), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b))).first()
-    out_schema = items.select("item_id").schema.simpleString()[len("struct<") : -1]
+    nothing = spark.createDataFrame([], f"item_id {type_of(items, 'item_id')}, rank int, doc_id {type_of(docs, 'doc_id')}, score long")
     if not n_all:
-        return spark.createDataFrame([], f"{out_schema}, rank int, doc_id {type_of(docs, 'doc_id')}, score long")
+        return nothing
     df = index.select(F.explode(F.arrays_zip("terms", "n_docs")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.n_docs").alias("df"))
     weight = F.floor(1000 * F.log(F.lit(float(2 * n_all + 2)) / (2 * F.col("df") + 1).cast("double"))).cast("long")
     total = terms.count()
@@ -240,4 +240,4 @@ def ranked_search(docs: DataFrame, items: DataFrame, top: int = 20) -> DataFrame
         names = names.select("item", F.col("item_id").cast(type_of(items, "item_id")))
         best = best.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
         found = best if found is None else found.unionByName(best)
-    return found
+    return nothing if found is None else found

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dyelake.functions.numbers import ratio
+from dyelake.operators.quantiles import named_percentiles
 
 
 def _peak():
@@ -77,10 +78,16 @@ def balance(radmat: DataFrame, factors: DataFrame) -> DataFrame:
 
 def cycle_balance(radmat: DataFrame, mean: float, std: float) -> DataFrame:
     """(cycle_i, factor): the mean of all cycles' medians over the cycle's, of signals within one std of the mean."""
-    medians = radmat.filter((F.col("signal") > mean - std) & (F.col("signal") < mean + std)).groupBy("cycle_i").agg(F.percentile("signal", F.lit(0.5)).alias("median"))
+    medians = named_percentiles(radmat.filter((F.col("signal") > mean - std) & (F.col("signal") < mean + std)), ["cycle_i"], "signal", {"median": 0.5})
     return medians.select("cycle_i", (F.avg("median").over(W.partitionBy()) / F.col("median")).alias("factor"))
 
 
+def cycle_balance_of_ones(sigcalls: DataFrame, value: str = "signal") -> DataFrame:
+    """(cycle_i, factor): the mean of all cycles' means over the cycle's, of the rows of sigcalls() whose called count is 1; cycles are few."""
+    means = sigcalls.filter("count = 1").groupBy("cycle_i").agg(F.avg(value).alias("mean"))
+    return means.select("cycle_i", (F.avg("mean").over(W.partitionBy()) / F.col("mean")).alias("factor"))
+
+
 def one_sided_std(radmat: DataFrame, sigmas: float) -> DataFrame:
     """One row, dark: sigmas times the root mean square of the last cycle's signals of 0 or less (mirrored, their mean is 0)."""
     last = radmat.agg(F.max("cycle_i").alias("last"))
@@ -118,10 +125,34 @@ def signal_delta(radmat: DataFrame) -> DataFrame:
     return means.withColumn("delta", delta).withColumn("percent", 100 * F.col("delta") / F.col("signal"))
 
 
-def peak_lifetime(radmat: DataFrame, threshold: float) -> DataFrame:
-    """(peak_i, channel_i, lifetime): the first cycle not above the threshold, the number of cycles if there is none."""
-    off = F.min(F.when(F.col("signal") <= threshold, F.col("cycle_i")))
-    return radmat.groupBy("peak_i", "channel_i").agg(F.coalesce(off, F.max("cycle_i") + 1).alias("lifetime"))
+def field_thresholds(radmat: DataFrame, value: Column | str = "signal", start: int | None = None, n: int = 1) -> DataFrame:
+    """(field_i, threshold): the median of each field's values over ``n`` cycles from ``start``, the table's last cycle if that isn't given."""
+    if start is None:
+        start = radmat.agg(F.coalesce(F.max("cycle_i"), F.lit(0))).first()[0]
+    return named_percentiles(radmat.filter((F.col("cycle_i") >= start) & (F.col("cycle_i") < start + n)), ["field_i"], value, {"threshold": 0.5})
+
+
+def peak_lifetime(radmat: DataFrame, threshold: float | DataFrame, value: Column | str = "signal") -> DataFrame:
+    """(field_i, peak_i, channel_i, lifetime): the first cycle whose ``value`` (the signal, or ratio("signal", "noise")) isn't above the threshold, the number of cycles if there is none.
+
+    The threshold is one number or a table (field_i, threshold); peaks of a field without one are left out. A null value isn't above.
+    """
+    of = F.col(value) if isinstance(value, str) else value
+    rows = radmat.withColumn("threshold", F.lit(threshold)) if isinstance(threshold, (int, float)) else radmat.join(threshold, "field_i")
+    off = F.min(F.when(~F.coalesce(of > F.col("threshold"), F.lit(False)), F.col("cycle_i")))
+    return rows.groupBy("field_i", "peak_i", "channel_i").agg(F.coalesce(off, F.max("cycle_i") + 1).alias("lifetime"))
+
+
+def survivors(lifetimes: DataFrame) -> DataFrame:
+    """(field_i, cycle_i, n): peaks of each field whose lifetime is at least the cycle, for all cycles from 0 to the longest lifetime of all.
+
+    Lifetimes are counted by value and summed from the last cycle down, so each peak counts once, not once a cycle.
+    """
+    counts = lifetimes.groupBy("field_i", F.col("lifetime").alias("cycle_i")).agg(F.count(F.lit(1)).alias("ends"))
+    last = lifetimes.agg(F.max("lifetime").alias("last"))
+    cycles = counts.select("field_i").distinct().crossJoin(F.broadcast(last)).select("field_i", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("cycle_i"))
+    down = W.partitionBy("field_i").orderBy(F.desc("cycle_i"))
+    return cycles.join(counts, ["field_i", "cycle_i"], "left").select("field_i", "cycle_i", F.sum(F.coalesce("ends", F.lit(0))).over(down).alias("n"))
 
 
 def cumulative(rows: DataFrame, column: str) -> DataFrame:
@@ -132,26 +163,72 @@ def cumulative(rows: DataFrame, column: str) -> DataFrame:
 
 def field_stats(radmat: DataFrame) -> DataFrame:
     """(field_i, snr, signal, median): mean signal to noise, mean and median signal."""
-    return radmat.groupBy("field_i").agg(F.avg(ratio("signal", "noise")).alias("snr"), F.avg("signal").alias("signal"), F.percentile("signal", F.lit(0.5)).alias("median"))
+    means = radmat.groupBy("field_i").agg(F.avg(ratio("signal", "noise")).alias("snr"), F.avg("signal").alias("signal"))
+    return means.join(named_percentiles(radmat, ["field_i"], "signal", {"median": 0.5}), "field_i", "left").select("field_i", "snr", "signal", "median")
 
 
-def signal_stats(radmat: DataFrame, start: int, n: int) -> DataFrame:
-    """One row of mean, median and sample deviation of signals and of signal to noise over ``n`` cycles."""
-    rows = radmat.filter((F.col("cycle_i") >= start) & (F.col("cycle_i") < start + n)).withColumn("snr", ratio("signal", "noise"))
-    return rows.agg(*(f(c).alias(f"{name}_{c}") for c in ("signal", "snr") for name, f in (("mean", F.avg), ("median", lambda x: F.percentile(x, F.lit(0.5))), ("std", F.stddev_samp))))
+def cycle_stats(radmat: DataFrame) -> DataFrame:
+    """(channel_i, cycle_i, mean, median) of signals."""
+    means = radmat.groupBy("channel_i", "cycle_i").agg(F.avg("signal").alias("mean"))
+    return means.join(named_percentiles(radmat, ["channel_i", "cycle_i"], "signal", {"median": 0.5}), ["channel_i", "cycle_i"], "left").select("channel_i", "cycle_i", "mean", "median")
+
+
+def require_cycles(radmat: DataFrame, n_cycles: int) -> DataFrame:
+    """``radmat``, whose use raises an error if it has a cycle of ``n_cycles`` or later."""
+    beyond = F.raise_error(F.concat(F.lit(f"more than {n_cycles} cycles: "), F.col("cycle_i").cast("string"))).cast("int")
+    return radmat.withColumn("cycle_i", F.when(F.col("cycle_i") >= n_cycles, beyond).otherwise(F.col("cycle_i")))
+
+
+def signal_by_field_cycle(radmat: DataFrame, n_cycles: int) -> DataFrame:
+    """(field_i, channel_i, cycle_0, cycle_1, ...): mean signal of each of ``n_cycles`` cycles; more are an error."""
+    rows = require_cycles(radmat, n_cycles)
+    return rows.groupBy("field_i", "channel_i").agg(*(F.avg(F.when(F.col("cycle_i") == c, F.col("signal"))).alias(f"cycle_{c}") for c in range(n_cycles)))
+
+
+def field_alignment(fields: DataFrame, qualities: DataFrame) -> DataFrame:
+    """(field_i, max_shift, quality): each field's farthest alignment of a cycle, and its mean quality, null if there is none."""
+    shift = fields.groupBy("field_i").agg(F.max(F.sqrt(F.col("aln_x") * F.col("aln_x") + F.col("aln_y") * F.col("aln_y"))).alias("max_shift"))
+    return shift.join(qualities.groupBy("field_i").agg(F.avg("quality").alias("quality")), "field_i", "left")
+
+
+def signal_stats(radmat: DataFrame, start: int, n: int, channel: int | None = None, fields: list | None = None) -> DataFrame:
+    """One row of mean, median and sample deviation of signals and of signal to noise over ``n`` cycles, of one channel and some fields if given."""
+    rows = filter_rows(radmat if channel is None else radmat.filter(F.col("channel_i") == channel), fields)
+    rows = rows.filter((F.col("cycle_i") >= start) & (F.col("cycle_i") < start + n)).withColumn("snr", ratio("signal", "noise"))
+    out = rows.agg(*(f(c).alias(f"{name}_{c}") for c in ("signal", "snr") for name, f in (("mean", F.avg), ("std", F.stddev_samp))))
+    for c in ("signal", "snr"):
+        # One row each; no values have no median.
+        median = named_percentiles(rows, [], c, {f"median_{c}": 0.5}).agg(F.first(f"median_{c}").alias(f"median_{c}"))
+        out = out.crossJoin(F.broadcast(median))
+    return out.select(*(f"{name}_{c}" for c in ("signal", "snr") for name in ("mean", "median", "std")))
 
 
 def good_fields(qualities: DataFrame) -> DataFrame:
     """(field_i, quality): fields whose mean quality is above the median of all fields' means."""
     means = qualities.groupBy("field_i").agg(F.avg("quality").alias("quality"))
-    return means.join(F.broadcast(means.agg(F.percentile("quality", F.lit(0.5)).alias("median"))), F.col("quality") > F.col("median")).select("field_i", "quality")
+    return means.join(F.broadcast(named_percentiles(means, [], "quality", {"median": 0.5})), F.col("quality") > F.col("median")).select("field_i", "quality")
+
+
+def percentile_bands(df: DataFrame, groups: list[str], value: str, at: dict[str, float]) -> DataFrame:
+    """(groups, and a column for each named percentile of the group's values)."""
+    return named_percentiles(df, groups, value, at)
+
+
+def _box(df: DataFrame, group: str, value: str) -> DataFrame:
+    q = named_percentiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return q.withColumns({"far_low": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), "far_high": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
 
 
 def boxplot(df: DataFrame, group: str, value: str) -> DataFrame:
     """(group, q1, median, q3, low, high): quartiles, and whiskers of 1.5 interquartile ranges clipped to what occurs."""
-    stats = df.groupBy(group).agg(F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q"), F.min(value).alias("least"), F.max(value).alias("most"))
-    q1, q3 = F.col("q")[0], F.col("q")[2]
-    return stats.select(group, q1.alias("q1"), F.col("q")[1].alias("median"), q3.alias("q3"), F.greatest("least", q1 - 1.5 * (q3 - q1)).alias("low"), F.least("most", q3 + 1.5 * (q3 - q1)).alias("high"))
+    ends = df.groupBy(group).agg(F.min(value).alias("least"), F.max(value).alias("most"))
+    return _box(df, group, value).join(ends, group).select(group, "q1", "median", "q3", F.greatest("least", "far_low").alias("low"), F.least("most", "far_high").alias("high"))
+
+
+def boxplot_outliers(df: DataFrame, group: str, value: str) -> DataFrame:
+    """The rows of ``df`` farther than 1.5 interquartile ranges from their group's quartiles."""
+    ends = _box(df, group, value).select(group, "far_low", "far_high")
+    return df.join(ends, group).filter((F.col(value) > F.col("far_high")) | (F.col(value) < F.col("far_low"))).select(*df.columns)
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
@@ -181,40 +258,6 @@ def radial_filter(peaks: DataFrame, dim: float, radius: float) -> DataFrame:
     return peaks.filter(F.sqrt(F.pow(F.col("aln_x") - half, 2) + F.pow(F.col("aln_y") - half, 2)) / half < radius)
 
 
-def outside_rects(peaks: DataFrame, rects: DataFrame) -> DataFrame:
-    """Peaks in no rectangle (l, r, b, t; half-open) of their field."""
-    r = rects.withColumnRenamed("field_i", "rect_field")
-    inside = (F.col("field_i") == F.col("rect_field")) & (F.col("aln_x") >= F.col("l")) & (F.col("aln_x") < F.col("r")) & (F.col("aln_y") >= F.col("b")) & (F.col("aln_y") < F.col("t"))
-    return peaks.join(r, inside, "left_anti")
-
-
-def _cells(df: DataFrame, size: float) -> DataFrame:
-    return df.withColumns({"cx": F.floor(F.col("x") / size).cast("int"), "cy": F.floor(F.col("y") / size).cast("int")})
-
-
-def _around(df: DataFrame) -> DataFrame:
-    """Each row once for its grid cell and each of the eight around it."""
-    near = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-    return df.withColumn("step", near).withColumns({"cx": F.col("cx") + F.col("step.i"), "cy": F.col("cy") + F.col("step.j")}).drop("step")
-
-
-def new_locs(locs: DataFrame, radius: float = 1.5) -> DataFrame:
-    """Locations (field_i, cycle_i, x, y) of later cycles with none of cycle 0 within ``radius``, by a grid of that size."""
-    first = _around(_cells(locs.filter("cycle_i = 0").select("field_i", "x", "y").distinct(), radius)).withColumnsRenamed({"field_i": "f", "x": "x0", "y": "y0", "cx": "gx", "cy": "gy"})
-    close = (F.col("field_i") == F.col("f")) & (F.col("cx") == F.col("gx")) & (F.col("cy") == F.col("gy")) & (F.pow(F.col("x") - F.col("x0"), 2) + F.pow(F.col("y") - F.col("y0"), 2) <= radius * radius)
-    return _cells(locs.filter("cycle_i > 0"), radius).join(first, close, "left_anti").select("field_i", "cycle_i", "x", "y")
-
-
-def crowding(peaks: DataFrame, keep: float = 8.0) -> DataFrame:
-    """(peak_i, crowded): whether another peak of the field lies nearer than ``keep``, at another place, by a grid of that size."""
-    own = _cells(peaks.select("peak_i", "field_i", F.col("aln_x").alias("x"), F.col("aln_y").alias("y")), keep)
-    other = _around(own).select(F.col("field_i").alias("f"), "cx", "cy", F.col("x").alias("x0"), F.col("y").alias("y0")).distinct().withColumnsRenamed({"cx": "gx", "cy": "gy"})
-    d2 = F.pow(F.col("x") - F.col("x0"), 2) + F.pow(F.col("y") - F.col("y0"), 2)
-    close = (F.col("field_i") == F.col("f")) & (F.col("cx") == F.col("gx")) & (F.col("cy") == F.col("gy")) & (d2 > 0) & (d2 < keep * keep)
-    hit = own.join(other, close, "left_semi").select("peak_i").distinct().withColumn("crowded", F.lit(True))
-    return own.select("peak_i").join(hit, "peak_i", "left").na.fill(False, ["crowded"])
-
-
 def peaks_fits(peaks: DataFrame, fits: DataFrame) -> DataFrame:
     """Peaks with their Gaussian fit by field and number in the field; peaks without one stay."""
     return peaks.join(fits, ["field_i", "field_peak_i"], "left")
@@ -231,6 +274,18 @@ def fields_metadata(fields: DataFrame, metadata: DataFrame, qualities: DataFrame
     return fields.join(metadata, ["field_i", "cycle_i"], "left").join(qualities, ["field_i", "channel_i", "cycle_i"], "full")
 
 
+def peaks_on_stage(peaks: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Peaks with their field's mean stage place, and their own place on the flow cell (stage plus alignment); peaks of fields without metadata are left out."""
+    stage = metadata.groupBy("field_i").agg(F.avg("stage_x").alias("stage_x"), F.avg("stage_y").alias("stage_y"))
+    return peaks.join(stage, "field_i").withColumns({"flowcell_x": F.col("stage_x") + F.col("aln_x"), "flowcell_y": F.col("stage_y") + F.col("aln_y")})
+
+
+def raw_by_shift(peaks: DataFrame, fields: DataFrame, border: float) -> DataFrame:
+    """Peaks by channel and cycle with raw_x and raw_y in the image as taken: alignment plus the cycle's shift (field_i, channel_i, cycle_i, shift_x, shift_y), less the border."""
+    rows = peaks.join(fields.select("field_i", "channel_i", "cycle_i", "shift_x", "shift_y"), "field_i")
+    return rows.withColumns({f"raw_{c}": F.col(f"aln_{c}") + F.col(f"shift_{c}") - border for c in ("x", "y")}).drop("shift_x", "shift_y")
+
+
 def regional_stats(pixels: DataFrame, tile: int) -> DataFrame:
     """(field_i, ty, tx, median, std): median and population deviation of ``value`` by square tiles of (y, x)."""
     keys = [F.floor(F.col(c) / tile).cast("int").alias(f"t{c}") for c in ("y", "x")]
@@ -291,22 +346,20 @@ def tile_anomalies(pixels: DataFrame, low: float = 0.25, high: float = 0.75, til
     plus the range between two of their percentiles."""
     keys = [F.floor(F.col(c) / tile).cast("int").alias(f"t{c}") for c in ("y", "x")]
     tiles = pixels.groupBy("field_i", "channel_i", "cycle_i", *keys).agg(F.avg("value").alias("mean"))
-    at = tiles.groupBy("field_i", "channel_i").agg(F.percentile("mean", F.array(F.lit(0.5), F.lit(low), F.lit(high))).alias("p"))
-    return tiles.join(at, ["field_i", "channel_i"]).filter(F.col("mean") > F.col("p")[0] + F.col("p")[2] - F.col("p")[1]).select("field_i", "channel_i", "cycle_i", "ty", "tx", "mean")
+    at = named_percentiles(tiles, ["field_i", "channel_i"], "mean", {"p50": 0.5, "low": low, "high": high})
+    return tiles.join(at, ["field_i", "channel_i"]).filter(F.col("mean") > F.col("p50") + F.col("high") - F.col("low")).select("field_i", "channel_i", "cycle_i", "ty", "tx", "mean")
 
 
 def lognormal_gain(radmat: DataFrame, dark: float) -> DataFrame:
     """One row, beta and sigma of a dye's brightness: exp of the mean, and the deviation, of the logarithms of balanced signals.
 
-    Peaks are those above ``dark`` in cycle 1 and below it in the last; their darker cells are left out, then the peaks of the upper half by deviation, and
+    Peaks are those above ``dark`` in cycle 1 and below it in the last cycle that they have; their darker cells are left out, then the peaks of the upper half by deviation, and
     each peak's signals are divided by its mean over all peaks' mean.
     """
-    last = radmat.agg(F.max("cycle_i").alias("last"))
-    rows = radmat.crossJoin(F.broadcast(last))
-    on = F.bool_or((F.col("cycle_i") == 1) & (F.col("signal") > dark)) & F.bool_or((F.col("cycle_i") == F.col("last")) & (F.col("signal") < dark))
+    on = F.bool_or((F.col("cycle_i") == 1) & (F.col("signal") > dark)) & (F.max_by("signal", "cycle_i") < dark)
     lit = F.when(F.col("signal") >= dark, F.col("signal"))
-    peaks = rows.groupBy("peak_i", "channel_i").agg(on.alias("on"), F.avg(lit).alias("mean"), F.stddev_pop(lit).alias("std")).filter("on AND mean IS NOT NULL")
-    peaks = peaks.crossJoin(F.broadcast(peaks.agg(F.percentile("std", F.lit(0.5)).alias("half")))).filter("std < half")
+    peaks = radmat.groupBy("peak_i", "channel_i").agg(on.alias("on"), F.avg(lit).alias("mean"), F.stddev_pop(lit).alias("std")).filter("on AND mean IS NOT NULL")
+    peaks = peaks.join(F.broadcast(named_percentiles(peaks, [], "std", {"half": 0.5})), F.col("std") < F.col("half"))
     peaks = peaks.crossJoin(F.broadcast(peaks.agg(F.avg("mean").alias("all")))).select("peak_i", "channel_i", (F.col("mean") / F.col("all")).alias("scale"))
     logs = radmat.filter(F.col("signal") >= dark).join(peaks, ["peak_i", "channel_i"]).select(F.log(F.col("signal") / F.col("scale")).alias("x"))
     return logs.agg(F.exp(F.avg("x")).alias("beta"), F.stddev_pop("x").alias("sigma"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dyelake.functions.numbers import ratio
+from dyelake.operators import plane as P
 from dyelake.operators import radmat as R
 from dyelake.plans.adapters import fields_of, view
 from dyelake.plans.registry import query
@@ -69,7 +71,87 @@ def signal_delta(spark, sf_dir):
 @query("SELECT peak_i, channel_i, coalesce(min(cycle_i) FILTER (signal <= 30000), max(cycle_i) + 1) AS lifetime FROM radmat GROUP BY ALL")
 def peak_lifetime(spark, sf_dir):
     """W-12: the cycle at which each peak goes dark."""
-    return R.peak_lifetime(view(spark, sf_dir, "radmat"), 30000)
+    return R.peak_lifetime(view(spark, sf_dir, "radmat"), 30000).select("peak_i", "channel_i", "lifetime")
+
+
+def _lifetimes(value, which):
+    """SQL: peaks' lifetimes by the median of ``value`` of their field in a cycle, and what is left of them cycle by cycle."""
+    return f"""t AS (SELECT field_i, quantile_cont({value}, 0.5) AS threshold FROM radmat WHERE cycle_i = {which} GROUP BY 1),
+l AS (SELECT field_i, peak_i, channel_i, coalesce(min(cycle_i) FILTER (NOT {value} > threshold), max(cycle_i) + 1) AS lifetime FROM radmat JOIN t USING (field_i) GROUP BY ALL)"""
+
+
+_LEFT = "SELECT field_i, CAST(c AS INT) AS cycle_i, count(*) FILTER (lifetime >= c) AS n FROM l, (SELECT unnest(range((SELECT max(lifetime) + 1 FROM l))) AS c) GROUP BY 1, 2"
+
+
+@query(f"WITH {_lifetimes('signal', '(SELECT max(cycle_i) FROM radmat)')} SELECT * FROM l")
+def peak_lifetime_by_field(spark, sf_dir):
+    """W-12: the cycle at which each peak falls to its field's median of the last cycle."""
+    rows = view(spark, sf_dir, "radmat")
+    return R.peak_lifetime(rows, R.field_thresholds(rows))
+
+
+@query(f"WITH {_lifetimes('signal', '(SELECT max(cycle_i) FROM radmat)')} {_LEFT}")
+def survivors(spark, sf_dir):
+    """W-12: peaks of each field that are still on in each cycle, by signal."""
+    rows = view(spark, sf_dir, "radmat")
+    return R.survivors(R.peak_lifetime(rows, R.field_thresholds(rows)))
+
+
+@query(f"WITH {_lifetimes('(signal / noise)', '0')} {_LEFT}")
+def survivors_by_snr(spark, sf_dir):
+    """W-12: the same by signal over noise, above the field's median of the first cycle."""
+    rows = view(spark, sf_dir, "radmat")
+    return R.survivors(R.peak_lifetime(rows, R.field_thresholds(rows, ratio("signal", "noise"), 0), ratio("signal", "noise")))
+
+
+#: Cycles of a peak at most in the tables that have a column a cycle; a table with more is an error. The given tables have 17 or fewer.
+CYCLES = 20
+_KNOWN = f"(SELECT * FROM radmat WHERE CASE WHEN cycle_i < {CYCLES} THEN TRUE ELSE error('more than {CYCLES} cycles') END)"
+
+
+@query("SELECT channel_i, cycle_i, round(avg(signal), 6) AS mean, quantile_cont(signal, 0.5) AS median FROM radmat GROUP BY 1, 2")
+def cycle_stats(spark, sf_dir):
+    """A-28: mean and median signal by channel and cycle."""
+    return _round(R.cycle_stats(view(spark, sf_dir, "radmat")), "mean")
+
+
+@query(f"SELECT field_i, channel_i, {', '.join(f'round(avg(signal) FILTER (cycle_i = {c}), 6) AS cycle_{c}' for c in range(CYCLES))} FROM {_KNOWN} GROUP BY 1, 2")
+def signal_by_field_cycle(spark, sf_dir):
+    """A-28: mean signal by field, a column a cycle."""
+    return _round(R.signal_by_field_cycle(view(spark, sf_dir, "radmat"), CYCLES), *(f"cycle_{c}" for c in range(CYCLES)))
+
+
+@query("WITH q AS (SELECT field_i, avg(quality) AS quality FROM qualities GROUP BY 1) SELECT field_i, round(max(sqrt(aln_x * aln_x + aln_y * aln_y)), 6) AS max_shift, round(any_value(quality), 6) AS quality FROM fields LEFT JOIN q USING (field_i) GROUP BY 1")
+def field_alignment(spark, sf_dir):
+    """A-28: each field's farthest alignment and mean quality."""
+    return _round(R.field_alignment(view(spark, sf_dir, "fields"), view(spark, sf_dir, "qualities")), "max_shift", "quality")
+
+
+@query("WITH d AS (SELECT *, signal * pow(2, -cycle_i) AS decayed FROM radmat), q AS (SELECT field_i, quantile_cont(decayed, 0.25) AS q1, quantile_cont(decayed, 0.75) AS q3 FROM d GROUP BY 1) SELECT peak_i, cycle_i, decayed FROM d JOIN q USING (field_i) WHERE decayed > q3 + 1.5 * (q3 - q1) OR decayed < q1 - 1.5 * (q3 - q1)")
+def boxplot_outliers(spark, sf_dir):
+    """A-33: rows far from their field's quartiles, of signals that lose half of it each cycle."""
+    rows = view(spark, sf_dir, "radmat").withColumn("decayed", F.col("signal") * F.pow(F.lit(2.0), -F.col("cycle_i")))
+    return R.boxplot_outliers(rows, "field_i", "decayed").select("peak_i", "cycle_i", "decayed")
+
+
+@query("SELECT field_i, cycle_i, round(quantile_cont(signal, 0.05), 6) AS p5, round(quantile_cont(signal, 0.35), 6) AS p35, round(quantile_cont(signal, 0.95), 6) AS p95 FROM radmat GROUP BY 1, 2")
+def percentile_bands(spark, sf_dir):
+    """A-35: percentiles of signals by field and cycle."""
+    return _round(R.percentile_bands(view(spark, sf_dir, "radmat"), ["field_i", "cycle_i"], "signal", {"p5": 0.05, "p35": 0.35, "p95": 0.95}), "p5", "p35", "p95")
+
+
+@query("SELECT p.peak_i, stage_x, round(stage_y, 6) AS stage_y, round(stage_x + aln_x, 6) AS flowcell_x, round(stage_y + aln_y, 6) AS flowcell_y FROM peaks p JOIN (SELECT field_i, avg(stage_x) AS stage_x, avg(stage_y) AS stage_y FROM metadata GROUP BY 1) m USING (field_i)")
+def peaks_on_stage(spark, sf_dir):
+    """J-14, P-11: peaks with their field's mean stage place and their own on the flow cell."""
+    rows = R.peaks_on_stage(view(spark, sf_dir, "peaks"), view(spark, sf_dir, "metadata"))
+    return _round(rows, "stage_y", "flowcell_x", "flowcell_y").select("peak_i", "stage_x", "stage_y", "flowcell_x", "flowcell_y")
+
+
+@query("SELECT peak_i, channel_i, cycle_i, p.aln_x + f.aln_x - 12 AS raw_x, p.aln_y + f.aln_y - 12 AS raw_y FROM peaks p JOIN fields f ON f.field_i = p.field_i")
+def raw_by_shift(spark, sf_dir):
+    """P-11: raw coordinates from shifts and the border, by channel and cycle."""
+    fields = view(spark, sf_dir, "fields").withColumnsRenamed({"aln_x": "shift_x", "aln_y": "shift_y"})
+    return R.raw_by_shift(view(spark, sf_dir, "peaks"), fields, 12).select("peak_i", "channel_i", "cycle_i", "raw_x", "raw_y")
 
 
 @query(f"WITH {_SPAN} SELECT lifespan, CAST(sum(count(*)) OVER (ORDER BY lifespan) AS BIGINT) AS n FROM s GROUP BY 1")
@@ -132,35 +214,41 @@ def radial_filter(spark, sf_dir):
 @query("SELECT peak_i FROM peaks p WHERE NOT EXISTS (SELECT 1 FROM rects r WHERE r.field_i = p.field_i AND aln_x >= l AND aln_x < r AND aln_y >= b AND aln_y < t)")
 def peaks_outside_rects(spark, sf_dir):
     """J-21: peaks in no masked rectangle."""
-    return R.outside_rects(view(spark, sf_dir, "peaks"), view(spark, sf_dir, "rects")).select("peak_i")
+    return P.outside_rects(view(spark, sf_dir, "peaks"), view(spark, sf_dir, "rects")).select("peak_i")
 
 
 @query("SELECT cycle_i, count(*) AS n FROM locs a WHERE cycle_i > 0 AND NOT EXISTS (SELECT 1 FROM locs b WHERE b.field_i = a.field_i AND b.cycle_i = 0 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 2.25) GROUP BY 1")
 def new_peaks_per_cycle(spark, sf_dir):
     """J-20, A-42: locations that no peak of cycle 0 is near, by cycle."""
-    return R.new_locs(view(spark, sf_dir, "locs")).groupBy("cycle_i").agg(F.count(F.lit(1)).alias("n"))
+    return P.new_locs(view(spark, sf_dir, "locs")).groupBy("cycle_i").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT field_i, cycle_i, x, y FROM locs a WHERE cycle_i > 0 AND NOT EXISTS (SELECT 1 FROM locs b WHERE b.field_i = a.field_i AND b.cycle_i = 0 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 2.25)")
+def new_locs(spark, sf_dir):
+    """J-20: locations that no peak of cycle 0 is near."""
+    return P.new_locs(view(spark, sf_dir, "locs"))
 
 
-@query("SELECT a.peak_i, EXISTS (SELECT 1 FROM peaks b WHERE b.field_i = a.field_i AND (a.aln_x - b.aln_x) ** 2 + (a.aln_y - b.aln_y) ** 2 > 0 AND (a.aln_x - b.aln_x) ** 2 + (a.aln_y - b.aln_y) ** 2 < 64) AS crowded FROM peaks a")
+@query("SELECT a.peak_i, round(sqrt(min(d) FILTER (d > 0)), 6) AS closest, coalesce(min(d) FILTER (d > 0) < 64, FALSE) AS crowded FROM (SELECT a.peak_i, (a.aln_x - b.aln_x) ** 2 + (a.aln_y - b.aln_y) ** 2 AS d FROM peaks a LEFT JOIN peaks b ON b.field_i = a.field_i) a GROUP BY 1")
 def crowding(spark, sf_dir):
-    """J-22: peaks with another nearer than 8."""
-    return R.crowding(view(spark, sf_dir, "peaks"))
+    """J-22: each peak's distance to the nearest other, and whether that is less than 8."""
+    return _round(P.crowding(view(spark, sf_dir, "peaks")), "closest")
 
 
-_PHOTO = """WITH n AS (SELECT max(cycle_i) + 1 AS n FROM radmat),
-d AS (SELECT p.field_i, p.peak_i, p.c, coalesce(r.signal > 30000, FALSE) AS lit FROM (SELECT field_i, peak_i, unnest(range(n)) AS c FROM (SELECT DISTINCT field_i, peak_i FROM radmat), n) p
+_FRAMES = ", ".join(f"'FRAME {c}'" for c in range(CYCLES))
+_PHOTO = f"""WITH d AS (SELECT p.field_i, p.peak_i, p.c, coalesce(r.signal > 30000, FALSE) AS lit FROM (SELECT field_i, peak_i, unnest(range({CYCLES})) AS c FROM (SELECT DISTINCT field_i, peak_i FROM radmat)) p
 LEFT JOIN radmat r ON r.field_i = p.field_i AND r.peak_i = p.peak_i AND r.cycle_i = p.c),
 f AS (SELECT peak_i, concat('(', string_agg(CASE WHEN lit THEN 'True' ELSE 'False' END, ', ' ORDER BY c), ')') AS CATEGORY FROM d GROUP BY peak_i)
 SELECT 'ch1' AS CHANNEL, p.peak_i AS H, p.peak_i AS W, CATEGORY, p.* EXCLUDE (peak_i) RENAME (field_i AS FIELD)
-FROM (PIVOT (SELECT field_i, peak_i, concat('FRAME ', cycle_i) AS frame, signal FROM radmat) ON frame USING max(signal) GROUP BY field_i, peak_i) p JOIN f ON f.peak_i = p.peak_i"""
+FROM (PIVOT (SELECT field_i, peak_i, concat('FRAME ', cycle_i) AS frame, signal FROM {_KNOWN}) ON frame IN ({_FRAMES}) USING max(signal) GROUP BY field_i, peak_i) p JOIN f ON f.peak_i = p.peak_i"""
 
 
 @query(_PHOTO)
 def photometry_table(spark, sf_dir):
-    """S-9: the table that an external fitter reads, with every cycle of radmat."""
+    """S-9: the table that an external fitter reads, with a frame for each of CYCLES cycles."""
     from dyelake.sources.fields import photometry_table as table_of
 
-    return table_of(view(spark, sf_dir, "radmat"), 30000)
+    return table_of(view(spark, sf_dir, "radmat"), 30000, CYCLES)
 
 
 @query("SELECT peak_i, channel_i, CAST(row_number() OVER (PARTITION BY peak_i ORDER BY cycle_i) - 1 AS INT) AS cycle_i, signal, noise FROM radmat")
@@ -273,13 +361,24 @@ def tile_anomalies(spark, sf_dir):
     return _round(R.tile_anomalies(pixels, tile=64), "mean")
 
 
-@query("""WITH r AS (SELECT * FROM radmat WHERE cycle_i < 3), g AS (SELECT peak_i, avg(signal) FILTER (signal >= 20000) AS mean, stddev_pop(signal) FILTER (signal >= 20000) AS std FROM r GROUP BY 1
-HAVING bool_or(cycle_i = 1 AND signal > 20000) AND bool_or(cycle_i = 2 AND signal < 20000) AND mean IS NOT NULL),
-h AS (SELECT * FROM g WHERE std < (SELECT quantile_cont(std, 0.5) FROM g)), x AS (SELECT ln(signal / (mean / (SELECT avg(mean) FROM h))) AS x FROM r JOIN h USING (peak_i) WHERE signal >= 20000)
+@query("""WITH g AS (SELECT peak_i, avg(signal) FILTER (signal >= 20000) AS mean, stddev_pop(signal) FILTER (signal >= 20000) AS std FROM radmat GROUP BY 1
+HAVING bool_or(cycle_i = 1 AND signal > 20000) AND arg_max(signal, cycle_i) < 20000 AND mean IS NOT NULL),
+h AS (SELECT * FROM g WHERE std < (SELECT quantile_cont(std, 0.5) FROM g)), x AS (SELECT ln(signal / (mean / (SELECT avg(mean) FROM h))) AS x FROM radmat JOIN h USING (peak_i) WHERE signal >= 20000)
 SELECT round(exp(avg(x)), 4) AS beta, round(stddev_pop(x), 6) AS sigma FROM x""")
 def lognormal_gain(spark, sf_dir):
     """A-41: brightness of one dye and its spread, of balanced rows."""
-    return R.lognormal_gain(view(spark, sf_dir, "radmat").filter("cycle_i < 3"), 20000).select(F.round("beta", 4).alias("beta"), F.round("sigma", 6).alias("sigma"))
+    return R.lognormal_gain(view(spark, sf_dir, "radmat"), 20000).select(F.round("beta", 4).alias("beta"), F.round("sigma", 6).alias("sigma"))
+
+
+@query(f"""WITH c AS (SELECT peak_i, min(dyt_i) AS d FROM calls_k GROUP BY 1), r AS (SELECT cycle_i, signal, coalesce(d, 0) AS dyt_i FROM radmat LEFT JOIN c USING (peak_i)),
+m AS (SELECT r.cycle_i, avg(signal) AS m FROM r JOIN ({_TRACKS}) t ON t.dyt_i = r.dyt_i AND t.cycle_i = r.cycle_i WHERE t.count = 1 GROUP BY 1) SELECT cycle_i, round((SELECT avg(m) FROM m) / m, 9) AS factor FROM m""")
+def cycle_balance_of_ones(spark, sf_dir):
+    """A-24: each cycle's balance over rows whose call has one dye left."""
+    from dyelake.plans.adapters import over
+
+    calls = view(spark, sf_dir, "calls_k").groupBy("peak_i").agg(F.min("dyt_i").alias("dyt_i"))
+    rows = R.sigcalls(view(spark, sf_dir, "radmat"), calls, over(spark, sf_dir, _TRACKS))
+    return R.cycle_balance_of_ones(rows).withColumn("factor", F.round("factor", 9))
 
 
 @query("""SELECT peak_i, cycle_i, signal FROM radmat WHERE peak_i IN (SELECT peak_i FROM radmat WHERE channel_i = 0 GROUP BY 1

@@ -283,10 +283,10 @@ def best_schemes_by_mean(spark, sf_dir):
     return S.best_schemes(view(spark, sf_dir, "survey"), 10, "nn_dist_avg").withColumn("best", F.round("best", 9))
 
 
-@query("WITH b AS (SELECT run_i, min(nn_dist) AS best, sum(nn_dist) AS t FROM survey WHERE pep_len > 5 GROUP BY 1) SELECT CAST(row_number() OVER (ORDER BY best DESC, t DESC, run_i) AS INT) AS run_rank, run_i, best FROM b")
+@query("WITH b AS (SELECT run_i, min(nn_dist) AS best, sum(nn_dist) AS t FROM survey GROUP BY 1) SELECT CAST(row_number() OVER (ORDER BY best DESC, t DESC, run_i) AS INT) AS run_rank, run_i, best FROM b")
 def best_schemes_by_least(spark, sf_dir):
-    """T-2: runs by the least distance of their longer peptides."""
-    return S.best_schemes(view(spark, sf_dir, "survey").filter("pep_len > 5"), 10, "nn_dist_min")
+    """T-2: runs by the least distance of their peptides."""
+    return S.best_schemes(view(spark, sf_dir, "survey"), 10, "nn_dist_min")
 
 
 @query("""WITH b AS (SELECT run_i, coalesce(sum(pep_len) FILTER (flu_count = 1), 0) / (SELECT sum(100 + pro_i % 9) FROM pros) AS best, sum(nn_dist) AS t FROM survey WHERE pro_i IN (SELECT pro_i FROM pros) GROUP BY 1)
@@ -299,7 +299,7 @@ def best_schemes_by_coverage(spark, sf_dir):
 
 @query(f"""WITH {_TRACKS}, dp AS (SELECT dyt_i, pep_i, n_reads FROM c JOIN t USING (d0, d1, d2)), o AS (SELECT dyt_i, arg_min(pep_i, (-n_reads, pep_i)) AS owner FROM dp GROUP BY 1),
 nn AS (SELECT a.dyt_i, b.dyt_i AS other, pow(a.d0 - b.d0, 2) + pow(a.d1 - b.d1, 2) + pow(a.d2 - b.d2, 2) AS d FROM t a, t b), k AS (SELECT *, row_number() OVER (PARTITION BY dyt_i ORDER BY d, other) AS r FROM nn),
-n AS (SELECT k.dyt_i, owner, 1 - exp(-0.8 * d) AS p FROM k JOIN o ON o.dyt_i = other WHERE r <= 5 AND k.dyt_i <> other),
+n AS (SELECT k.dyt_i, owner, 1 - exp(-0.8 * d) AS p FROM k JOIN o ON o.dyt_i = other WHERE r <= 10 AND k.dyt_i <> other),
 w AS (SELECT dp.dyt_i, dp.pep_i, any_value(n_reads) AS n_reads, any_value(o.owner) AS owner, coalesce(product(n.p), 1) AS q FROM dp JOIN o USING (dyt_i) LEFT JOIN n ON n.dyt_i = dp.dyt_i AND (n.owner = dp.pep_i) <> (o.owner = dp.pep_i) GROUP BY 1, 2),
 i AS (SELECT pep_i, round(sum(n_reads * CASE WHEN owner = pep_i THEN q ELSE 1 - q END) / sum(n_reads), 9) AS isolation FROM w GROUP BY 1),
 l AS (SELECT pep_i, owner, round(sum(n_reads * q), 9) AS lost FROM w WHERE owner <> pep_i GROUP BY 1, 2), m AS (SELECT pep_i, arg_min(owner, (-lost, owner)) AS contention_pep_i FROM l WHERE lost > 0 GROUP BY 1)
@@ -307,7 +307,7 @@ SELECT i.pep_i, isolation, coalesce(contention_pep_i, 0) AS contention_pep_i FRO
 def isolation(spark, sf_dir):
     """A-39: how surely each peptide's reads are told from others', and which peptide takes most of them."""
     tracks, dyepeps, _ = S.dyetrack_catalogue(view(spark, sf_dir, "reads").select("pep_i", F.array("d0", "d1", "d2").alias("dyetrack")))
-    return S.isolation(tracks, dyepeps, 5).withColumn("isolation", F.round("isolation", 9))
+    return S.isolation(tracks, dyepeps, 10).withColumn("isolation", F.round("isolation", 9))
 
 
 @query()

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dyelake.operators.radmat import require_cycles
+
 #: One JSON object a field and cycle.
 METADATA = T.StructType([T.StructField(n, T.IntegerType()) for n in ("field_i", "cycle_i")] + [T.StructField(n, T.DoubleType()) for n in ("x", "y", "z", "pfs_offset", "exposure_time", "camera_temp")] + [T.StructField("pfs_status", T.StringType())])
 
@@ -47,10 +49,11 @@ def export_radmat(radmat: DataFrame, path: str, files: int = 16) -> None:
 def photometry_table(radmat: DataFrame, threshold: float, n_cycles: int | None = None) -> DataFrame:
     """One row a peak and channel: CHANNEL, FIELD, H, W, CATEGORY of each cycle's signal above the threshold, and FRAME 0 .. n - 1.
 
-    Without ``n_cycles``, all cycles of ``radmat``, counted first.
+    A table with more than ``n_cycles`` cycles is an error. Without it, all cycles of ``radmat``, counted first.
     """
     if n_cycles is None:
         n_cycles = radmat.agg(F.coalesce(F.max("cycle_i") + 1, F.lit(0))).first()[0]
+    radmat = require_cycles(radmat, n_cycles)
 
     def at(c: int, x: Column) -> Column:
         return F.max(F.when(F.col("cycle_i") == c, x))

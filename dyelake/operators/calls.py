@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -71,6 +73,16 @@ def average_scores(calls: DataFrame, which: str = "true") -> DataFrame:
     return calls.groupBy(F.col(f"{which}_pep_i").alias("pep_i")).agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("score"))
 
 
+def average_score_vectors(calls: DataFrame, which: str = "true", scores: str = "scores") -> DataFrame:
+    """(pep_i, n, scores): number of calls whose true or called peptide it is, and the mean of their vectors of scores (an array a call, one of each class) element by element.
+
+    The vectors of a peptide are of one length. Means are made of partial sums, so a peptide may have any number of calls.
+    """
+    of = Summarizer.metrics("count", "mean").summary(array_to_vector(F.col(scores).cast("array<double>")))
+    rows = calls.filter(F.col(scores).isNotNull()).groupBy(F.col(f"{which}_pep_i").alias("pep_i")).agg(of.alias("x"))
+    return rows.select("pep_i", F.col("x.count").alias("n"), vector_to_array("x.mean").alias("scores"))
+
+
 def false_calls(cells: DataFrame, n_false: int) -> DataFrame:
     """(pep_i, false_type, false_i, false_pep_i, false_weight): each peptide's most frequent confusions.
 

@@ -7,11 +7,12 @@ step, and running sums over the few steps give every threshold, so the work does
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dyelake.functions.numbers import ratio
+from dyelake.functions.storage import written
 
 
 def thresholds(n_steps: int) -> list[float]:
@@ -20,12 +21,18 @@ def thresholds(n_steps: int) -> list[float]:
 
 
 def step_of(score: Column, n_steps: int) -> Column:
-    """The first threshold, from the highest, that the score reaches; n_steps if none."""
-    steps = thresholds(n_steps)
-    return F.size(F.filter(F.array(*map(F.lit, steps)), lambda t: t > score))
+    """The first threshold, from the highest, that the score reaches; n_steps if none. A null score reaches none, NaN all.
+
+    The step is worked out and then moved by one where the score, compared with the thresholds themselves, asks for it.
+    """
+    known = F.array(*map(F.lit, thresholds(n_steps)))
+    guess = F.least(F.lit(n_steps - 1), F.greatest(F.lit(0), F.ceil((n_steps - 1) - F.least(F.greatest(score, F.lit(-1.0)), F.lit(2.0)) * n_steps).cast("int")))
+    at = lambda i: F.get(known, i) <= score
+    near = F.when((guess > 0) & at(guess - 1), guess - 1).when(at(guess), guess).otherwise(guess + 1)
+    return F.when(score.isNull(), n_steps).when(F.isnan(score), 0).otherwise(near)
 
 
-def _curve(counts: DataFrame, by: list[str], n_steps: int, prior: DataFrame | None) -> DataFrame:
+def _curve(counts: DataFrame, by: list[str], n_steps: int, prior: DataFrame | None, prior_by: list[str] | None = None) -> DataFrame:
     """From (by, step, correct, predicted, true): the curve, with counts running down the steps."""
     total = counts.groupBy(*by).agg(F.sum("true").alias("all_true"))
     grid = total.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1))))
@@ -33,33 +40,38 @@ def _curve(counts: DataFrame, by: list[str], n_steps: int, prior: DataFrame | No
     rows = grid.join(counts.filter(F.col("step") < n_steps), [*by, "step"], "left").withColumns({n: F.sum(F.coalesce(n, F.lit(0))).over(down) for n in ("correct", "predicted")})
     rows = rows.withColumns({"prec": ratio("correct", "predicted"), "raw": ratio("correct", "all_true")})
     rows = rows.withColumn("area", (F.col("raw") - F.coalesce(F.lag("raw").over(down), F.lit(0.0))) * F.col("prec"))
-    everything = W.partitionBy(*by)
-    rows = rows.withColumns({"auc": F.sum("area").over(down), "best": F.max("raw").over(everything)})
+    rows = rows.withColumns({"auc": F.sum("area").over(down), "best": F.max("raw").over(W.partitionBy(*by))})
     # Leading steps without recall go, unless there is none at all.
     rows = rows.filter("raw > 0 OR best = 0")
     scale = F.lit(1.0)
     if prior is not None:
-        rows = rows.join(prior, by) if by else rows.crossJoin(F.broadcast(prior.limit(1)))
+        rows = rows.join(prior, prior_by or by) if by else rows.crossJoin(F.broadcast(prior.limit(1)))
         scale = F.col("prior")
     score = F.get(F.array(*map(F.lit, thresholds(n_steps))), F.col("step"))
     return rows.select(*by, score.alias("score"), "prec", (F.col("raw") * scale).alias("recall"), "auc")
 
 
+def step_cells(calls: DataFrame, n_steps: int = 50, by: tuple = (), true: str = "true_pep_i", pred: str = "pred_pep_i") -> DataFrame:
+    """(by, p, t, step, n): calls counted by called and true class and score step, of which all curves are made."""
+    return calls.groupBy(*by, F.col(pred).alias("p"), F.col(true).alias("t"), step_of(F.col("score"), n_steps).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _curve_of_cells(cells: DataFrame, wanted: DataFrame, n_steps: int, key: str, by: tuple = ()) -> DataFrame:
+    own, none = F.col("n"), F.lit(0).cast("long")
+    sides = F.when(F.col("t") == F.col("p"), F.array(F.struct(F.col("p").alias(key), own.alias("correct"), own.alias("predicted"), own.alias("true")))).otherwise(
+        F.array(F.struct(F.col("p").alias(key), none.alias("correct"), own.alias("predicted"), none.alias("true")), F.struct(F.col("t").alias(key), none.alias("correct"), none.alias("predicted"), own.alias("true")))
+    )
+    counts = cells.select(*by, "step", F.explode(sides).alias("x")).select(*by, "step", "x.*").groupBy(*by, key, "step").agg(*(F.sum(n).alias(n) for n in ("correct", "predicted", "true")))
+    return _curve(counts.join(wanted.select(key), key, "left_semi"), [*by, key], n_steps, wanted, [key])
+
+
 def pr_curve_by_pep(calls: DataFrame, prior: DataFrame, n_steps: int = 50, true: str = "true_pep_i", pred: str = "pred_pep_i", key: str = "pep_i") -> DataFrame:
     """(pep_i, score, prec, recall, auc) for every peptide of ``prior`` (pep_i, prior), by thresholds from high to low.
 
     precision is right calls among calls of it, recall right calls among those it truly is times its prior recall; auc sums
     recall steps times precision, before the prior. Leading thresholds of no recall are left out, unless all are.
     """
-    step = step_of(F.col("score"), n_steps)
-    keyed = calls.select(step.alias("step"), F.col(true).alias("t"), F.col(pred).alias("p"))
-    one, none = F.lit(1), F.lit(0)
-    sides = F.when(F.col("t") == F.col("p"), F.array(F.struct(F.col("p").alias(key), one.alias("correct"), one.alias("predicted"), one.alias("true")))).otherwise(
-        F.array(F.struct(F.col("p").alias(key), none.alias("correct"), one.alias("predicted"), none.alias("true")), F.struct(F.col("t").alias(key), none.alias("correct"), none.alias("predicted"), one.alias("true")))
-    )
-    counts = keyed.select("step", F.explode(sides).alias("x")).select("step", "x.*").groupBy(key, "step").agg(*(F.sum(n).alias(n) for n in ("correct", "predicted", "true")))
-    wanted = prior.filter(F.col(key) > 0).select(key, "prior")
-    return _curve(counts.join(wanted.select(key), key, "left_semi"), [key], n_steps, wanted)
+    return _curve_of_cells(step_cells(calls, n_steps, (), true, pred), prior.filter(F.col(key) > 0).select(key, "prior"), n_steps, key)
 
 
 def pr_curve(calls: DataFrame, subset: DataFrame, prior: DataFrame, n_steps: int = 50) -> DataFrame:
@@ -88,27 +100,55 @@ def pr_curve_by_pro(calls: DataFrame, peps: DataFrame, prior: DataFrame, n_steps
 
 
 def pr_by_pep_with_abundance(calls: DataFrame, abundance: DataFrame, prior: DataFrame, n_steps: int = 50) -> DataFrame:
-    """(pep_i, score, prec, recall) with every threshold's confusion counts scaled by the true peptide's abundance and truncated.
+    """(pep_i, score, prec, recall, auc) with every threshold's confusion counts scaled by the true peptide's abundance and truncated.
 
     Truncation is by cell and threshold, so cells (called, true) are carried down the steps before they are scaled; only cells
-    that occur are. Calls under the threshold call peptide 0, which keeps recall's denominator whole.
+    that occur are. Calls under the threshold call peptide 0, which keeps recall's denominator whole. auc sums recall steps times precision over the thresholds above a
+    row's own, before the prior. Leading thresholds of no recall are left out, unless all are.
     """
-    cells = calls.groupBy("pred_pep_i", "true_pep_i", F.when(F.col("pred_pep_i") == 0, n_steps).otherwise(step_of(F.col("score"), n_steps)).alias("step")).agg(F.count(F.lit(1)).alias("n"))
-    a = abundance.select(F.col("pep_i").alias("true_pep_i"), "abundance")
-    at = F.explode(F.sequence(F.col("step"), F.lit(n_steps - 1)))
+    return _abundance_of_cells(step_cells(calls, n_steps), abundance, prior, n_steps)
+
+
+def _abundance_of_cells(cells: DataFrame, abundance: DataFrame, prior: DataFrame, n_steps: int, by: tuple = ()) -> DataFrame:
+    # Calls of peptide 0 count as below every threshold.
+    cells = cells.withColumn("step", F.when(F.col("p") == 0, n_steps).otherwise(F.col("step"))).groupBy(*by, "p", "t", "step").agg(F.sum("n").alias("n"))
+    a = abundance.select(F.col("pep_i").alias("t"), "abundance")
     # A cell's running count changes only where it has calls: it is carried from there to the next such step.
-    down = W.partitionBy("pred_pep_i", "true_pep_i").orderBy("step")
+    down = W.partitionBy(*by, "p", "t").orderBy("step")
     run = cells.filter(F.col("step") < n_steps).withColumns({"run": F.sum("n").over(down), "until": F.coalesce(F.lead("step").over(down) - 1, F.lit(n_steps - 1))})
-    run = run.withColumn("step", F.explode(F.sequence("step", "until"))).join(a, "true_pep_i").withColumn("m", (F.col("run") * F.col("abundance")).cast("long"))
-    pred = run.groupBy(F.col("pred_pep_i").alias("pep_i"), "step").agg(F.sum("m").alias("predicted"), F.sum(F.when(F.col("pred_pep_i") == F.col("true_pep_i"), F.col("m")).otherwise(0)).alias("correct"))
+    run = run.withColumn("step", F.explode(F.sequence("step", "until"))).join(a, "t").withColumn("m", (F.col("run") * F.col("abundance")).cast("long"))
+    pred = run.groupBy(*by, F.col("p").alias("pep_i"), "step").agg(F.sum("m").alias("predicted"), F.sum(F.when(F.col("p") == F.col("t"), F.col("m")).otherwise(0)).alias("correct"))
     # What a true peptide's calls below the threshold amount to goes to peptide 0, also truncated.
-    lost = calls.groupBy("true_pep_i").agg(F.count(F.lit(1)).alias("all"))
-    above = run.groupBy("true_pep_i", "step").agg(F.sum("m").alias("kept"), F.sum("run").alias("kept_n"))
-    grid = lost.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1)))).join(above, ["true_pep_i", "step"], "left").na.fill(0, ["kept", "kept_n"]).join(a, "true_pep_i")
-    true = grid.select(F.col("true_pep_i").alias("pep_i"), "step", (F.col("kept") + ((F.col("all") - F.col("kept_n")) * F.col("abundance")).cast("long")).alias("true"))
-    rows = prior.filter("pep_i > 0").withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1)))).join(pred, ["pep_i", "step"], "left").join(true, ["pep_i", "step"], "left").na.fill(0, ["predicted", "correct", "true"])
+    lost = cells.groupBy(*by, "t").agg(F.sum("n").alias("all"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1)))
+    above = run.groupBy(*by, "t", "step").agg(F.sum("m").alias("kept"), F.sum("run").alias("kept_n"))
+    grid = lost.withColumn("step", every).join(above, [*by, "t", "step"], "left").na.fill(0, ["kept", "kept_n"]).join(a, "t")
+    true = grid.select(*by, F.col("t").alias("pep_i"), "step", (F.col("kept") + ((F.col("all") - F.col("kept_n")) * F.col("abundance")).cast("long")).alias("true"))
+    wanted = prior.filter("pep_i > 0")
+    if by:
+        # Parts are few: they name sets of calls that are judged apart.
+        wanted = wanted.crossJoin(F.broadcast(cells.select(*by).distinct()))
+    rows = wanted.withColumn("step", every).join(pred, [*by, "pep_i", "step"], "left").join(true, [*by, "pep_i", "step"], "left").na.fill(0, ["predicted", "correct", "true"])
+    rows = rows.withColumns({"prec": ratio("correct", "predicted"), "raw": ratio("correct", "true")})
+    down = W.partitionBy(*by, "pep_i").orderBy("step")
+    rows = rows.withColumn("area", (F.col("raw") - F.coalesce(F.lag("raw").over(down), F.lit(0.0))) * F.col("prec"))
+    rows = rows.withColumns({"auc": F.coalesce(F.sum("area").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)), "seen": F.max("raw").over(down), "best": F.max("raw").over(W.partitionBy(*by, "pep_i"))})
     score = F.get(F.array(*map(F.lit, thresholds(n_steps))), F.col("step"))
-    return rows.select("pep_i", score.alias("score"), ratio("correct", "predicted").alias("prec"), (ratio("correct", "true") * F.col("prior")).alias("recall"))
+    return rows.filter("seen > 0 OR best = 0").select(*by, "pep_i", score.alias("score"), "prec", (F.col("raw") * F.col("prior")).alias("recall"), "auc")
+
+
+def evaluate(calls: DataFrame, prior: DataFrame, abundance: DataFrame, n_steps: int = 50, part: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """One job over ``calls``: curves of every peptide, the same through abundances, and totals (n_calls, n_nul, n_correct).
+
+    Calls are read once. They are counted by called and true peptide and score step; the counts are written, and both sets of curves are made of them. The
+    totals are observed as the calls pass. With ``part``, a column that names sets of calls (test and train, say), each set is judged apart.
+    """
+    by = (part,) if part else ()
+    totals = Observation()
+    seen = calls.observe(totals, F.count(F.lit(1)).alias("n_calls"), F.count_if(F.col("pred_pep_i") == 0).alias("n_nul"), F.count_if(F.col("pred_pep_i") == F.col("true_pep_i")).alias("n_correct"))
+    cells = written(step_cells(seen, n_steps, by))
+    plain = _curve_of_cells(cells, prior.filter("pep_i > 0").select("pep_i", "prior"), n_steps, "pep_i", by)
+    return plain, _abundance_of_cells(cells, abundance, prior, n_steps, by), totals.get
 
 
 def pr_one_vs_rest(scores: DataFrame) -> DataFrame:

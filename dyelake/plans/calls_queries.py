@@ -161,14 +161,45 @@ def pr_curve_by_pro(spark, sf_dir):
     return out.withColumns({n: F.round(n, 9) for n in ("prec", "recall", "auc")})
 
 
-@query(f"""WITH k AS (SELECT step, t, CASE WHEN score >= t THEN pred_pep_i ELSE 0 END AS pred, true_pep_i, CAST(trunc(count(*) * any_value(abundance)) AS BIGINT) AS m
-FROM calls JOIN prices ON prices.pep_i = true_pep_i, {_steps(10)} GROUP BY ALL),
-p AS (SELECT pred AS pep_i, step, sum(m) AS n, sum(m) FILTER (pred = true_pep_i) AS hits FROM k GROUP BY 1, 2), q AS (SELECT true_pep_i AS pep_i, step, sum(m) AS n FROM k GROUP BY 1, 2)
-SELECT pep_i, t AS score, CASE WHEN p.n > 0 THEN coalesce(hits, 0) / p.n ELSE 0 END AS prec, round(CASE WHEN q.n > 0 THEN coalesce(hits, 0) / q.n ELSE 0 END * prior, 9) AS recall
-FROM (SELECT * FROM priors WHERE pep_i > 0) CROSS JOIN {_steps(10)} LEFT JOIN p USING (pep_i, step) LEFT JOIN q USING (pep_i, step)""")
+def _abundance(calls: str, n: int, by: str = "") -> str:
+    """SQL of the curves through abundances: of the calls, and apart by the given column."""
+    return f"""ka AS (SELECT {by}step, t, CASE WHEN score >= t THEN pred_pep_i ELSE 0 END AS pred, true_pep_i, CAST(trunc(count(*) * any_value(abundance)) AS BIGINT) AS m
+FROM {calls} JOIN prices ON prices.pep_i = true_pep_i, {_steps(n)} GROUP BY ALL),
+pa AS (SELECT {by}pred AS pep_i, step, sum(m) AS n, sum(m) FILTER (pred = true_pep_i) AS hits FROM ka GROUP BY ALL), qa AS (SELECT {by}true_pep_i AS pep_i, step, sum(m) AS n FROM ka GROUP BY ALL),
+ea AS (SELECT * FROM (SELECT * FROM priors WHERE pep_i > 0) CROSS JOIN {_steps(n)}{f" CROSS JOIN (SELECT DISTINCT {by.rstrip(', ')} FROM ka) b" if by else ""}),
+ra AS (SELECT {by}pep_i, step, t, prior, CASE WHEN pa.n > 0 THEN coalesce(hits, 0) / pa.n ELSE 0 END AS prec, CASE WHEN qa.n > 0 THEN coalesce(hits, 0) / qa.n ELSE 0 END AS raw FROM ea LEFT JOIN pa USING ({by}pep_i, step) LEFT JOIN qa USING ({by}pep_i, step)),
+ca AS (SELECT *, (raw - coalesce(lag(raw) OVER w, 0)) * prec AS area, max(raw) OVER w AS seen FROM ra WINDOW w AS (PARTITION BY {by}pep_i ORDER BY step)),
+za AS (SELECT *, coalesce(sum(area) OVER (PARTITION BY {by}pep_i ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS auc, max(raw) OVER (PARTITION BY {by}pep_i) AS best FROM ca)"""
+
+
+@query(f"WITH {_abundance('calls', 10)} SELECT pep_i, t AS score, prec, round(raw * prior, 9) AS recall, round(auc, 9) AS auc FROM za WHERE seen > 0 OR best = 0")
 def pr_by_pep_with_abundance(spark, sf_dir):
-    """A-8, M-7: curves of every peptide through abundance-scaled confusion counts."""
-    return R.pr_by_pep_with_abundance(view(spark, sf_dir, "calls"), view(spark, sf_dir, "prices"), view(spark, sf_dir, "priors"), 10).withColumn("recall", F.round("recall", 9))
+    """A-8: curves of every peptide through abundance-scaled confusion counts."""
+    out = R.pr_by_pep_with_abundance(view(spark, sf_dir, "calls"), view(spark, sf_dir, "prices"), view(spark, sf_dir, "priors"), 10)
+    return out.withColumns({n: F.round(n, 9) for n in ("recall", "auc")})
+
+
+_PARTS = "calls_in AS (SELECT CASE WHEN run_i = 4 THEN 'train' ELSE 'test' END AS part, * FROM calls)"
+
+
+@query(f"""WITH {_PARTS}, x AS (SELECT part, pep_i, score, true_pep_i, pred_pep_i, pep_i = pred_pep_i AS p, pep_i = true_pep_i AS tr FROM (SELECT unnest(list_distinct([true_pep_i, pred_pep_i])) AS pep_i, * FROM calls_in)),
+{_curve("part, pep_i", 10)}, {_abundance("calls_in", 10, "part, ")},
+n AS (SELECT count(*) AS n_calls, count(*) FILTER (pred_pep_i = 0) AS n_nul, count(*) FILTER (pred_pep_i = true_pep_i) AS n_correct FROM calls)
+SELECT u.*, n.* FROM (SELECT part, 'plain' AS kind, pep_i, t AS score, round(prec, 9) AS prec, round(raw * prior, 9) AS recall, round(auc, 9) AS auc FROM z JOIN priors USING (pep_i) WHERE pep_i > 0 AND (raw > 0 OR best = 0)
+UNION ALL SELECT part, 'abundance', pep_i, t, round(prec, 9), round(raw * prior, 9), round(auc, 9) FROM za WHERE seen > 0 OR best = 0) u, n""")
+def evaluate_classifier(spark, sf_dir):
+    """M-7: both kinds of curves of test and training calls, and totals, from one pass over the calls."""
+    calls = view(spark, sf_dir, "calls").withColumn("part", F.when(F.col("run_i") == 4, "train").otherwise("test"))
+    plain, scaled, totals = R.evaluate(calls, view(spark, sf_dir, "priors"), view(spark, sf_dir, "prices"), 10, "part")
+    rows = plain.withColumn("kind", F.lit("plain")).unionByName(scaled.withColumn("kind", F.lit("abundance")))
+    return rows.withColumns({n: F.round(n, 9) for n in ("prec", "recall", "auc")} | {n: F.lit(v).cast("long") for n, v in totals.items()})
+
+
+@query("SELECT pep_i, any_value(n) AS n, list(m ORDER BY i) AS scores FROM (SELECT pep_i, i, round(avg(v), 6) AS m, count(*) AS n FROM (SELECT label AS pep_i, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY 1")
+def average_score_vectors(spark, sf_dir):
+    """A-10: mean score vectors by true class."""
+    rows = over(spark, sf_dir, "SELECT label AS true_pep_i, embedding AS scores FROM embeddings")
+    return C.average_score_vectors(rows).withColumn("scores", F.transform("scores", lambda x: F.round(x, 6)))
 
 
 @query("""WITH m AS (SELECT score, count(*) AS n, count(*) FILTER (true_pep_i = pred_pep_i) AS k FROM calls GROUP BY score)

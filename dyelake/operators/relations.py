@@ -81,16 +81,16 @@ def active_sites(tokens: Column, sites: Column, start: Column) -> Column:
 def label_table(labels: DataFrame, dyes: DataFrame) -> DataFrame:
     """(aa, label_name, dye_name, ch_i, p_bright): labels with their dye's channel and the chance that all steps work.
 
-    ``labels`` (aa, label_name, dye_name, p_failure_to_bind, p_failure_to_attach), ``dyes`` (dye_name, channel_name, p_failure).
-    Channels are numbered by name; two betas in one channel are an error.
+    ``labels`` (aa, label_name, dye_name, p_failure_to_bind, p_failure_to_attach), ``dyes`` (place, dye_name, channel_name, p_failure, beta, sigma, p_bleach), short tables.
+    Channels are numbered in the order in which the dyes first name them; two values of beta, sigma or p_bleach in one channel are an error. Equal rows are one.
     """
     from pyspark.sql import Window as W
 
-    order = W.orderBy("channel_name")
-    channels = dyes.groupBy("channel_name").agg(F.count_distinct("beta").alias("betas")).withColumn("ch_i", F.row_number().over(order) - 1)
-    fine = F.when(F.col("betas") == 1, F.col("ch_i")).otherwise(F.raise_error(F.lit("a channel has one beta")).cast("int"))
+    same = [F.count_distinct(c) == 1 for c in ("beta", "sigma", "p_bleach")]
+    channels = dyes.groupBy("channel_name").agg(F.min("place").alias("first"), (same[0] & same[1] & same[2]).alias("one")).withColumn("ch_i", F.row_number().over(W.orderBy("first")) - 1)
+    fine = F.when(F.col("one"), F.col("ch_i")).otherwise(F.raise_error(F.concat(F.lit("a channel has one beta, sigma and bleaching: "), F.col("channel_name"))).cast("int"))
     p = (1 - F.col("p_failure_to_bind")) * (1 - F.col("p_failure_to_attach")) * (1 - F.col("p_failure"))
-    return labels.join(dyes, "dye_name").join(channels, "channel_name").select("aa", "label_name", "dye_name", fine.alias("ch_i"), p.alias("p_bright"))
+    return labels.join(dyes, "dye_name").join(channels, "channel_name").select("aa", "label_name", "dye_name", fine.alias("ch_i"), p.alias("p_bright")).distinct()
 
 
 def label_pcbs(pep_seqs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -98,19 +98,47 @@ def label_pcbs(pep_seqs: DataFrame, labels: DataFrame) -> DataFrame:
     return pep_seqs.join(labels.select("aa", "ch_i", "p_bright"), "aa", "left").select("pep_i", "pep_offset_in_pro", "aa", "ch_i", "p_bright")
 
 
-def falses_flus(falses: DataFrame, report: DataFrame, flus: DataFrame) -> DataFrame:
-    """False calls with the peptide's and the false peptide's protein, fluorosequence, and the proteins that share it.
+def set_dictionary(rows: DataFrame, key: str, member: str) -> tuple[DataFrame, DataFrame]:
+    """(key, set_id, n) and (set_id, member): the sets of members that keys have, each set once, however many keys share it.
 
-    ``report`` (pep_i, pro_id), ``flus`` (pep_i, flustr). The proteins of a fluorosequence are gathered once by fluorosequence.
+    A set's id is a digest of its number of members and of two sums over 60 bits of their md5, so it needs no row that
+    holds a set, and equal sets have equal ids anywhere. Members are rows of their own.
+    """
+    own = rows.select(key, member).filter(F.col(member).isNotNull()).distinct()
+    part = lambda at: F.conv(F.substring(F.md5(F.col(member).cast("string").cast("binary")), at, 15), 16, 10).cast("decimal(38,0)")
+    sums = own.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(part(1)).alias("a"), F.sum(part(16)).alias("b"))
+    keys = sums.select(key, F.md5(F.concat_ws(":", "n", F.col("a").cast("string"), F.col("b").cast("string")).cast("binary")).alias("set_id"), "n")
+    # One key stands for all that have the set.
+    of = keys.groupBy("set_id").agg(F.min(key).alias(key))
+    return keys, own.join(of, key).select("set_id", member)
+
+
+def falses_flus(falses: DataFrame, report: DataFrame, flus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """False calls with the peptide's and the false peptide's protein and fluorosequence, and the set of proteins that share the peptide's, as its id and number; and the sets (set_id, pro_id).
+
+    ``report`` (pep_i, pro_id), ``flus`` (pep_i, flustr).
     """
     wide = report.join(flus, "pep_i")
-    sharing = wide.groupBy("flustr").agg(F.array_join(F.sort_array(F.collect_set("pro_id")), ",").alias("flu_pros"))
-    one = wide.join(sharing, "flustr").select("pep_i", "pro_id", "flustr", "flu_pros")
+    sharing, members = set_dictionary(wide, "flustr", "pro_id")
+    one = wide.join(sharing.select("flustr", F.col("set_id").alias("flu_set"), F.col("n").alias("n_flu_pros")), "flustr").select("pep_i", "pro_id", "flustr", "flu_set", "n_flu_pros")
     other = wide.select(F.col("pep_i").alias("false_pep_i"), F.col("pro_id").alias("false_pro_id"), F.col("flustr").alias("false_flustr"))
-    return falses.join(one, "pep_i").join(other, "false_pep_i", "left")
+    return falses.join(one, "pep_i").join(other, "false_pep_i", "left"), members
+
+
+def prep_summary(pros: DataFrame, peps: DataFrame, strings: DataFrame, in_report_only: bool = False) -> DataFrame:
+    """One row of counts: proteins and decoys among them, peptides, different sequences, peptides of real proteins and of decoys; the null protein and peptide don't count.
+
+    ``strings`` (pep_i, seqstr) are the peptides' sequences. With ``in_report_only`` all is about proteins in the report.
+    """
+    some = (pros_where(pros, "in_report") if in_report_only else pros).filter("pro_i > 0")
+    n_pros = some.agg(F.count(F.lit(1)).alias("n_pros"), F.count_if("pro_is_decoy").alias("n_decoy_pros"))
+    own = peps.filter("pep_i > 0").join(some.select("pro_i", "pro_is_decoy"), "pro_i")
+    n_peps = own.agg(F.count(F.lit(1)).alias("n_peps"), F.count_if(~F.col("pro_is_decoy")).alias("n_real_peps"), F.count_if("pro_is_decoy").alias("n_decoy_peps"))
+    unique = strings.join(own.select("pep_i"), "pep_i", "left_semi").agg(F.count_distinct("seqstr").alias("n_unique"))
+    return n_pros.crossJoin(n_peps).crossJoin(unique)
 
 
 def domain_loss(requested: DataFrame, kept: DataFrame, key: str) -> DataFrame:
-    """One row, lost: how many of the requested values no row has any more, and which, in order."""
+    """(lost): the requested values that no row has any more, a row each."""
     gone = requested.select(key).distinct().join(kept.select(key).distinct(), key, "left_anti")
     return gone.select(F.col(key).alias("lost"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -74,17 +76,50 @@ def cut_pattern(proteases: list[str]) -> str:
     return "(?!^)(?!$)(?:" + "|".join(out) + ")"
 
 
+#: Peptides whose lengths are summed up together: sums of sums then keep the work near the number of peptides.
+_RUN = 128
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once a row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_starts(sizes: Column) -> Column:
+    """An array of where each of some pieces begins, by an array of their sizes, within the row: sums in runs of _RUN pieces, and sums of the runs before."""
+    zero = F.array(F.lit(0))
+    add = lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x))
+
+    def made(own: Column) -> Column:
+        runs = F.when(F.size(own) > 0, F.transform(F.sequence(F.lit(0), ((F.size(own) - 1) / _RUN).cast("int")), lambda i: F.aggregate(F.slice(own, i * _RUN + 1, F.lit(_RUN)), zero, add))).otherwise(F.array().cast("array<array<int>>"))
+        # The last of each run's sums is the run's size; the rest are its pieces' starts.
+        each = lambda all_runs: F.flatten(F.zip_with(all_runs, F.aggregate(all_runs, zero, lambda sums, r: add(sums, F.element_at(r, -1))), lambda r, start: F.when(r.isNull(), F.array().cast("array<int>")).otherwise(F.transform(F.slice(r, F.lit(1), F.size(r) - 1), lambda x: x + start))))
+        return _let(runs, each)
+
+    return _let(sizes, made)
+
+
+def peptides_of(sequence: Column, proteases: list[str]) -> Column:
+    """An array of (pep_start, pep_stop, seqstr): the peptides between cuts of any of the proteases, with their places. Without proteases the sequence is one peptide."""
+    parts = F.filter(F.split(sequence, cut_pattern(proteases)), lambda x: x != "") if proteases else F.filter(F.array(sequence), lambda x: x != "")
+    placed = lambda own: F.zip_with(own, running_starts(F.transform(own, F.length)), lambda s, a: F.struct(a.alias("pep_start"), (a + F.length(s)).alias("pep_stop"), s.alias("seqstr")))
+    return _let(parts, placed)
+
+
 def cleave(pros: DataFrame, key: str, sequence: str, proteases: list[str]) -> DataFrame:
-    """(key, pep_start, pep_stop, seqstr) of each peptide between cuts of ``pros`` (key, sequence); each key is one row.
+    """(key, pep_start, pep_stop, seqstr) of each peptide between cuts of ``pros`` (key, sequence).
 
     Any protease's cut counts; without proteases the whole sequence is one peptide. Sequences are plain residue letters, as
-    they are before modified forms are made. A protein is split in one scan, whatever its length, and peptides' places are running
-    sums of their lengths.
+    they are before modified forms are made; null and empty ones have no peptides. A protein is split in one scan, whatever its length, and peptides get
+    their places within the row, so nothing is shuffled and keys may repeat.
     """
-    parts = F.filter(F.split(sequence, cut_pattern(proteases)), lambda x: x != "") if proteases else F.array(sequence)
-    rows = pros.filter(F.length(sequence) > 0).select(key, F.posexplode(parts).alias("n", "seqstr"))
-    stop = F.sum(F.length("seqstr")).over(W.partitionBy(key).orderBy("n")).cast("int")
-    return rows.select(key, (stop - F.length("seqstr")).cast("int").alias("pep_start"), stop.alias("pep_stop"), "seqstr")
+    return pros.select(key, F.inline(peptides_of(F.col(sequence), proteases)))
+
+
+def cleave_each(pros: DataFrame, key: str, sequence: str, schemes: dict[str, list[str]]) -> DataFrame:
+    """(key, scheme, pep_start, pep_stop, seqstr): cleave() by each of several named sets of proteases, in one pass over ``pros``."""
+    every = F.array(*(F.struct(F.lit(name).alias("scheme"), peptides_of(F.col(sequence), own).alias("peps")) for name, own in schemes.items()))
+    return pros.select(key, F.inline(every)).select(key, "scheme", F.inline("peps"))
 
 
 def reversed_ptm_locs(locs: Column, length: Column) -> Column:
@@ -140,6 +175,29 @@ def _count(codes: Column, code: str) -> Column:
     return F.size(F.filter(codes, lambda c: c == code)).cast("string")
 
 
+def flu_counts(tokens: Column, labels: dict[str, int], n_edmans: int, n_channels: int) -> dict[str, Column]:
+    """Dye counts of a peptide: n_head_ch_k within the first n_edmans residues and n_tail_ch_k after them for each channel, both over all channels, n_dyes_all_ch
+    and the most of any channel, n_dyes_max_any_ch."""
+    head, tail = F.slice(tokens, 1, n_edmans), F.slice(tokens, n_edmans + 1, F.greatest(F.lit(0), F.size(tokens) - n_edmans))
+    of = lambda some, ch: F.size(F.filter(some, lambda t: t.isin([k for k, v in labels.items() if v == ch])))
+    out = {f"n_{name}_ch_{ch}": of(some, ch) for name, some in (("head", head), ("tail", tail)) for ch in range(n_channels)}
+    total = lambda some: F.size(F.filter(some, lambda t: t.isin(list(labels))))
+    both = [of(tokens, ch) for ch in range(n_channels)]
+    return out | {"n_head_all_ch": total(head), "n_tail_all_ch": total(tail), "n_dyes_all_ch": total(tokens), "n_dyes_max_any_ch": F.greatest(*both) if len(both) > 1 else both[0]}
+
+
+def with_ptm_peps(peps: DataFrame, limit: int) -> DataFrame:
+    """``peps`` (pep_i, pro_i, pep_start, pep_stop, tokens, sites) and all ways to modify them, as peptides (without sites) numbered on from the greatest.
+
+    Modified peptides keep the protein and the place of the plain one, and are numbered by it, then by number of sites and places; is_ptm tells them apart.
+    """
+    made = global_index(ptm_variants(peps, limit), "pep_i", ["variant"], "place").withColumnRenamed("tokens", "marked")
+    last = peps.agg(F.max("pep_i").alias("last"))
+    new = made.join(peps.select("pep_i", "pro_i", "pep_start", "pep_stop"), "pep_i").crossJoin(F.broadcast(last))
+    new = new.select((F.col("last") + 1 + F.col("place")).cast("int").alias("pep_i"), "pro_i", "pep_start", "pep_stop", F.col("marked").alias("tokens"), F.lit(True).alias("is_ptm"))
+    return peps.select("pep_i", "pro_i", "pep_start", "pep_stop", "tokens", F.lit(False).alias("is_ptm")).unionByName(new)
+
+
 def global_index(df: DataFrame, group: str, order: list, name: str, bins: int = 256) -> DataFrame:
     """``df`` with ``name``: 0, 1, ... over all rows by ``group``, then ``order`` (which tells a group's rows apart).
 

@@ -103,8 +103,9 @@ def peps_prs_report(report: DataFrame, prs: DataFrame) -> DataFrame:
 
 
 def runs_by_best_peps(best: DataFrame) -> DataFrame:
-    """(run_i, n, peps): how many peptides each run is best for, and which."""
-    return best.filter("rank = 1").groupBy("run_i").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("pep_i")), ",").alias("peps"))
+    """(run_i, n, pep_i): how many peptides each run is best for, with a row for each of them."""
+    first = best.filter("rank = 1").select("run_i", "pep_i")
+    return first.join(first.groupBy("run_i").agg(F.count(F.lit(1)).alias("n")), "run_i").select("run_i", "n", "pep_i")
 
 
 def best_schemes(survey: DataFrame, n_runs: int, objective: str = "nn_dist", lengths: DataFrame | None = None) -> DataFrame:

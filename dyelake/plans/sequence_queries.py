@@ -15,7 +15,7 @@ from dyelake.plans.registry import query
 
 #: Labels as both engines read them: residue, label, dye, two failure rates; dyes with their channel.
 LABELS = "SELECT * FROM (VALUES ('D', 'DE', 'dye1', 0.1D, 0.05D), ('E', 'DE', 'dye1', 0.1D, 0.05D), ('C', 'C', 'dye2', 0.2D, 0D), ('K', 'K', 'dye3', 0D, 0.1D)) t(aa, label_name, dye_name, p_failure_to_bind, p_failure_to_attach)"
-DYES = "SELECT * FROM (VALUES ('dye1', 'ch_a', 0.05D, 7000D), ('dye2', 'ch_b', 0.1D, 6000D), ('dye3', 'ch_a', 0.02D, 7000D)) t(dye_name, channel_name, p_failure, beta)"
+DYES = "SELECT * FROM (VALUES (0, 'dye1', 'ch_z', 0.05D, 7000D, 0.2D, 0.01D), (1, 'dye2', 'ch_b', 0.1D, 6000D, 0.2D, 0.02D), (2, 'dye3', 'ch_z', 0.02D, 7000D, 0.2D, 0.01D)) t(place, dye_name, channel_name, p_failure, beta, sigma, p_bleach)"
 CHANNELS = {"D": 0, "E": 0, "K": 0, "C": 1}
 _D = lambda sql: re.sub(r"(\d)D\b", r"\1::DOUBLE", sql)
 
@@ -65,6 +65,27 @@ def cleave_four_proteases(spark, sf_dir):
     return _cleaved(spark, sf_dir, ["lysc", "endopro", "aspn", "gluc_ph4"])
 
 
+def _rule(before: list[str], after: list[str]) -> str:
+    """SQL: whether a rule's residues stand around the place after letter i."""
+    at = [(r, f"substr(sequence, i - {len(before) - 1 - k}, 1)", f"i > {len(before) - 1 - k}") for k, r in enumerate(before)] + [(r, f"substr(sequence, i + {k + 1}, 1)", "TRUE") for k, r in enumerate(after)]
+    return " AND ".join(f"{inside} AND contains('{r}', {x}) AND {x} <> ''" for r, x, inside in at if r)
+
+
+def _cuts(protease: str) -> str:
+    """SQL: whether a protease cuts after letter i; the last rule that fits decides."""
+    return "CASE " + " ".join(f"WHEN {_rule(b, c)} THEN {keep}" for keep, b, c in reversed(S.PROTEASES[protease])) + " ELSE FALSE END"
+
+
+@query(f"""WITH s AS (SELECT doc_id, sequence FROM specs WHERE length(sequence) > 0), i AS (SELECT doc_id, sequence, unnest(range(1, length(sequence))) AS i FROM s),
+c AS ({" UNION ALL ".join(f"SELECT '{p}' AS scheme, doc_id, sequence, i FROM i WHERE {_cuts(p)}" for p in S.PROTEASES)} UNION ALL SELECT unnest({list(S.PROTEASES)}), doc_id, sequence, 0 FROM s),
+p AS (SELECT scheme, doc_id, sequence, i AS pep_start, lead(i, 1, length(sequence)) OVER (PARTITION BY scheme, doc_id ORDER BY i) AS pep_stop FROM c)
+SELECT scheme, doc_id, CAST(pep_start AS INT) AS pep_start, CAST(pep_stop AS INT) AS pep_stop, md5(substr(sequence, pep_start + 1, pep_stop - pep_start)) AS seq_md5 FROM p""")
+def cleave_every_protease(spark, sf_dir):
+    """F-3: every text's letters cleaved by each of the twelve proteases, in one pass."""
+    out = S.cleave_each(view(spark, sf_dir, "specs"), "doc_id", "sequence", {p: [p] for p in S.PROTEASES})
+    return out.select("scheme", "doc_id", "pep_start", "pep_stop", F.md5(F.col("seqstr").cast("binary")).alias("seq_md5"))
+
+
 @query("""WITH n AS (SELECT max(pro_i) AS n FROM pros), s AS (SELECT pro_i, pro_id, pro_ptm_locs, concat('AC', upper(replace(replace(pro_id, '#', ''), 'lier', 'LIERKDE')), 'WRYTLLMNPQ') AS seq FROM pros)
 SELECT pro_i, pro_id, seq, pro_ptm_locs, FALSE AS pro_is_decoy FROM s UNION ALL
 SELECT CAST(pro_i + n AS INT), concat('rev-', pro_id), reverse(seq), array_to_string(list_sort(list_transform(list_filter(string_split(pro_ptm_locs, ';'), lambda x: x <> ''), lambda x: length(seq) - CAST(x AS INT) + 1)), ';'), TRUE FROM s, n WHERE pro_i > 0""")
@@ -106,6 +127,54 @@ def _flus(spark, sf_dir):
     return flus.join(flus.groupBy("flustr").agg(F.count(F.lit(1)).alias("flu_count")), "flustr")
 
 
+@query(f"""WITH fr AS (SELECT pep_i, pep_offset_in_pro AS i, CASE WHEN aa IN ('D', 'E', 'K') THEN 0 WHEN aa = 'C' THEN 1 END AS c FROM ({RESIDUES}))
+SELECT pep_i, {", ".join(f"CAST(count(*) FILTER (c = {c} AND i {op} 5) AS INT) AS n_{name}_ch_{c}" for name, op in (("head", "<"), ("tail", ">=")) for c in (0, 1))},
+CAST(count(c) FILTER (i < 5) AS INT) AS n_head_all_ch, CAST(count(c) FILTER (i >= 5) AS INT) AS n_tail_all_ch, CAST(count(c) AS INT) AS n_dyes_all_ch, CAST(greatest(count(*) FILTER (c = 0), count(*) FILTER (c = 1)) AS INT) AS n_dyes_max_any_ch FROM fr GROUP BY pep_i""")
+def flu_counts(spark, sf_dir):
+    """A-13: dye counts of head and tail by channel."""
+    strings = view(spark, sf_dir, "pep_strings").withColumn("t", S.aa_tokens(F.col("seq"))).filter(F.size("t") > 0)
+    return strings.select("pep_i", *(c.alias(n) for n, c in S.flu_counts(F.col("t"), CHANNELS, 5, 2).items()))
+
+
+_PLAIN = "SELECT pep_i, pro_i, pep_start, pep_stop, seq, list_filter([0, 2, 4, 5], lambda s: s < least(length(seq), 1 + pep_i % 8)) AS sites FROM pep_strings JOIN peps USING (pep_i) WHERE length(seq) > 0"
+
+
+@query(f"""WITH p AS ({_PLAIN}), v AS (SELECT *, list_filter(sites, lambda s, k: (m >> CAST(k - 1 AS INT)) & 1 = 1) AS chosen FROM (SELECT *, unnest(range(1, 1 << len(sites))) AS m FROM p WHERE len(sites) BETWEEN 1 AND 3))
+SELECT pep_i, pro_i, pep_start, pep_stop, seq AS seqstr, FALSE AS is_ptm FROM p UNION ALL
+SELECT CAST((SELECT max(pep_i) FROM p) + row_number() OVER (ORDER BY pep_i, len(chosen), chosen) AS INT), pro_i, pep_start, pep_stop,
+array_to_string(list_transform(range(0, length(seq)), lambda i: concat(substr(seq, CAST(i + 1 AS INT), 1), CASE WHEN list_contains(chosen, i) THEN '[p]' ELSE '' END)), ''), TRUE FROM v""")
+def with_ptm_peps(spark, sf_dir):
+    """U-2: peptides and all their modified forms, numbered on."""
+    strings = view(spark, sf_dir, "pep_strings").withColumn("tokens", S.aa_tokens(F.col("seq"))).filter(F.size("tokens") > 0)
+    sites = F.filter(F.array(*map(F.lit, (0, 2, 4, 5))), lambda s: s < F.least(F.size("tokens"), 1 + F.col("pep_i") % 8))
+    rows = strings.select("pep_i", "tokens", sites.alias("sites")).join(view(spark, sf_dir, "peps"), "pep_i")
+    return S.with_ptm_peps(rows, 3).select("pep_i", "pro_i", "pep_start", "pep_stop", F.array_join("tokens", "").alias("seqstr"), "is_ptm")
+
+
+@query("""WITH s AS (SELECT pep_i, pep_start, list_transform(range(0, length(seq)), lambda i: concat(substr(seq, CAST(i + 1 AS INT), 1), CASE WHEN (i + pep_i) % 3 = 0 THEN '[p]' ELSE '' END)) AS t,
+list_transform(range(0, length(seq)), lambda i: CAST(i + pep_start + 1 AS INT)) AS sites FROM pep_strings JOIN peps USING (pep_i) WHERE length(seq) > 0)
+SELECT pep_i, array_to_string(list_filter(sites, lambda p: contains(t[p - pep_start], '[')), ';') AS active FROM s""")
+def active_sites(spark, sf_dir):
+    """F-7: the places of the protein at which a peptide's residue is marked as modified."""
+    rows = view(spark, sf_dir, "pep_strings").withColumn("t", S.aa_tokens(F.col("seq"))).filter(F.size("t") > 0).join(view(spark, sf_dir, "peps"), "pep_i")
+    marked = F.transform("t", lambda x, i: F.when((i + F.col("pep_i")) % 3 == 0, F.concat(x, F.lit("[p]"))).otherwise(x))
+    rows = rows.withColumn("marked", marked).withColumn("sites", F.sequence(F.col("pep_start") + 1, F.col("pep_start") + F.size("t")))
+    return rows.select("pep_i", F.array_join(F.transform(J.active_sites(F.col("marked"), F.col("sites"), F.col("pep_start")), lambda x: x.cast("string")), ";").alias("active"))
+
+
+_SUMMARY = """SELECT {kind} AS kind, (SELECT count(*) FROM p) AS n_pros, (SELECT count(*) FILTER (pro_is_decoy) FROM p) AS n_decoy_pros, count(*) AS n_peps, count(*) FILTER (NOT pro_is_decoy) AS n_real_peps,
+count(*) FILTER (pro_is_decoy) AS n_decoy_peps, (SELECT count(DISTINCT seq) FROM pep_strings WHERE pep_i IN (SELECT pep_i FROM o)) AS n_unique FROM o"""
+
+
+@query(f"""SELECT * FROM (WITH p AS (SELECT * FROM pros WHERE pro_i > 0), o AS (SELECT * FROM peps JOIN p USING (pro_i) WHERE pep_i > 0) {_SUMMARY.format(kind="'all'")})
+UNION ALL SELECT * FROM (WITH p AS (SELECT * FROM pros WHERE pro_i > 0 AND pro_report > 0), o AS (SELECT * FROM peps JOIN p USING (pro_i) WHERE pep_i > 0) {_SUMMARY.format(kind="'reported'")})""")
+def prep_summary(spark, sf_dir):
+    """A-18: proteins, decoys, peptides and different sequences, of all and of reported proteins."""
+    strings = view(spark, sf_dir, "pep_strings").select("pep_i", F.col("seq").alias("seqstr"))
+    of = lambda reported, kind: J.prep_summary(view(spark, sf_dir, "pros"), view(spark, sf_dir, "peps"), strings, reported).withColumn("kind", F.lit(kind))
+    return of(False, "all").unionByName(of(True, "reported"))
+
+
 @query("SELECT pep_i, substr(seq, 2, 1) = 'P' AS p2, length(seq) AS seqlen FROM pep_strings")
 def p2_and_length(spark, sf_dir):
     """F-9: whether the second residue is proline, and the length."""
@@ -243,7 +312,7 @@ def peps_ptms_to_rows(spark, sf_dir):
     return J.peps_ptms(view(spark, sf_dir, "pros"), view(spark, sf_dir, "peps"), in_report=True, to_rows=True).select("pro_i", "pep_i", "ptm")
 
 
-_LABEL = f"""l AS (SELECT aa, label_name, a.dye_name, dense_rank() OVER (ORDER BY channel_name) - 1 AS ch_i, (1 - p_failure_to_bind) * (1 - p_failure_to_attach) * (1 - p_failure) AS p_bright FROM ({_D(LABELS)}) a JOIN ({_D(DYES)}) b ON a.dye_name = b.dye_name)"""
+_LABEL = f"""l AS (SELECT aa, label_name, a.dye_name, CASE channel_name WHEN 'ch_z' THEN 0 ELSE 1 END AS ch_i, (1 - p_failure_to_bind) * (1 - p_failure_to_attach) * (1 - p_failure) AS p_bright FROM ({_D(LABELS)}) a JOIN ({_D(DYES)}) b ON a.dye_name = b.dye_name)"""
 
 
 @query(f"WITH {_LABEL} SELECT ch_i, aa, count(*) AS n, round(avg(p_bright), 9) AS p_bright FROM ({RESIDUES}) r LEFT JOIN l USING (aa) GROUP BY ch_i, aa")
@@ -253,16 +322,29 @@ def label_pcbs(spark, sf_dir):
     return J.label_pcbs(_residues(spark, sf_dir), labels).groupBy(F.col("ch_i").cast("long").alias("ch_i"), "aa").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p_bright"), 9).alias("p_bright"))
 
 
-@query(f"""WITH {_FALSE}, {_FLU.replace('f AS', 'fl AS')}, w AS (SELECT pep_i, pro_id, flustr FROM peps JOIN pros USING (pro_i) JOIN fl USING (pep_i)),
-s AS (SELECT flustr, string_agg(DISTINCT pro_id, ',' ORDER BY pro_id) AS flu_pros FROM w GROUP BY 1)
-SELECT f.pep_i, false_type, false_i, f.false_pep_i, false_weight, w.pro_id, w.flustr, flu_pros, v.pro_id AS false_pro_id, v.flustr AS false_flustr
-FROM f JOIN w ON w.pep_i = f.pep_i JOIN s USING (flustr) LEFT JOIN w v ON v.pep_i = f.false_pep_i""")
-def falses_flus(spark, sf_dir):
-    """J-17: false calls with both peptides' proteins and fluorosequences."""
+_SHARED = f"""{_FLU.replace('f AS', 'fl AS')}, w AS (SELECT pep_i, pro_id, flustr FROM peps JOIN pros USING (pro_i) JOIN fl USING (pep_i)),
+h AS (SELECT flustr, count(*) AS n, sum(CAST(concat('0x', substr(md5(pro_id), 1, 15)) AS BIGINT)) AS a, sum(CAST(concat('0x', substr(md5(pro_id), 16, 15)) AS BIGINT)) AS b FROM (SELECT DISTINCT flustr, pro_id FROM w) GROUP BY 1),
+s AS (SELECT flustr, md5(concat_ws(':', n, a, b)) AS flu_set, n AS n_flu_pros FROM h)"""
+
+
+def _falses_flus(spark, sf_dir):
     report = view(spark, sf_dir, "peps").join(view(spark, sf_dir, "pros"), "pro_i").select("pep_i", "pro_id")
     return J.falses_flus(C.false_calls(C.conf_mat(view(spark, sf_dir, "calls")), 3), report, _flus(spark, sf_dir).select("pep_i", "flustr"))
 
 
+@query(f"""WITH {_FALSE}, {_SHARED} SELECT f.pep_i, false_type, false_i, f.false_pep_i, false_weight, w.pro_id, w.flustr, flu_set, n_flu_pros, v.pro_id AS false_pro_id, v.flustr AS false_flustr
+FROM f JOIN w ON w.pep_i = f.pep_i JOIN s USING (flustr) LEFT JOIN w v ON v.pep_i = f.false_pep_i""")
+def falses_flus(spark, sf_dir):
+    """J-17: false calls with both peptides' proteins and fluorosequences, and the set of proteins that share the fluorosequence."""
+    return _falses_flus(spark, sf_dir)[0]
+
+
+@query(f"WITH {_SHARED} SELECT DISTINCT flu_set AS set_id, pro_id FROM s JOIN w USING (flustr)")
+def flu_set_members(spark, sf_dir):
+    """J-17: the proteins of each set that shares a fluorosequence."""
+    return _falses_flus(spark, sf_dir)[1]
+
+
 @query(f"""WITH {_FALSE}, p AS (SELECT pep_i, array_to_string({_SITES}, ';') AS pep_ptms FROM peps JOIN pros USING (pro_i))
 SELECT f.*, pep_ptms, length(seq) AS seqlen, substr(seq, 2, 1) = 'P' AS p2 FROM f JOIN p USING (pep_i) JOIN pep_strings USING (pep_i)""")
 def falses_ptm_info(spark, sf_dir):

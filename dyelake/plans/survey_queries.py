@@ -57,9 +57,9 @@ def best_prec_at_recall(spark, sf_dir):
     return S.best_prec_at_recall(view(spark, sf_dir, "prs"), 0.7, 2)
 
 
-@query(f"WITH {_BEST} SELECT run_i, count(*) AS n, string_agg(pep_i, ',' ORDER BY pep_i) AS peps FROM best WHERE rank = 1 GROUP BY 1")
+@query(f"WITH {_BEST} SELECT run_i, count(*) OVER (PARTITION BY run_i) AS n, pep_i FROM best WHERE rank = 1")
 def runs_by_best_peps(spark, sf_dir):
-    """A-43: how many peptides each run is best for."""
+    """A-43: how many peptides each run is best for, and which."""
     return S.runs_by_best_peps(S.best_prec_at_recall(view(spark, sf_dir, "prs"), 0.7, 1))
 
 

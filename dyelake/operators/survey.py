@@ -11,10 +11,14 @@ from dyelake.operators.classify import knn_dyetracks
 from dyelake.operators.sequences import numbered_by_range
 
 
-def survey_filters(survey: DataFrame, max_pep_len: int | None = None, max_dyes: int | None = None, allow_p2: bool = True, pros: DataFrame | None = None) -> DataFrame:
-    """Survey rows within limits, and of chosen proteins (pro_i) if any are given."""
+def survey_filters(
+    survey: DataFrame, max_pep_len: int | None = None, max_dyes: int | None = None, allow_p2: bool = True, pros: DataFrame | None = None, max_ptms: int | None = None, ptms: list[int] | None = None,
+) -> DataFrame:
+    """Survey rows within limits, and of chosen proteins (pro_i) if any are given; limits on sites need n_pep_ptms and ptm. See schemes.domain() for what is asked for and lost."""
     rows = survey if max_pep_len is None else survey.filter(F.col("pep_len") <= max_pep_len)
     rows = rows if max_dyes is None else rows.filter(F.col("n_dyes_max_any_ch") <= max_dyes)
+    rows = rows if max_ptms is None else rows.filter(F.col("n_pep_ptms") <= max_ptms)
+    rows = rows if not ptms else rows.filter(F.col("ptm").isin(ptms))
     rows = rows if allow_p2 else rows.filter("p2 = 0")
     return rows if pros is None else rows.join(pros.select("pro_i").distinct(), "pro_i", "left_semi")
 
@@ -194,12 +198,12 @@ def differing_across_runs(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count_distinct(value).alias("n")).filter("n > 1")
 
 
-def label_sets(labels: DataFrame, n: int) -> DataFrame:
-    """(labels): all choices of ``n`` of a short table's labels, each in order."""
+def label_sets(labels: DataFrame, n: int, suffix: list[str] | None = None) -> DataFrame:
+    """(labels): all choices of ``n`` of a short table's labels, each in order, with the labels of ``suffix`` behind."""
     sets = labels.select(F.array("label").alias("labels"))
     for _ in range(n - 1):
         sets = sets.crossJoin(F.broadcast(labels)).filter(F.col("label") > F.element_at("labels", -1)).select(F.concat("labels", F.array("label")).alias("labels"))
-    return sets
+    return sets if not suffix else sets.select(F.concat("labels", F.array(*map(F.lit, suffix))).alias("labels"))
 
 
 def isolation(tracks: DataFrame, dyepeps: DataFrame, k: int = 10) -> DataFrame:

@@ -5,9 +5,11 @@ import numpy as np
 import pytest
 from conftest import SF
 
+from dyelake.operators import nearest as nearest_tracks
 from dyelake.operators.survey import knn_dyetracks
 from dyelake.plans.adapters import duck
 from dyelake.plans.all_queries import QUERIES
+from dyelake.plans.radmat_queries import CYCLES
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +25,7 @@ def test_photometry_table_has_every_cycle(spark, con):
     want: dict = {}
     for peak, cycle, signal in con.execute(duck("SELECT peak_i, cycle_i, signal FROM radmat")).fetchall():
         want.setdefault(peak, {})[cycle] = signal
-    n = 1 + max(c for own in want.values() for c in own)
-    assert n > 4 and [c for c in got.columns if c.startswith("FRAME")] == [f"FRAME {c}" for c in range(n)]
+    assert 4 < 1 + max(c for own in want.values() for c in own) <= (n := CYCLES) and [c for c in got.columns if c.startswith("FRAME")] == [f"FRAME {c}" for c in range(n)]
     rows = got.collect()
     assert len(rows) == len(want)
     for r in rows:
@@ -33,6 +34,17 @@ def test_photometry_table_has_every_cycle(spark, con):
         assert r["CATEGORY"] == f"({', '.join(str(own.get(c, 0) > 30000) for c in range(n))})"
 
 
+def test_a_table_of_more_cycles_is_an_error(spark):
+    from dyelake.operators.radmat import signal_by_field_cycle
+    from dyelake.sources.fields import photometry_table
+
+    rows = spark.createDataFrame([(0, 0, 1, c, 1.0) for c in range(4)], "field_i int, channel_i int, peak_i int, cycle_i int, signal double")
+    for made in (photometry_table(rows, 0.5, 3), signal_by_field_cycle(rows, 3)):
+        with pytest.raises(Exception, match="more than 3 cycles"):
+            made.collect()
+    assert photometry_table(rows, 0.5, 4).count() == signal_by_field_cycle(rows, 5).count() == 1
+
+
 def test_raw_coordinates_has_every_cycle(spark, con):
     rows = con.execute(duck("SELECT r.peak_i, r.cycle_i, r.field_i, aln_x, aln_y FROM radmat r JOIN peaks p ON p.peak_i = r.peak_i")).fetchall()
     raw = [(p, c, x - ((c + 1) * 4 - f), y - (f * 3 - 20)) for p, c, f, x, y in rows]
@@ -57,10 +69,11 @@ def test_knn_dyetracks_searches_every_vector(spark, con):
 
 
 @pytest.mark.parametrize("block_rows", [4, 4096])
-def test_knn_dyetracks_of_copies_and_far_vectors(spark, block_rows):
+def test_knn_dyetracks_of_copies_and_far_vectors(spark, block_rows, monkeypatch):
+    monkeypatch.setattr(nearest_tracks, "BLOCK_TRACKS", block_rows)
     rng = np.random.default_rng(5)
     vecs = [*([[1.0, 2.0, 3.0]] * 9), *rng.integers(-2, 3, (12, 3)).astype(float).tolist(), *(1e6 + rng.integers(0, 3, (9, 3))).tolist()]
     ids = [int(i) for i in rng.permutation(len(vecs))]
     rows = spark.createDataFrame(list(zip(ids, vecs, strict=True)), "row_i long, vec array<double>")
-    got = knn_dyetracks(rows, rows.withColumnRenamed("row_i", "dyt_i"), 4, block_rows)
+    got = knn_dyetracks(rows, rows.withColumnRenamed("row_i", "dyt_i"), 4)
     assert sorted((r["row_i"], r["dyt_i"], round(r["dist2"], 6), r["rank"]) for r in got.collect()) == sorted(nearest(*zip(*sorted(zip(ids, vecs, strict=True)), strict=True), 4))

@@ -163,9 +163,9 @@ def score_histogram(calls: DataFrame, decoy_peps: DataFrame, bins: int = 19) ->
     return counts.select("kind", "bin", (F.col("n") / F.sum("n").over(W.partitionBy("kind"))).alias("share"))
 
 
-def subsample_per_class(train: DataFrame, n: int, seed: int = 1) -> DataFrame:
-    """At most ``n`` rows of each true peptide, by a seeded hash of the row's columns."""
-    order = W.partitionBy("true_pep_i").orderBy(F.xxhash64(*train.columns, F.lit(seed)), *train.columns)
+def subsample_per_class(train: DataFrame, n: int, seed: int = 1, draw: Column | None = None) -> DataFrame:
+    """At most ``n`` rows of each true peptide, by a seeded hash of the row's columns, or those of least ``draw``."""
+    order = W.partitionBy("true_pep_i").orderBy(F.xxhash64(*train.columns, F.lit(seed)) if draw is None else draw, *train.columns)
     return train.withColumn("rank in class", F.row_number().over(order)).filter(F.col("rank in class") <= n).drop("rank in class")
 
 

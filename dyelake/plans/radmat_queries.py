@@ -270,14 +270,13 @@ def peaks_fits(spark, sf_dir):
 _TRACKS = "SELECT CAST(s_suppkey % 50 AS INT) AS dyt_i, CAST(s_nationkey % 5 AS INT) AS cycle_i, CAST(max(s_suppkey % 4) AS INT) AS count FROM supplier GROUP BY 1, 2"
 
 
-@query(f"WITH c AS (SELECT peak_i, min(dyt_i) AS d FROM calls_k GROUP BY 1), r AS (SELECT cycle_i, coalesce(d, 0) AS dyt_i FROM radmat LEFT JOIN c USING (peak_i)) SELECT r.cycle_i, coalesce(t.count, 0) AS count, count(*) AS n FROM r LEFT JOIN ({_TRACKS}) t ON t.dyt_i = r.dyt_i AND t.cycle_i = r.cycle_i GROUP BY ALL")
+@query(f"WITH c AS (SELECT peak_i, min(dyt_i) AS d FROM calls_k GROUP BY 1), r AS (SELECT peak_i, cycle_i, coalesce(d, 0) AS dyt_i FROM radmat LEFT JOIN c USING (peak_i)) SELECT r.peak_i, r.cycle_i, r.dyt_i, coalesce(t.count, 0) AS count FROM r LEFT JOIN ({_TRACKS}) t ON t.dyt_i = r.dyt_i AND t.cycle_i = r.cycle_i")
 def sigcalls(spark, sf_dir):
     """J-13: radmat rows with their call's dye count in the cycle."""
     from dyelake.plans.adapters import over
 
     calls = view(spark, sf_dir, "calls_k").groupBy("peak_i").agg(F.min("dyt_i").alias("dyt_i"))
-    rows = R.sigcalls(view(spark, sf_dir, "radmat"), calls, over(spark, sf_dir, _TRACKS))
-    return rows.groupBy("cycle_i", "count").agg(F.count(F.lit(1)).alias("n"))
+    return R.sigcalls(view(spark, sf_dir, "radmat"), calls, over(spark, sf_dir, _TRACKS)).select("peak_i", "cycle_i", "dyt_i", "count")
 
 
 @query("SELECT field_i, channel_i, cycle_i, aln_x, stage_x, exposure_time, quality FROM fields LEFT JOIN metadata USING (field_i, cycle_i) FULL JOIN qualities USING (field_i, channel_i, cycle_i)")

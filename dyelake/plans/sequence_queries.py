@@ -28,11 +28,11 @@ def _residues(spark, sf_dir):
     return strings.select("pep_i", F.posexplode(S.aa_tokens(F.col("seq")))).select("pep_i", F.col("col").alias("aa"), F.col("pos").alias("pep_offset_in_pro"))
 
 
-@query("SELECT doc_id, length(sequence) AS n_residues, substr(sequence, 1, 1) AS first_aa, length(sequence) + (length(sequence) - 1) // 10 AS spaced_length FROM specs WHERE length(sequence) > 0")
+@query(r"SELECT doc_id, length(sequence) AS n_residues, substr(sequence, length(sequence), 1) AS last_aa, md5(rtrim(regexp_replace(sequence, '(.{10})', '\1 ', 'g'))) AS spaced_md5 FROM specs WHERE length(sequence) > 0")
 def tokens_and_join(spark, sf_dir):
     """F-1, F-2: residue tokens of every text's letters, and joined with a space after each ten."""
     specs = view(spark, sf_dir, "specs").withColumn("t", S.aa_tokens(F.col("sequence"))).filter(F.size("t") > 0)
-    return specs.select("doc_id", F.size("t").cast("long").alias("n_residues"), F.get("t", F.lit(0)).alias("first_aa"), F.char_length(S.aa_join(F.col("t"), 10)).cast("long").alias("spaced_length"))
+    return specs.select("doc_id", F.size("t").cast("long").alias("n_residues"), F.element_at("t", -1).alias("last_aa"), F.md5(S.aa_join(F.col("t"), 10).cast("binary")).alias("spaced_md5"))
 
 
 _AT = "substr(sequence, i{k}, 1)"
@@ -234,13 +234,13 @@ def inline_sequences(spark, sf_dir):
     return parse_inline(lines).select("line", "name", F.array_join(S.aa_tokens(F.col("sequence")), "").alias("sequence"))
 
 
-@query("SELECT pro_report, pro_is_decoy, count(*) AS n FROM pros WHERE pro_ptm_locs <> '' AND NOT pro_is_decoy AND pro_report > 0 GROUP BY ALL")
+@query("SELECT pro_i, pro_id, pro_report, pro_ptm_locs FROM pros WHERE pro_ptm_locs <> '' AND NOT pro_is_decoy AND pro_report > 0")
 def pros_flags(spark, sf_dir):
     """P-4: proteins in the report, with sites, that are no decoys."""
     rows = view(spark, sf_dir, "pros")
     for flag in ("in_report", "with_ptms", "no_decoys"):
         rows = J.pros_where(rows, flag)
-    return rows.groupBy("pro_report", "pro_is_decoy").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("pro_i", "pro_id", "pro_report", "pro_ptm_locs")
 
 
 @query("SELECT pro_i, pro_id, CASE WHEN pro_i % 5 = 1 THEN 7 ELSE pro_report END AS pro_report FROM pros")
@@ -269,11 +269,11 @@ def peps_no_decoys(spark, sf_dir):
     return J.peps_of(view(spark, sf_dir, "pros"), view(spark, sf_dir, "peps"), "no_decoys")
 
 
-@query(f"SELECT pro_i, aa, count(*) AS n FROM ({RESIDUES}) r JOIN peps USING (pep_i) JOIN pros USING (pro_i) WHERE NOT pro_is_decoy GROUP BY pro_i, aa")
+@query(f"SELECT pro_i, pep_i, aa, pep_offset_in_pro FROM ({RESIDUES}) r JOIN peps USING (pep_i) JOIN pros USING (pro_i) WHERE NOT pro_is_decoy")
 def pepseqs_no_decoys(spark, sf_dir):
-    """J-4: residues of real proteins' peptides, counted by protein."""
+    """J-4: residues of real proteins' peptides."""
     own = J.peps_of(view(spark, sf_dir, "pros"), view(spark, sf_dir, "peps"), "no_decoys")
-    return _residues(spark, sf_dir).join(own, "pep_i").groupBy("pro_i", "aa").agg(F.count(F.lit(1)).alias("n"))
+    return _residues(spark, sf_dir).join(own, "pep_i").select("pro_i", "pep_i", "aa", "pep_offset_in_pro")
 
 
 @query(f"WITH {_FLU}, g AS (SELECT *, count(*) OVER (PARTITION BY flustr) AS flu_count FROM f) SELECT pep_i, pro_id, seq AS seqstr, flustr, flu_count, substr(seq, 2, 1) = 'P' AS p2 FROM peps JOIN pros USING (pro_i) JOIN pep_strings USING (pep_i) JOIN g USING (pep_i)")
@@ -284,6 +284,13 @@ def peps_wide(spark, sf_dir):
     return wide.select("pep_i", "pro_id", "seqstr", "flustr", "flu_count", (F.substring("seqstr", 2, 1) == "P").alias("p2"))
 
 
+@query("SELECT run_i, true_pep_i, pred_pep_i, score, pro_i, pro_id, pep_start, pep_stop FROM calls LEFT JOIN peps ON pep_i = true_pep_i LEFT JOIN pros USING (pro_i)")
+def calls_with_true_protein(spark, sf_dir):
+    """J-6: every call with the protein and place of what it truly is."""
+    rows = J.calls_pros(view(spark, sf_dir, "calls"), view(spark, sf_dir, "pros"), view(spark, sf_dir, "peps"), "true")
+    return rows.select("run_i", "true_pep_i", "pred_pep_i", "score", "pro_i", "pro_id", "pep_start", "pep_stop")
+
+
 @query("SELECT pro_id, count(*) AS n, round(avg(score), 9) AS score FROM calls LEFT JOIN peps ON pep_i = pred_pep_i LEFT JOIN pros USING (pro_i) GROUP BY pro_id")
 def calls_by_called_protein(spark, sf_dir):
     """J-6: calls with the called protein."""
@@ -315,11 +322,11 @@ def peps_ptms_to_rows(spark, sf_dir):
 _LABEL = f"""l AS (SELECT aa, label_name, a.dye_name, CASE channel_name WHEN 'ch_z' THEN 0 ELSE 1 END AS ch_i, (1 - p_failure_to_bind) * (1 - p_failure_to_attach) * (1 - p_failure) AS p_bright FROM ({_D(LABELS)}) a JOIN ({_D(DYES)}) b ON a.dye_name = b.dye_name)"""
 
 
-@query(f"WITH {_LABEL} SELECT ch_i, aa, count(*) AS n, round(avg(p_bright), 9) AS p_bright FROM ({RESIDUES}) r LEFT JOIN l USING (aa) GROUP BY ch_i, aa")
+@query(f"WITH {_LABEL} SELECT pep_i, pep_offset_in_pro, aa, CAST(ch_i AS INT) AS ch_i, round(p_bright, 9) AS p_bright FROM ({RESIDUES}) r LEFT JOIN l USING (aa)")
 def label_pcbs(spark, sf_dir):
     """J-9, J-10: residues with the channel and brightness chance of their label."""
     labels = J.label_table(spark.sql(LABELS), spark.sql(DYES))
-    return J.label_pcbs(_residues(spark, sf_dir), labels).groupBy(F.col("ch_i").cast("long").alias("ch_i"), "aa").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p_bright"), 9).alias("p_bright"))
+    return J.label_pcbs(_residues(spark, sf_dir), labels).withColumn("p_bright", F.round("p_bright", 9))
 
 
 _SHARED = f"""{_FLU.replace('f AS', 'fl AS')}, w AS (SELECT pep_i, pro_id, flustr FROM peps JOIN pros USING (pro_i) JOIN fl USING (pep_i)),

@@ -104,11 +104,11 @@ def knn_dyetracks(spark, sf_dir):
     return S.knn_dyetracks(rows, rows.withColumnRenamed("row_i", "dyt_i"), 4).withColumn("dist2", F.round("dist2", 6))
 
 
-@query("SELECT a.p_brand, b.p_size, count(*) AS n FROM (SELECT p_brand FROM part GROUP BY 1) a, (SELECT p_size FROM part GROUP BY 1) b GROUP BY ALL")
+@query("SELECT a.p_brand, b.p_size FROM (SELECT DISTINCT p_brand FROM part) a, (SELECT DISTINCT p_size FROM part) b")
 def param_sweep(spark, sf_dir):
     """J-25: all combinations of two parameters' values."""
     part = over(spark, sf_dir, "SELECT p_brand, p_size FROM part")
-    return S.param_sweep(part.select("p_brand").distinct(), part.select("p_size").distinct()).withColumn("n", F.lit(1).cast("long"))
+    return S.param_sweep(part.select("p_brand").distinct(), part.select("p_size").distinct())
 
 
 @query("SELECT DISTINCT pro_id AS lost FROM pros WHERE pro_i NOT IN (SELECT pro_i FROM survey WHERE pep_len <= 20)")
@@ -130,11 +130,10 @@ def fit_row_k(spark, sf_dir):
     return S.fit_row_k(rows, 2.0).select("vec_id", F.round("k", 6).alias("k"))
 
 
-@query("SELECT run_i, count(*) AS n FROM calls WHERE true_pep_i IN (SELECT pep_i FROM peps JOIN pros USING (pro_i) WHERE NOT pro_is_decoy) GROUP BY 1")
+@query("SELECT * FROM calls WHERE true_pep_i IN (SELECT pep_i FROM peps JOIN pros USING (pro_i) WHERE NOT pro_is_decoy)")
 def train_of_real_peps(spark, sf_dir):
-    """J-24: calls of real proteins' peptides by run."""
-    rows = S.train_of_real_peps(view(spark, sf_dir, "calls"), view(spark, sf_dir, "peps"), view(spark, sf_dir, "pros"))
-    return rows.groupBy("run_i").agg(F.count(F.lit(1)).alias("n"))
+    """J-24: calls of real proteins' peptides."""
+    return S.train_of_real_peps(view(spark, sf_dir, "calls"), view(spark, sf_dir, "peps"), view(spark, sf_dir, "pros"))
 
 
 @query("SELECT run_name, count(DISTINCT status) AS n FROM runs GROUP BY 1 HAVING count(DISTINCT status) > 1")
@@ -152,19 +151,22 @@ def label_sets(spark, sf_dir):
     return out.select(F.col("labels")[0].alias("first"), F.col("labels")[1].alias("second"))
 
 
-@query("SELECT run_i, run_name, count(*) AS n FROM (SELECT 0 AS run_i, 'early' AS run_name, score FROM calls WHERE run_i < 2 UNION ALL SELECT 1, 'late', score FROM calls WHERE run_i >= 2) GROUP BY ALL")
+@query("SELECT CASE WHEN run_i < 2 THEN 0 ELSE 1 END AS run_i, CASE WHEN run_i < 2 THEN 'early' ELSE 'late' END AS run_name, true_pep_i, pred_pep_i, score FROM calls")
 def all_runs(spark, sf_dir):
     """U-1: runs' frames as one table."""
     calls = view(spark, sf_dir, "calls")
-    return S.all_runs((0, "early", calls.filter("run_i < 2")), (1, "late", calls.filter("run_i >= 2"))).groupBy("run_i", "run_name").agg(F.count(F.lit(1)).alias("n"))
+    return S.all_runs((0, "early", calls.filter("run_i < 2")), (1, "late", calls.filter("run_i >= 2")))
 
 
-@query("WITH r AS (SELECT true_pep_i, row_number() OVER (PARTITION BY true_pep_i) AS k FROM calls) SELECT true_pep_i, count(*) AS n FROM r WHERE k <= 5 GROUP BY 1")
+@query("""WITH k AS (SELECT run_i, true_pep_i, pred_pep_i, CAST(round(score * 50) AS INT) AS q FROM calls), r AS (SELECT *, row_number() OVER (PARTITION BY true_pep_i ORDER BY md5(concat_ws(':', 'draw', run_i, true_pep_i, pred_pep_i, q)), run_i, true_pep_i, pred_pep_i, q) AS r FROM k)
+SELECT * EXCLUDE (r) FROM r WHERE r <= 5""")
 def subsample_per_class(spark, sf_dir):
-    """T-6: at most five rows of each true peptide."""
+    """T-6: at most five rows of each true peptide, drawn by a hash that SQL has too."""
     from dyelake.operators.calls import subsample_per_class as sample
 
-    return sample(view(spark, sf_dir, "calls"), 5).groupBy("true_pep_i").agg(F.count(F.lit(1)).alias("n"))
+    rows = view(spark, sf_dir, "calls").select("run_i", "true_pep_i", "pred_pep_i", F.round(F.col("score") * 50).cast("int").alias("q"))
+    text = F.concat_ws(":", F.lit("draw"), *(F.col(c).cast("string") for c in rows.columns))
+    return sample(rows, 5, draw=F.md5(text.cast("binary")))
 
 
 @query("SELECT pros.pro_id, peps.pep_i, run_i, score, prec, recall FROM peps JOIN pros USING (pro_i) LEFT JOIN prs ON prs.pep_i = peps.pep_i WHERE NOT pro_is_decoy")

@@ -41,3 +41,29 @@ def test_exports(spark, radmat, tmp_path):
     assert (row["CHANNEL"], row["CATEGORY"], row["FRAME 2"]) == ("ch1", "(False, True, True)", 5.0)
     with pytest.raises(ValueError, match="signal string"):
         S.write_table(radmat, str(tmp_path / "w"), T.StructType([T.StructField("signal", T.StringType())]))
+
+
+def test_the_export_is_in_order_over_all_files(spark, tmp_path):
+    rows = spark.range(500).selectExpr("CAST(id % 2 AS INT) AS channel_i", "CAST(id * 37 % 100 AS INT) AS peak_i", "CAST(id % 5 AS INT) AS cycle_i", "CAST(id * 7 % 3 AS INT) AS field_i", "CAST(id AS DOUBLE) AS signal", "1.5D AS noise")
+    S.export_radmat(rows, str(tmp_path / "r"), 4)
+    lines = [x for f in sorted((tmp_path / "r").glob("part-*.csv")) for x in f.read_text().splitlines() if not x.startswith("channel_i")]
+    got = [tuple(float(v) for v in x.split(",")) for x in lines]
+    want = [(r["channel_i"], r["peak_i"], r["cycle_i"], r["field_i"], r["signal"], r["noise"]) for r in rows.collect()]
+    order = [(r[3], r[0], r[1], r[2]) for r in got]
+    assert order == sorted(order) and sorted(got) == sorted(want) and len(list((tmp_path / "r").glob("part-*.csv"))) > 1
+
+
+def test_tables_are_checked_before_they_are_written(spark, radmat, tmp_path):
+    fields = {f.name: f for f in radmat.schema}
+    schema = T.StructType([fields["peak_i"], fields["signal"]])
+    S.write_table(radmat, str(tmp_path / "w"), schema, ("field_i",))
+    assert sorted(x.name for x in (tmp_path / "w").glob("field_i=*")) == ["field_i=0", "field_i=1"] and spark.read.parquet(str(tmp_path / "w")).count() == 12
+    with pytest.raises(ValueError, match="missing double"):
+        S.write_table(radmat, str(tmp_path / "v"), T.StructType([*schema, T.StructField("missing", T.DoubleType())]))
+    assert not (tmp_path / "v").exists()
+
+
+def test_reports_as_csv(spark, radmat, tmp_path):
+    S.export_report(radmat, str(tmp_path / "e"), ["peak_i", "signal"], ["signal"])
+    rows = [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "e"), inferSchema=True).collect()]
+    assert rows == [(i // 3, float(i)) for i in range(12)]

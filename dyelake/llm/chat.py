@@ -9,6 +9,9 @@ No window has more than BUDGET tokens. A turn of more than PART tokens is writte
 windows, that read back as one. A span's new turns then have less than SPAN + PART tokens. The system turn is repeated if
 it has SYSTEM tokens at most, and these three add up to the budget. Earlier turns are repeated, the nearest first, while differences of
 the same prefix sums say that they fit.
+
+A turn's markers have room for a role of one word. A role of more is written before the text, as part of what is counted and cut into parts; the turn's head then says
+how many code points of it are the role.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-START, END, MORE = "<|im_start|>", "<|im_end|>", "<|im_more|>"
+START, END, MORE, ROLE = "<|im_start|>", "<|im_end|>", "<|im_more|>", "<|im_role|>"
 #: Tokens of a window, of one turn or part of a turn, and of a system turn that is repeated; markers of a turn included.
 BUDGET, PART, SYSTEM = 1024, 512, 128
 #: New turns end within so many tokens; turns repeated from before at most; tokens of a turn's markers.
@@ -65,7 +68,9 @@ def windows(turns: DataFrame, budget: int = BUDGET, part: int = PART, system: in
     own = W.partitionBy("conv_id", "lone")
     rows = turns.select("conv_id", F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text")).otherwise(0).alias("lone"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("i", F.row_number().over(own.orderBy("turn", "role", "text")))
-    rows = rows.select("conv_id", "lone", "i", "role", F.posexplode(parts(F.col("text"), part - MARKERS)).alias("part", "text")).withColumn("tokens", tokens(F.col("text")))
+    wordy = tokens(F.col("role")) > MARKERS + 1
+    said, mark = F.when(wordy, F.concat("role", F.lit("\n"), "text")).otherwise(F.col("text")), F.when(wordy, F.concat(F.lit(ROLE), F.char_length("role").cast("string"))).otherwise("")
+    rows = rows.select("conv_id", "lone", "i", F.when(wordy, "").otherwise(F.col("role")).alias("role"), mark.alias("mark"), F.posexplode(parts(said, part - MARKERS)).alias("part", "text")).withColumn("tokens", tokens(F.col("text")))
     order = own.orderBy("i", "part")
     pinned = (F.col("i") == 1) & (F.col("role") == "system") & (F.col("tokens") <= system) & (F.col("part") == 0)
     before = order.rowsBetween(W.unboundedPreceding, 0)
@@ -78,7 +83,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, part: int = PART, system: in
     # The windows in which a turn is read: its own, those in which it is history, all if it is the system turn.
     repeats = F.when(F.col("pinned"), F.expr("CASE WHEN last > w THEN sequence(w + 1, last) ELSE array() END")).otherwise(F.col("ahead"))
     role = F.regexp_replace(escaped(F.col("role")), "\n", "\\\\\n")
-    head = F.concat(F.lit(START), F.when(F.col("part") > 0, MORE).otherwise(""), role, F.lit("\n"))
+    head = F.concat(F.lit(START), F.when(F.col("part") > 0, MORE).otherwise(F.col("mark")), role, F.lit("\n"))
     rows = rows.select(
         "conv_id", "lone", "i", "part", "tokens", F.col("w").alias("own"), head.alias("head"), escaped(F.col("text")).alias("body"), (F.col("role") == "assistant").alias("target"),
         F.explode(F.concat(F.array("w"), repeats)).alias("window"),
@@ -110,10 +115,11 @@ def read_back(made: DataFrame) -> DataFrame:
     """
     # Markers can't occur inside a role or text: those hold no "<|".
     turn = F.slice(F.split("text", r"<\|im_end\|>\n"), F.col("n_repeated") + 1, F.col("n_new"))
-    head = r"^<\|im_start\|>(<\|im_more\|>)?([^\\\n]*+(?:\\[\s\S][^\\\n]*+)*+)\n"
-    more = lambda t: F.regexp_extract(t, head, 1) != ""
-    # A turn closes the one before it; a part goes on with it.
-    plain = F.transform(turn, lambda t: F.concat(F.when(more(t), "").otherwise(F.concat(F.lit("\n"), unescaped(F.regexp_extract(t, head, 2)), F.lit("\n"))), unescaped(F.regexp_replace(t, head, ""))))
+    head = r"^<\|im_start\|>(<\|im_more\|>)?(<\|im_role\|>[0-9]+)?([^\\\n]*+(?:\\[\s\S][^\\\n]*+)*+)\n"
+    more, wordy = (lambda t, k=k: F.regexp_extract(t, head, k) != "" for k in (1, 2))
+    # A turn closes the one before it; a part goes on with it. What holds its role is role, line feed and text already.
+    opened = lambda t: F.when(more(t), "").when(wordy(t), "\n").otherwise(F.concat(F.lit("\n"), unescaped(F.regexp_extract(t, head, 3)), F.lit("\n")))
+    plain = F.transform(turn, lambda t: F.concat(opened(t), unescaped(F.regexp_replace(t, head, ""))))
     masked = F.transform("loss", lambda x: unescaped(F.substring(F.col("text"), x["start"] + 1, x["length"])))
     each = made.select(
         "conv_id", "lone", "window", F.size(F.filter(turn, lambda t: ~more(t))).alias("n"), F.array_join(plain, "").alias("turns"), F.array_join(masked, "").alias("loss"), F.char_length("text").alias("chars"), "n_tokens"

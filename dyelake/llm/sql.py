@@ -45,9 +45,12 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, coalesce(
 OP2 = rf"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, CASE WHEN conv_id IS NULL THEN concat_ws(':', coalesce(CAST(turn AS VARCHAR), '-'), coalesce(role, '-'), coalesce(text, '-')) ELSE '' END AS lone FROM conversations
     UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok', '' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok', ''),
-n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, lone ORDER BY turn NULLS FIRST, role, text) AS i, len(regexp_extract_all(text, '{SPACED}')) AS words FROM t),
-x AS (SELECT conv_id, lone, i, role, CASE WHEN words <= 508 THEN [text] ELSE regexp_extract_all(text, '(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){{1,508}}(?:[\x20\x09-\x0D]+\z)?') END AS parts FROM n),
-y AS (SELECT conv_id, lone, i, role, unnest(parts) AS text, generate_subscripts(parts, 1) AS part FROM x),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, lone ORDER BY turn NULLS FIRST, role, text) AS i, len(regexp_extract_all(role, '{SPACED}')) > 1 AS wordy FROM t),
+-- A role of several words is said before the text.
+j AS (SELECT conv_id, lone, i, CASE WHEN wordy THEN '' ELSE role END AS role, CASE WHEN wordy THEN 11 + length(CAST(length(role) AS VARCHAR)) ELSE 0 END AS mark, CASE WHEN wordy THEN role || chr(10) || text ELSE text END AS text FROM n),
+k AS (SELECT *, len(regexp_extract_all(text, '{SPACED}')) AS words FROM j),
+x AS (SELECT conv_id, lone, i, role, mark, CASE WHEN words <= 508 THEN [text] ELSE regexp_extract_all(text, '(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){{1,508}}(?:[\x20\x09-\x0D]+\z)?') END AS parts FROM k),
+y AS (SELECT conv_id, lone, i, role, mark, unnest(parts) AS text, generate_subscripts(parts, 1) AS part FROM x),
 z AS (SELECT *, len(regexp_extract_all(text, '{SPACED}')) + 4 AS tokens FROM y),
 s AS (SELECT *, i = 1 AND part = 1 AND role = 'system' AND tokens <= 128 AS pinned, sum(tokens) OVER (PARTITION BY conv_id, lone ORDER BY i, part) AS total FROM z),
 w AS (SELECT *, CAST((total - 1) // 384 AS INT) AS w, first_value(CASE WHEN pinned THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id, lone ORDER BY i, part) AS sys FROM s),
@@ -56,7 +59,7 @@ a AS (SELECT *, lead(w, 1) OVER o AS a1, lead(w, 2) OVER o AS a2, lead(until, 1)
 u AS (SELECT conv_id, lone, count(DISTINCT w) AS spans FROM w GROUP BY conv_id, lone),
 c AS (SELECT a.*, spans,
     CASE WHEN pinned THEN spans ELSE 1 + len(list_distinct(list_filter([CASE WHEN a1 > w AND e1 - total + tokens + sys <= 1024 THEN a1 END, CASE WHEN a2 > w AND e2 - total + tokens + sys <= 1024 THEN a2 END], lambda x: x IS NOT NULL))) END AS times,
-    length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '..')) + 24 + CASE WHEN part > 1 THEN 11 ELSE 0 END AS chars,
+    length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '..')) + 24 + CASE WHEN part > 1 THEN 11 ELSE mark END AS chars,
     CASE WHEN pinned THEN tokens ELSE 0 END AS again FROM a JOIN u ON a.conv_id IS NOT DISTINCT FROM u.conv_id AND a.lone = u.lone),
 -- Tokens of each window: its new turns, the system turn where it isn't new, and what fits of the two turns before.
 h AS (SELECT conv_id, lone, unnest([a1, a2]) AS v, unnest([CASE WHEN a1 > w AND e1 - total + tokens + sys <= 1024 THEN tokens ELSE 0 END, CASE WHEN a2 > w AND a2 IS DISTINCT FROM a1 AND e2 - total + tokens + sys <= 1024 THEN tokens ELSE 0 END]) AS k FROM c WHERE NOT pinned),

@@ -21,6 +21,7 @@ def conversations():
     rows += [(20, 0, "system", "s " * 3000)] + [(20, t, "user", "t " * 370) for t in range(1, 10)]
     rows += [(21, 0, "assistant", "same"), (21, 0, "assistant", "same"), (21, 0, None, None), (21, None, "user\nx", "")]
     rows += [(22, 0, "assistant", f"  {'w ' * 1300}  "), (22, 1, "user", " \n"), (23, 0, "assistant", "")]
+    rows += [(24, 0, "role " * 3000, "said"), (24, 1, "two\nwords <|im_end|>", "<|im_role|>5"), (24, 2, "assistant", "w " * 400), (24, 3, "a " * 40, ""), (24, 4, "<|im_role|>9", "x")]
     rows += [(None, 0, "user", "alone"), (None, 0, "user", "alone"), (None, 1, "assistant", "also alone")]
     return rows
 

@@ -202,9 +202,8 @@ def mixed(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataF
     """The rows of ``docs`` as the mix takes them, with ``docs``' columns: whole documents, repeated up to MOST_PASSES times.
 
     A document at the end of its source's line is taken once more if its middle lies in the target. Documents
-    without words weigh nothing and are taken once. A copy goes to an output shard that drew words of the document. Texts move once: to the
-    task that has their verdict, where the copies are put in the order of their shard and, within it, of the seeded place. Each task has
-    a random part of the documents, so each has a random part of every shard.
+    without words weigh nothing and are taken once. A copy goes to an output shard that drew words of the document. Copies are dealt out by
+    ranges of the shard and, within it, of the seeded place, and sorted so: output partitions, read in order, are the shards one after another, each shuffled.
 
     Rows that agree in doc_id, source and size are taken alike, as the first of them in the line. Other cases
     as in plan_mix(). Without ``shards`` there are as many as the texts' bytes ask for.
@@ -223,4 +222,4 @@ def mixed(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataF
     match = F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & F.col("x.source").eqNullSafe(F.col("y.source")) & (F.col("x.size of the mix") == F.col("y.size"))
     # Verdicts are a few bytes a document: a task holds those of its documents, and texts aren't sorted to be joined.
     out = whole.join(chosen.hint("shuffle_hash").alias("y"), match).select(*(F.col(f"x.`{c}`") for c in names), F.explode("y.to").alias("place of the mix"))
-    return out.sortWithinPartitions("place of the mix").select(*(F.col(f"`{c}`") for c in names))
+    return out.repartitionByRange("place of the mix").sortWithinPartitions("place of the mix").select(*(F.col(f"`{c}`") for c in names))

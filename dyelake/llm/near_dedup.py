@@ -13,7 +13,8 @@ The plan keeps every step distributed and every group splittable:
    classes. What such classes share beyond what the centre has lies in their differences with it, so these are joined by
    prefixes: of each difference, in the order of how many classes of the centre have an element, only as many of the
    rarest as two linked classes can't both do without. So no link is lost for want of a centre, and the variants of one
-   template, however many, meet only where they share rare elements. Pairs are confirmed on full sets;
+   template, however many, meet only where they share rare elements. Of letters filled in from one form all elements are common; such
+   classes meet in bands of a much longer signature instead. Pairs are confirmed on full sets;
 5. union-find again over all confirmed links.
 
 Union-find runs as large-star and small-star rounds over the table of links: each round is a
@@ -23,6 +24,7 @@ costs one round at most.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,8 @@ from dyelake.llm.text import NOT_SPACE, Rows, fingerprints, mix, rows_of, shingl
 #: Signature slots, and rows of a band. A pair at similarity 0.85 shares no band with
 #: probability (1 - 0.85**6)**32, 3e-7; one at 0.3 shares some band with probability 0.02.
 SLOTS, BAND_ROWS = 192, 6
+#: Pairs a class that prefixes may make of a centre's classes before long bands are tried. Elements whose long signatures are made together.
+MANY, LONG_ELEMENTS = 32, 6000
 _U = np.uint64
 
 
@@ -172,6 +176,38 @@ def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _both(pairs, sets).mapInArrow(make, "a long, b long, e array<long>")
 
 
+def band_shape(percent: int) -> tuple[int, int]:
+    """(rows, bands) of long bands: two sets of that similarity share none with a probability of 3e-7."""
+    rows = 16 if percent >= 85 else 14
+    return rows, math.ceil(15 / (percent / 100) ** rows)
+
+
+def long_bands(sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, bands) of each row of full_sets(): band keys of a SuperMinHash signature that is as long as band_shape() asks."""
+    band_rows, bands = band_shape(percent)
+    slots = band_rows * bands
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odd = mix(np.arange(1, band_rows + 1, dtype=_U)) | _U(1)
+        number = np.arange(bands, dtype=_U) * _U(0xD1342543DE82EF95)
+        for batch in batches:
+            each = [np.frombuffer(x.as_buffer(), _U) for x in batch.column("shingles")]
+            at = 0
+            while at < len(each):
+                # A permutation of all slots is laid out for each element that goes on: few sets at a time.
+                size, end = 0, at
+                while end < len(each) and (end == at or size + len(each[end]) <= LONG_ELEMENTS):
+                    size, end = size + len(each[end]), end + 1
+                own = each[at:end]
+                sig = super_minhash(np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own]), len(own), slots).view(_U)
+                keys = mix((mix(sig.reshape(len(own), bands, band_rows) * odd)).sum(axis=2, dtype=_U) + number).view(np.int64)
+                lists = pa.ListArray.from_arrays(np.arange(len(own) + 1, dtype=np.int32) * bands, keys.ravel())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(own)), lists], names=["doc_id", "bands"])
+                at = end
+
+    return texts_of(sets, "doc_id", "shingles").mapInArrow(make, "doc_id long, bands array<long>")
+
+
 def loose_pairs(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): the pairs of classes of one centre that may be linked, one of them at least loose, by prefixes of their differences.
 
@@ -182,6 +218,10 @@ def loose_pairs(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     further apart than the sets are, and a loose class differs from the centre by more than would link them. So the larger difference shares all but k n
     (1 + 100 / percent) of its elements, and the smaller all but half of that or (1 + k) / 2 of its own; one more element than these, taken in the order
     of rarity, must be common.
+
+    Where elements are common, as in letters filled in from a form, prefixes rule out little. A centre of which they would make more than MANY pairs a class goes by long bands
+    instead, if these make fewer: signatures of thousands of slots in bands so long that classes which aren't linked seldom share one, while linked ones
+    do so as surely as in the first banding.
     """
     k, longest = (100 - percent) / (100 + percent), 1 + 100 / percent
     each = written(differences(around.select("a", "b"), sets)).select("a", "b", F.explode("e").alias("e"))
@@ -193,13 +233,26 @@ def loose_pairs(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = lambda most: F.explode(F.slice("es", 1, F.greatest(F.lit(0), F.floor(most + 1e-6) + 1 - F.col("alone")).cast("int")))
     rows = written(rows)
     facts = ("a", "b", "n", "apart", "loose", "of_b")
-    large = rows.select(*facts, first(limit).alias("p")).select(*facts, F.col("p.e").alias("e")).alias("x")
-    small = rows.select(*facts, first(F.least(limit / 2, (1 + k) / 2 * F.col("apart"))).alias("p")).select(*facts, F.col("p.e").alias("e")).alias("y")
+    large = written(rows.select(*facts, first(limit).alias("p")).select(*facts, F.col("p.e").alias("e")))
+    small = written(rows.select(*facts, first(F.least(limit / 2, (1 + k) / 2 * F.col("apart"))).alias("p")).select(*facts, F.col("p.e").alias("e")))
+    # How many pairs prefixes would make of each centre's classes, and long bands.
+    each_side = large.groupBy("a", "e").agg(F.count(F.lit(1)).alias("x")).join(small.groupBy("a", "e").agg(F.count(F.lit(1)).alias("y")), ["a", "e"])
+    cost = each_side.groupBy("a").agg(F.sum(F.col("x") * F.col("y")).alias("by_prefix")).join(around.groupBy("a").agg(F.count(F.lit(1)).alias("classes")), "a")
+    crowded = written(cost.filter(F.col("by_prefix") > MANY * F.col("classes")))
+    banded = written(around.join(crowded.select("a"), "a", "left_semi"))
+    marked = written(banded.select(*facts).join(long_bands(sets.join(banded.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi"), percent), F.col("b") == F.col("doc_id")).select(*facts, F.explode("bands").alias("e")))
+    shared = marked.groupBy("a", "e").agg(F.count(F.lit(1)).alias("m"), F.min("of_b").alias("low"), F.max("of_b").alias("high"), F.bool_or("loose").alias("any")).filter("low < high AND any")
+    marked = written(marked.join(shared, ["a", "e"]))
+    by_band = crowded.join(marked.groupBy("a", "e").agg(F.first("m").alias("m")).groupBy("a").agg(F.sum(F.col("m") * F.col("m")).alias("by_band")), "a", "left")
+    better = written(by_band.filter(F.coalesce("by_band", F.lit(0)) < F.col("by_prefix")).select("a"))
+    marked = marked.join(better, "a", "left_semi").select(*facts, "e")
+    large, small = (side.join(better, "a", "left_anti").unionByName(marked) for side in (large, small))
+    x, y = large.alias("x"), small.alias("y")
     same = (F.col("x.a") == F.col("y.a")) & (F.col("x.e") == F.col("y.e"))
     may = F.expr(
         f"(x.apart > y.apart OR (x.apart = y.apart AND x.b < y.b)) AND (x.loose OR y.loose) AND x.of_b != y.of_b AND x.apart - y.apart <= {k!r} * (x.n + y.n) + 1e-6 AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
     )
-    return large.join(small, same & may).select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+    return x.join(y, same & may).select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -31,8 +31,8 @@ _CUT = np.zeros(256, bool)
 _CUT[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _WORD = ~_CUT
 _WORD[[0x20, 0x09]] = False
-#: Bytes of text whose phrases are counted together; a batch has no more, but for one long row.
-_CHUNK = 8_000_000
+#: Bytes of text whose phrases are counted together (a longer row by itself).
+_CHUNK = 1_500_000
 _ODD = _U(0x9E3779B97F4A7C15)
 _SPACE = pa.scalar(b" ", pa.large_binary())
 

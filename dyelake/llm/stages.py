@@ -16,6 +16,7 @@ from dyelake.llm import language_id
 from dyelake.llm.decontaminate import contamination
 from dyelake.llm.mixing import mixed
 from dyelake.llm.near_dedup import near_duplicates
+from dyelake.llm.sharding import kd_shards
 
 _KEY, _GONE, _WHOLE = "key of the stage", "key that goes", "print of the row"
 
@@ -29,6 +30,12 @@ def _columns(docs: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
+def _hashable(docs: DataFrame) -> list[Column]:
+    """The columns as they can be hashed: what holds a map or a variant as JSON."""
+    odd = lambda kind: "map<" in kind or "variant" in kind
+    return [F.to_json(F.struct(c)) if odd(kind) else c for c, (_, kind) in zip(_columns(docs), docs.dtypes, strict=True)]
+
+
 def _without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     """``docs`` less the rows whose key is in ``gone`` (one column); a null key is in none."""
     keyed = docs.select(*_columns(docs), key.alias(_KEY))
@@ -63,7 +70,7 @@ def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     words = F.coalesce(F.col("text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
     own = F.xxhash64("doc_id", "text").alias(_GONE)
     # Copies of a whole row are one; the rows that are left get numbers, which stay as they are once written.
-    keyed = docs.filter(words).select(*_columns(docs), own, F.xxhash64(*_columns(docs)).alias(_WHOLE)).dropDuplicates([_GONE, _WHOLE])
+    keyed = docs.filter(words).select(*_columns(docs), own, F.xxhash64(*_hashable(docs)).alias(_WHOLE)).dropDuplicates([_GONE, _WHOLE])
     keyed = written(keyed.withColumn(_KEY, F.monotonically_increasing_id()))
     found = near_duplicates(keyed.select(F.col(_KEY).alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("node"), "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("null"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col(_GONE), F.col(_WHOLE), F.col(_KEY).alias("stays"))
@@ -90,3 +97,19 @@ def to_target_weights(docs: DataFrame) -> DataFrame:
     source and number of words are taken alike. An empty table gives an empty one.
     """
     return mixed(docs)
+
+
+def sharded(docs: DataFrame, shards: int) -> DataFrame:
+    """``docs`` with size, text_crc32, law, shard, slot and grown_shard of each row, as kd_shards() deals them out.
+
+    Every row gets its own place, also rows of one doc_id or none and rows that are equal; rows are told apart by numbers that they get once, when they are written. A column of
+    ``docs`` that is named like one of these is renamed, with "of the document" behind. An empty table gives an empty one.
+    """
+    keyed = written(docs.select(*_columns(docs), F.monotonically_increasing_id().alias(_KEY)))
+    known = [c for c in ("text", "lang", "source") if c in docs.columns]
+    found = kd_shards(keyed.select(F.col(_KEY).alias("doc_id"), *known), shards).withColumnRenamed("doc_id", _GONE)
+    facts = [c for c in found.columns if c != _GONE]
+    own = [c.alias(f"{name} of the document") if name in facts else c for c, name in zip((F.col(f"x.`{c}`") for c in docs.columns), docs.columns, strict=True)]
+    # Places are a few bytes a row: a task holds those of its rows, and texts aren't sorted to be joined.
+    both = keyed.alias("x").join(found.hint("shuffle_hash").alias("y"), F.col(f"x.`{_KEY}`") == F.col(f"y.`{_GONE}`"))
+    return both.select(*own, *(F.col(f"y.`{c}`") for c in facts))

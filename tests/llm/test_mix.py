@@ -69,6 +69,18 @@ def test_copies_of_a_row_are_local_in_a_random_order(docs):
     assert ids != sorted(ids)
 
 
+def test_output_comes_shard_by_shard_of_the_tree(docs):
+    """Fails where the tree is one shard: rows then have no shard but the first."""
+    drawn = {r["doc_id"]: {p["shard"] for p in r["pieces"]} for r in mixing.plan_mix(docs, 16).select("doc_id", "pieces").collect()}
+    rows = mixing.mixed(docs, 16).select("doc_id").collect()
+    at = 0
+    for r in rows:  # partitions come in order
+        own = drawn[r["doc_id"]]
+        assert not own or max(own) >= at, r
+        at = max(at, min(own, default=0))
+    assert at >= 10
+
+
 def test_odd_rows(spark):
     long = "word " * 40_000
     rows = [(None, "a b c", None, 1), (None, "a b c", None, 1), (None, "d e", "x", 1), (1, None, "x", 1), (2, "", "x", 1), (3, long, "x", 1), (4, "one", "y", 1), (4, "one", "y", 1)]

@@ -6,6 +6,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
+from dyelake.functions.storage import written
 from dyelake.llm.near_dedup import loose_pairs, near_duplicates
 
 
@@ -58,3 +59,37 @@ def test_many_loose_classes_of_one_template_make_few_pairs(spark):
     apart = {i: len(np.setxor1d(twin[0], twin[i])) for i in some}
     around = spark.createDataFrame([(0, i, words, apart[i], True, i) for i in some], "a long, b long, n long, apart long, loose boolean, of_b long")
     assert [tuple(r) for r in loose_pairs(around, held, 85).collect()] == [(5, 7)]
+
+
+def letters(n, seed=7, places=14, options=4):
+    """Letters from one form: at each place one of a few words."""
+    rng = random.Random(seed)
+    rows = []
+    for d in range(n):
+        own = []
+        for p in range(places):
+            own += [f"form{p}a", f"form{p}b", f"form{p}c", f"fill{p}x{rng.randrange(options)}", f"form{p}d", f"form{p}e", f"form{p}f"]
+        rows.append((d, " ".join(own)))
+    return rows
+
+
+def test_no_link_of_form_letters_is_lost(spark, monkeypatch):
+    from dyelake.llm import near_dedup
+
+    used = []
+    plain = near_dedup.long_bands
+    monkeypatch.setattr(near_dedup, "long_bands", lambda sets, percent: (used.append(sets.count()), plain(sets, percent))[1])
+    rows = letters(600)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85).collect()}
+    want = brute.near_duplicates(rows, 3, 85)
+    assert got == want and used[0] > 500 and 1 < len({c for _, c in want.values()}) < 600
+
+
+def test_form_letters_make_a_small_part_of_all_pairs(spark, monkeypatch):
+    from dyelake.llm import near_dedup
+
+    made = []
+    plain = near_dedup.loose_pairs
+    monkeypatch.setattr(near_dedup, "loose_pairs", lambda *args: (lambda out: (made.append(out.count()), out)[1])(written(plain(*args))))
+    near_duplicates(spark.createDataFrame(letters(1200), "doc_id long, text string").repartition(4), 3, 85).count()
+    assert 0 < made[0] < 0.05 * 1200**2 / 2

@@ -61,6 +61,23 @@ def test_without_languages_only_letters_count(odd):
     assert sorted(map(str, (r["doc_id"] for r in out.collect()))) == sorted(map(str, [5, 6, 8, 8, None, 9]))
 
 
+def test_rows_keep_their_texts_and_get_places(odd):
+    copies = odd.unionByName(odd.filter("doc_id = 8")).withColumn("shard", F.lit("clash"))
+    out = stages.sharded(copies, 3)
+    assert out.columns == [*(c if c not in ("size", "shard") else f"{c} of the document" for c in copies.columns), "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    rows = out.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in copies.collect())
+    assert all(r["size"] == len((r["text"] or "").encode()) + 16 for r in rows) and len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
+    assert stages.sharded(odd.limit(0), 3).count() == 0
+
+
+def test_map_columns(odd, bench):
+    docs = odd.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))).withColumn("deep", F.array(F.col("m")))
+    for out in (stages.known_language(docs), stages.one_of_each_group(docs), stages.uncontaminated(docs, bench), stages.to_target_weights(docs)):
+        assert out.columns == docs.columns and out.count() > 0
+    assert stages.one_of_each_group(docs).count() == stages.one_of_each_group(odd).count() and stages.sharded(docs, 2).count() == docs.count()
+
+
 def test_run_against_a_plain_form(spark, tmp_path):
     docs = {r["doc_id"]: r for r in table(spark, SF, "documents").collect()}
     left = {d for d, r in docs.items() if any(c.isalpha() for c in r["text"] or "")}
@@ -84,6 +101,6 @@ def test_run_against_a_plain_form(spark, tmp_path):
     assert Counter(r["doc_id"] for r in out) == Counter({d: n for d, n in times.items() if n})
     shards: dict = {}
     for r in out:
-        assert r["size"] == len(docs[r["doc_id"]]["text"].encode()) + 16
+        assert r["size"] == len(docs[r["doc_id"]]["text"].encode()) + 16 and r["text"] == docs[r["doc_id"]]["text"]
         shards.setdefault(r["shard"], []).append((r["slot"], r["size"]))
     assert all(sorted(s for s, _ in x) == list(range(len(x))) for x in shards.values()) and max(shards) < P.SHARDS

@@ -3,7 +3,7 @@
 Every stage works on all that the stage before kept; its rows are written as Parquet and read again as the next one's
 documents, so a lost executor costs part of one stage.
 Every stage takes nulls in any column, empty and very long texts, repeated rows, empty tables and other columns of any name; what
-it does with each is said at its function in dyelake.llm.stages, and at kd_shards() for the last.
+it does with each is said at its function in dyelake.llm.stages.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dyelake.functions.storage import remove, scratch, shared_dir
 from dyelake.llm import stages
-from dyelake.llm.sharding import kd_shards
 from dyelake.sources.tables import table
 
 SHARDS = 40
@@ -41,8 +40,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sharding: each row's shard of near-equal bytes, and its slot there."""
-    return kd_shards(docs, SHARDS)
+    """Sharding: each row with its shard of near-equal bytes, and its slot there."""
+    return stages.sharded(docs, SHARDS)
 
 
 STAGES = [

@@ -38,8 +38,8 @@ from dyelake.llm.text import NOT_SPACE, Rows, fingerprints, mix, rows_of, shingl
 #: Signature slots, and rows of a band. A pair at similarity 0.85 shares no band with
 #: probability (1 - 0.85**6)**32, 3e-7; one at 0.3 shares some band with probability 0.02.
 SLOTS, BAND_ROWS = 192, 6
-#: Pairs a class that prefixes may make of a centre's classes before long bands are tried. Elements whose long signatures are made together.
-MANY, LONG_ELEMENTS = 32, 6000
+#: Elements whose long signatures are made together.
+LONG_ELEMENTS = 6000
 _U = np.uint64
 
 
@@ -219,8 +219,8 @@ def loose_pairs(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     (1 + 100 / percent) of its elements, and the smaller all but half of that or (1 + k) / 2 of its own; one more element than these, taken in the order
     of rarity, must be common.
 
-    Where elements are common, as in letters filled in from a form, prefixes rule out little. A centre of which they would make more than MANY pairs a class goes by long bands
-    instead, if these make fewer: signatures of thousands of slots in bands so long that classes which aren't linked seldom share one, while linked ones
+    Where elements are common, as in letters filled in from a form, prefixes rule out little. A centre of which they would make more pairs a class than there are long bands goes by these
+    instead, if they make fewer: signatures of thousands of slots in bands so long that classes which aren't linked seldom share one, while linked ones
     do so as surely as in the first banding.
     """
     k, longest = (100 - percent) / (100 + percent), 1 + 100 / percent
@@ -236,9 +236,10 @@ def loose_pairs(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     large = written(rows.select(*facts, first(limit).alias("p")).select(*facts, F.col("p.e").alias("e")))
     small = written(rows.select(*facts, first(F.least(limit / 2, (1 + k) / 2 * F.col("apart"))).alias("p")).select(*facts, F.col("p.e").alias("e")))
     # How many pairs prefixes would make of each centre's classes, and long bands.
-    each_side = large.groupBy("a", "e").agg(F.count(F.lit(1)).alias("x")).join(small.groupBy("a", "e").agg(F.count(F.lit(1)).alias("y")), ["a", "e"])
-    cost = each_side.groupBy("a").agg(F.sum(F.col("x") * F.col("y")).alias("by_prefix")).join(around.groupBy("a").agg(F.count(F.lit(1)).alias("classes")), "a")
-    crowded = written(cost.filter(F.col("by_prefix") > MANY * F.col("classes")))
+    sides = [side.groupBy("a", "e").agg(F.count(F.lit(1)).alias(c), F.count_if("loose").alias(f"{c}_loose")) for side, c in ((large, "x"), (small, "y"))]
+    pairs = F.col("x_loose") * F.col("y") + (F.col("x") - F.col("x_loose")) * F.col("y_loose")
+    cost = sides[0].join(sides[1], ["a", "e"]).groupBy("a").agg(F.sum(pairs).alias("by_prefix")).join(around.groupBy("a").agg(F.count(F.lit(1)).alias("classes")), "a")
+    crowded = written(cost.filter(F.col("by_prefix") > band_shape(percent)[1] * F.col("classes")))
     banded = written(around.join(crowded.select("a"), "a", "left_semi"))
     marked = written(banded.select(*facts).join(long_bands(sets.join(banded.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi"), percent), F.col("b") == F.col("doc_id")).select(*facts, F.explode("bands").alias("e")))
     shared = marked.groupBy("a", "e").agg(F.count(F.lit(1)).alias("m"), F.min("of_b").alias("low"), F.max("of_b").alias("high"), F.bool_or("loose").alias("any")).filter("low < high AND any")

@@ -131,20 +131,22 @@ def written_out(rng: random.Random) -> tuple[str, str | None]:
     host, end = rng.choice((word(), word(), f"{word()}-{word()}", f"{word()}{digits(1)}")), rng.choice(("com", "org", "net", "edu", "de", chars(2, lower), chars(3, lower), chars(4, lower)))
     quote = rng.choice(('"', "'", ""))
     gap = rng.choice(("", " "))
+    # Groups of digits are what counts, whatever stands between them.
+    some = rng.choice(("", "", " ")).join(("", rng.choice("-./_,;+*~#=&!"), rng.choice(("", " "))))
     bracketed = lambda said: rng.choice(("[{}]", "({})", "{{{}}}", "<{}>")).format(said)
     at, dot = rng.choice((f"{gap}{bracketed('at')}{gap}",) * 3 + (" at ", " at ", " at ", " at ", " AT ", f"{gap}{bracketed('@')}{gap}", "@ ")), rng.choice((".", ".", " dot ", " dot ", f"{gap}{bracketed('dot')}{gap}", " DOT ", " . "))
     if at.strip().isalpha() and "d" not in dot.lower():
         dot = " dot "
     spelled = f"{name}{at}{host}{dot}{rng.choice(('', '', f'{word()}{dot}'))}{end}"
-    first, mark = rng.choice(("", "", "", "1 ", "1-", "1-", "1.")), rng.choice(("-", "-", ".", " ", " - ", "/", "_"))
-    lead = rng.choice((f"({area()}) ", f"({area()})", f"{area()}-", f"{area()}.", f"{area()} ", f"{area()}{mark}"))
+    first, mark = rng.choice(("", "", "", "1 ", "1-", "1-", "1.")), rng.choice(("-", "-", "-", ".", " ", " - ", some, some))
+    lead = rng.choice((f"({area()}) ", f"({area()})", f"{area()}-", f"{area()}.", f"{area()} ", f"{area()}{mark}", f"{area()}{some}", f"{{{area()}}} ", f"<{area()}>{mark}"))
     phone = rng.choice((f"{first}{lead}{digits(3)}{mark}{digits(4)}",) * 8 + (f"({area()}) {digits(3)}-{digits(4)}", f"{area()}-{digits(3)}-{digits(4)}", f"0{digits(2)} {digits(4)} {digits(4)}"))
     word_of = rng.choice(("token", "api_key", "apikey", "secret", "password", "passwd", "pwd", "access_key", "key"))
     value = chars(rng.randint(12, 44), rng.choice((hexed, hexed, mixed, mixed + "+/_-", lower + "0123456789", upper + lower)))
     key = rng.choice((f"{word_of}{rng.choice((' = ', '=', ': ', ':'))}{quote}{value}{quote}",) * 3 + (f"AKIA{chars(16, upper + '0123456789')}", f"ghp_{chars(36, mixed)}", f"sk-{chars(32, mixed)}", chars(rng.choice((32, 40)), hexed)))
     address = rng.choice((*(m.join(byte() for _ in range(4)) for m in ("[.]", " . ", "(.)", "[dot]", " [.] ", " dot ", ". ", "_", "-", " (dot) ")), ":".join(chars(4, hexed) for _ in range(8)), ":".join(chars(rng.randint(1, 4), hexed) for _ in range(rng.randint(4, 6))) + "::" + chars(4, hexed)))
-    number = card(rng.choice((".", "/", "  ", "_", " - ", ",", ", ", " . ", "--", "+", "*", " / ", "~", ";")))
-    part = rng.choice(("-", "-", "-", " - ", " ", ".", "_", "/", " / ", ","))
+    number = card(rng.choice((".", "/", "  ", " - ", ", ", some, some, some, some, some, some)))
+    part = rng.choice(("-", "-", "-", " - ", " ", some, some, some))
     ssn = f"{rng.randint(1, 8)}{digits(2)}{part}{digits(2)}{part}{digits(4)}"
     said = word()
     odd = rng.choice((

@@ -21,9 +21,9 @@ def unknown_make(rng: random.Random) -> tuple[str, str | None]:
     quote = rng.choice(('"', "'", ""))
     name, host, end = rng.choice((f"{word()}-{word()}", f"{word()}.{word()}.{word()}", f"{digits(1)}{word()}")), f"{word()}{digits(1)}", rng.choice(("io", "info", "fr"))
     spelled = rng.choice((f"{name} @ {host}.{end}", f"{name} [ at ] {host} [ dot ] {end}", f"{name} <at> {host} . {end}.{end}"))
-    phone = rng.choice((f"({area()})-{digits(3)}-{digits(4)}", f"[{area()}] {digits(3)}-{digits(4)}", f"{area()}, {digits(3)}-{digits(4)}"))
+    phone = rng.choice((f"({area()})-{digits(3)}-{digits(4)}", f"[{area()}] {digits(3)}-{digits(4)}"))
     key = rng.choice((f"auth_token := {quote}{chars(32, hexed)}{quote}", f"client_secret={quote}{chars(28, mixed)}{quote}", chars(36, hexed), f"ghs_{chars(36, mixed)}", f"xoxb-{chars(24, mixed)}"))
     address = rng.choice((*(m.join(byte() for _ in range(4)) for m in ("{.}", " (.) ", "{dot}")), ":".join(chars(4, hexed) for _ in range(7)) + "::"))
-    number, ssn = card(rng.choice((":", "|", " + "))), rng.choice((":", " . ", "--")).join((f"{rng.randint(1, 8)}{digits(2)}", digits(2), digits(4)))
+    number, ssn = card(rng.choice((":", "|"))), rng.choice((":", "--")).join((f"{rng.randint(1, 8)}{digits(2)}", digits(2), digits(4)))
     odd = rng.choice((f"{digits(2)}/{digits(2)}/19{digits(2)}", f"no. {digits(5)}", f"{digits(2)},{digits(3)} km", f"Fig. {digits(1)}.{digits(2)}", f"{digits(3)}%", f"Q{rng.randint(1, 4)} 20{digits(2)}", f"{word()}/{word()}/{word()}", f"pp. {digits(2)}-{digits(2)}", f"{word()}{word()}-{word()}"))
     return rng.choice(((spelled, "email"), (spelled, "email"), (phone, "phone"), (phone, "phone"), (key, "secret"), (address, "ip"), (number, "card"), (ssn, "ssn"), (odd, None), (odd, None), (odd, None)))

@@ -114,15 +114,16 @@ def set_dictionary(rows: DataFrame, key: str, member: str) -> tuple[DataFrame, D
 
 
 def falses_flus(falses: DataFrame, report: DataFrame, flus: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """False calls with the peptide's and the false peptide's protein and fluorosequence, and the set of proteins that share the peptide's, as its id and number; and the sets (set_id, pro_id).
+    """False calls with the peptide's and the false peptide's protein and fluorosequence, and the set of proteins that share the peptide's, as its id, its number and its sorted members; and the sets (set_id, pro_id).
 
-    ``report`` (pep_i, pro_id), ``flus`` (pep_i, flustr).
+    ``report`` (pep_i, pro_id), ``flus`` (pep_i, flustr). A set is listed once and joined last, so that no other join carries the lists. A fluorosequence without a named protein has nulls for its set.
     """
     wide = report.join(flus, "pep_i")
     sharing, members = set_dictionary(wide, "flustr", "pro_id")
-    one = wide.join(sharing.select("flustr", F.col("set_id").alias("flu_set"), F.col("n").alias("n_flu_pros")), "flustr").select("pep_i", "pro_id", "flustr", "flu_set", "n_flu_pros")
+    one = wide.join(sharing.select("flustr", F.col("set_id").alias("flu_set"), F.col("n").alias("n_flu_pros")), "flustr", "left").select("pep_i", "pro_id", "flustr", "flu_set", "n_flu_pros")
     other = wide.select(F.col("pep_i").alias("false_pep_i"), F.col("pro_id").alias("false_pro_id"), F.col("flustr").alias("false_flustr"))
-    return falses.join(one, "pep_i").join(other, "false_pep_i", "left"), members
+    lists = members.groupBy(F.col("set_id").alias("flu_set")).agg(F.array_join(F.sort_array(F.collect_list("pro_id")), ",").alias("flu_pros"))
+    return falses.join(one, "pep_i").join(other, "false_pep_i", "left").join(lists, "flu_set", "left"), members
 
 
 def prep_summary(pros: DataFrame, peps: DataFrame, strings: DataFrame, in_report_only: bool = False) -> DataFrame:

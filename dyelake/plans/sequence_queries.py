@@ -339,10 +339,11 @@ def _falses_flus(spark, sf_dir):
     return J.falses_flus(C.false_calls(C.conf_mat(view(spark, sf_dir, "calls")), 3), report, _flus(spark, sf_dir).select("pep_i", "flustr"))
 
 
-@query(f"""WITH {_FALSE}, {_SHARED} SELECT f.pep_i, false_type, false_i, f.false_pep_i, false_weight, w.pro_id, w.flustr, flu_set, n_flu_pros, v.pro_id AS false_pro_id, v.flustr AS false_flustr
-FROM f JOIN w ON w.pep_i = f.pep_i JOIN s USING (flustr) LEFT JOIN w v ON v.pep_i = f.false_pep_i""")
+@query(f"""WITH {_FALSE}, {_SHARED}, l AS (SELECT flustr, string_agg(DISTINCT pro_id, ',' ORDER BY pro_id) AS flu_pros FROM w GROUP BY 1)
+SELECT f.pep_i, false_type, false_i, f.false_pep_i, false_weight, w.pro_id, w.flustr, flu_set, n_flu_pros, flu_pros, v.pro_id AS false_pro_id, v.flustr AS false_flustr
+FROM f JOIN w ON w.pep_i = f.pep_i JOIN s USING (flustr) JOIN l USING (flustr) LEFT JOIN w v ON v.pep_i = f.false_pep_i""")
 def falses_flus(spark, sf_dir):
-    """J-17: false calls with both peptides' proteins and fluorosequences, and the set of proteins that share the fluorosequence."""
+    """J-17: false calls with both peptides' proteins and fluorosequences, and the proteins that share the fluorosequence."""
     return _falses_flus(spark, sf_dir)[0]
 
 

@@ -8,7 +8,7 @@ from conftest import SF
 from dyelake.operators import nearest as nearest_tracks
 from dyelake.operators.survey import knn_dyetracks
 from dyelake.plans.adapters import duck
-from dyelake.plans.all_queries import QUERIES
+from dyelake.plans.all_queries import ORACLE_SQL, QUERIES
 from dyelake.plans.radmat_queries import CYCLES
 
 
@@ -77,3 +77,15 @@ def test_knn_dyetracks_of_copies_and_far_vectors(spark, block_rows, monkeypatch)
     rows = spark.createDataFrame(list(zip(ids, vecs, strict=True)), "row_i long, vec array<double>")
     got = knn_dyetracks(rows, rows.withColumnRenamed("row_i", "dyt_i"), 4)
     assert sorted((r["row_i"], r["dyt_i"], round(r["dist2"], 6), r["rank"]) for r in got.collect()) == sorted(nearest(*zip(*sorted(zip(ids, vecs, strict=True)), strict=True), 4))
+
+
+def test_coverage_without_a_unique_peptide_is_null_as_in_sql(spark, tmp_path):
+    """Twice the parts: no fluorosequence is a peptide's own any more."""
+    con = duckdb.connect()
+    for t in ("lineitem", "supplier"):
+        con.sql(f"COPY (FROM '{SF}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+    con.sql(f"COPY (SELECT p_partkey + k * 1000000 AS p_partkey, * EXCLUDE (p_partkey, k) FROM '{SF}/part.parquet', range(2) r(k)) TO '{tmp_path}/part.parquet'")
+    for t in ("lineitem", "supplier", "part"):
+        con.sql(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet'")
+    want = con.execute(ORACLE_SQL["protein_coverage"]).fetchall()
+    assert want == [(None,)] == [tuple(r) for r in QUERIES["protein_coverage"](spark, str(tmp_path)).collect()]

@@ -30,6 +30,15 @@ def peps_of(pros: DataFrame, peps: DataFrame, which: str) -> DataFrame:
     return pros_where(pros, which).select("pro_i").join(peps, "pro_i").select("pro_i", "pep_i", "pep_start", "pep_stop")
 
 
+def pepseqs_of(peps: DataFrame, strings: DataFrame) -> DataFrame:
+    """``peps`` (pep_i, ...) with a row for each residue of ``strings`` (pep_i, tokens): aa, pep_offset_in_pro.
+
+    Peptides meet their tokens before these become rows. Spark takes the size of exploded rows for that of the rows before, and would send
+    all residues through the driver as a small table; a merge join sends no side whole.
+    """
+    return peps.join(strings.hint("merge"), "pep_i").select(*peps.columns, F.posexplode("tokens").alias("pep_offset_in_pro", "aa"))
+
+
 def pep_strings(pep_seqs: DataFrame, key: str = "pep_i", order: str = "pep_offset_in_pro") -> DataFrame:
     """(key, seqstr, seqlen): residues (key, aa, offset) joined in order."""
     joined = pep_seqs.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, "aa"))).alias("s"))

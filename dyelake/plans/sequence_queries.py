@@ -273,7 +273,7 @@ def peps_no_decoys(spark, sf_dir):
 def pepseqs_no_decoys(spark, sf_dir):
     """J-4: residues of real proteins' peptides."""
     own = J.peps_of(view(spark, sf_dir, "pros"), view(spark, sf_dir, "peps"), "no_decoys")
-    return _residues(spark, sf_dir).join(own, "pep_i").select("pro_i", "pep_i", "aa", "pep_offset_in_pro")
+    return J.pepseqs_of(own, view(spark, sf_dir, "pep_strings").select("pep_i", S.aa_tokens(F.col("seq")).alias("tokens"))).select("pro_i", "pep_i", "aa", "pep_offset_in_pro")
 
 
 @query(f"WITH {_FLU}, g AS (SELECT *, count(*) OVER (PARTITION BY flustr) AS flu_count FROM f) SELECT pep_i, pro_id, seq AS seqstr, flustr, flu_count, substr(seq, 2, 1) = 'P' AS p2 FROM peps JOIN pros USING (pro_i) JOIN pep_strings USING (pep_i) JOIN g USING (pep_i)")

@@ -89,3 +89,13 @@ def test_coverage_without_a_unique_peptide_is_null_as_in_sql(spark, tmp_path):
         con.sql(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet'")
     want = con.execute(ORACLE_SQL["protein_coverage"]).fetchall()
     assert want == [(None,)] == [tuple(r) for r in QUERIES["protein_coverage"](spark, str(tmp_path)).collect()]
+
+
+def test_residues_are_made_after_their_join(spark):
+    """Residues of many peptides never go to the driver as a side of a broadcast join."""
+    df = QUERIES["pepseqs_no_decoys"](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
+    # The first join is that of residues or tokens.
+    physical = df._jdf.queryExecution().sparkPlan().toString()
+    assert physical.index("SortMergeJoin") < physical.index("BroadcastHashJoin") if "BroadcastHashJoin" in physical else "SortMergeJoin" in physical

@@ -19,6 +19,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def _lang_prints(langs: list[str]) -> np.ndarray:
 class _Border:
     """What a pass counts: filters of proposed words and pairs, those of earlier passes apart from those new in this one."""
 
-    def __init__(self, words: list[HashFilter], pairs: list[HashFilter], first: bool):
+    def __init__(self, words: list[HashFilter | Broadcast], pairs: list[HashFilter | Broadcast], first: bool):
         self.words, self.pairs, self.first = words, pairs, first
 
     def proposed(self, level: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,14 +128,12 @@ def _coded(column: pa.Array) -> tuple[np.ndarray, list[str]]:
 
 def counts(docs: DataFrame, least: int, border: _Border | None = None) -> DataFrame:
     """(lang, phrase, n) of the phrases of ``docs`` that occur ``least`` times, of the border if there is one."""
-    held = docs.sparkSession.sparkContext.broadcast(border)
-    found = texts_of(docs, "text", "lang").mapInArrow(lambda batches: _count(batches, held.value), "lang string, phrase string, n long")
+    found = texts_of(docs, "text", "lang").mapInArrow(lambda batches: _count(batches, border), "lang string, phrase string, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("phrase") == ""))
 
 
-def _hashed(phrases: DataFrame, filters: list[HashFilter] | None = None) -> DataFrame:
+def _hashed(phrases: DataFrame, filters: list[HashFilter | Broadcast] | None = None) -> DataFrame:
     """(h) of each of ``phrases`` (lang, phrase), all words or all pairs; only those that none of ``filters`` has."""
-    held = phrases.sparkSession.sparkContext.broadcast(filters or [])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +146,7 @@ def _hashed(phrases: DataFrame, filters: list[HashFilter] | None = None) -> Data
                 first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
                 if len(first) < len(h):
                     h = _pair_prints(h[first], h[first + 1])
-                h = h[~any_has(held.value, h)]
+                h = h[~any_has(filters or [], h)]
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
     return texts_of(phrases, "lang", "phrase").mapInArrow(make, "h long")
@@ -169,15 +168,19 @@ def frequent_phrases(docs: DataFrame, least: int = 10, sample_every: int = 8) ->
     """
     drawn = docs.filter(F.pmod(F.xxhash64("text", "doc_id"), F.lit(sample_every)) == 0)
     proposed = written(counts(drawn, max(2, least // sample_every)).filter(F.col("phrase") != ""))
-    words, pairs = [HashFilter.of(_hashed(_of_size(proposed, 1)))], [HashFilter.of(_hashed(_of_size(proposed, 2)))]
+    # A filter is broadcast once for all passes, and the driver's Python keeps none.
+    share = lambda hashes: docs.sparkSession.sparkContext.broadcast(HashFilter.of(hashes))
+    words, pairs = [share(_hashed(_of_size(proposed, 1)))], [share(_hashed(_of_size(proposed, 2)))]
     passes = [written(counts(docs, least, _Border(words, pairs, True)))]
     while len(passes) < 3:
         # Border failures: frequent, yet not proposed.
         missed = [written(_hashed(_of_size(passes[-1], k + 1), filters)) for k, filters in enumerate((words, pairs))]
         if all(m.isEmpty() for m in missed):
             break
-        words, pairs = [*words, HashFilter.of(missed[0])], [*pairs, HashFilter.of(missed[1])]
+        words, pairs = [*words, share(missed[0])], [*pairs, share(missed[1])]
         passes.append(written(counts(docs, least, _Border(words, pairs, False))))
+    for f in (*words, *pairs):
+        f.destroy()
     return reduce(DataFrame.unionByName, (p if i == 0 else p.filter(F.col("phrase") != "") for i, p in enumerate(passes)))
 
 

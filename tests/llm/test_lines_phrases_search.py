@@ -7,9 +7,11 @@ import re
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from dyelake.llm import phrases, ranked_search
+from dyelake.llm import hash_filter, phrases, ranked_search
 from dyelake.llm.hash_filter import HashFilter
 from dyelake.llm.line_dedup import LineRuns, drop_repeated_lines
 
@@ -202,3 +204,19 @@ def test_digest_of_lines(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
     want = sorted(con.execute(sql.OP11).fetchall())
     assert queries.QUERIES["op11_line_dedup"] and want == sorted((d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in lines(rows))
+
+
+@pytest.mark.parametrize("n", [3, 5000, 400_000])
+def test_a_filter_comes_to_the_driver_in_parts(spark, monkeypatch, n):
+    """Its words are those of a plain form, and no row of each word is gathered."""
+    monkeypatch.setattr(hash_filter, "_BLOCK", 1 << 12)
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", lambda self: pytest.fail("a row a word in the driver"))
+    hashes = spark.range(n).select(F.xxhash64("id").alias("h"))
+    made = HashFilter.of(hashes)
+    h = np.array([r["h"] for r in hashes.collect()], np.int64).view(np.uint64)
+    bits = np.zeros(n, np.uint64)
+    for k in (0, 6, 12, 18):
+        bits |= np.uint64(1) << ((h >> np.uint64(k)) & np.uint64(63))
+    want = np.zeros(len(made.words), np.uint64)
+    np.bitwise_or.at(want, ((h >> np.uint64(24)) % np.uint64(len(want))).astype(np.int64), bits)
+    assert (made.words == want).all() and made.has(h).all()

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dyelake.functions.storage import written
+
+#: Rows of a list that one task gives it to; parts of rows without any list.
+PARCEL_ROWS, SPREAD = 16384, 64
+#: Characters of a partition: of all its rows' lists, and of its different ones.
+PARTITION_TEXT, PARTITION_LISTS = 32_000_000, 256_000
 
 def pros_where(pros: DataFrame, which: str) -> DataFrame:
     """Proteins by flag: in_report, with_ptms, decoys or no_decoys."""
@@ -122,17 +128,40 @@ def set_dictionary(rows: DataFrame, key: str, member: str) -> tuple[DataFrame, D
     return keys, own.join(of, key).select("set_id", member)
 
 
+def with_lists(rows: DataFrame, lists: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``lists`` (key, long text), one row a key; rows without a list stay.
+
+    Rows of one list lie together in parcels of about PARCEL_ROWS, and few lists meet in one partition. So no task has all rows of a common list, a list is
+    sent once a parcel, and a file that keeps each different value once (Parquet's dictionary, of 1 MB at most) holds each list once, however many rows have it.
+    """
+    rows, lists = written(rows), written(lists)
+    text = next(c for c in lists.columns if c != key)
+    parts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows")).withColumn("parts", F.ceil(F.col("rows") / PARCEL_ROWS))
+    size = F.length(text).cast("long")
+    sums = lists.join(parts, key).agg(F.sum("parts"), F.sum(size * F.col("rows")), F.sum(size * F.col("parts"))).first()
+    n = max(1, min(sums[0], max(sums[1] // PARTITION_TEXT, sums[2] // PARTITION_LISTS))) if sums[0] else 1
+    parts = parts.drop("rows")
+    copies = lists.join(parts, key).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    dealt = rows.join(parts, key, "left").withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.coalesce("parts", F.lit(SPREAD)))).drop("parts")
+    return dealt.repartition(n, key, "part").join(copies, [key, "part"], "left").drop("part")
+
+
+def flu_sets(report: DataFrame, flus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """set_dictionary() of the proteins that share a fluorosequence: (flustr, set_id, n) and (set_id, pro_id)."""
+    return set_dictionary(report.join(flus, "pep_i"), "flustr", "pro_id")
+
+
 def falses_flus(falses: DataFrame, report: DataFrame, flus: DataFrame) -> tuple[DataFrame, DataFrame]:
     """False calls with the peptide's and the false peptide's protein and fluorosequence, and the set of proteins that share the peptide's, as its id, its number and its sorted members; and the sets (set_id, pro_id).
 
     ``report`` (pep_i, pro_id), ``flus`` (pep_i, flustr). A set is listed once and joined last, so that no other join carries the lists. A fluorosequence without a named protein has nulls for its set.
     """
     wide = report.join(flus, "pep_i")
-    sharing, members = set_dictionary(wide, "flustr", "pro_id")
+    sharing, members = flu_sets(report, flus)
     one = wide.join(sharing.select("flustr", F.col("set_id").alias("flu_set"), F.col("n").alias("n_flu_pros")), "flustr", "left").select("pep_i", "pro_id", "flustr", "flu_set", "n_flu_pros")
     other = wide.select(F.col("pep_i").alias("false_pep_i"), F.col("pro_id").alias("false_pro_id"), F.col("flustr").alias("false_flustr"))
     lists = members.groupBy(F.col("set_id").alias("flu_set")).agg(F.array_join(F.sort_array(F.collect_list("pro_id")), ",").alias("flu_pros"))
-    return falses.join(one, "pep_i").join(other, "false_pep_i", "left").join(lists, "flu_set", "left"), members
+    return with_lists(falses.join(one, "pep_i").join(other, "false_pep_i", "left"), lists, "flu_set"), members
 
 
 def prep_summary(pros: DataFrame, peps: DataFrame, strings: DataFrame, in_report_only: bool = False) -> DataFrame:

@@ -334,9 +334,9 @@ h AS (SELECT flustr, count(*) AS n, sum(CAST(concat('0x', substr(md5(pro_id), 1,
 s AS (SELECT flustr, md5(concat_ws(':', n, a, b)) AS flu_set, n AS n_flu_pros FROM h)"""
 
 
-def _falses_flus(spark, sf_dir):
-    report = view(spark, sf_dir, "peps").join(view(spark, sf_dir, "pros"), "pro_i").select("pep_i", "pro_id")
-    return J.falses_flus(C.false_calls(C.conf_mat(view(spark, sf_dir, "calls")), 3), report, _flus(spark, sf_dir).select("pep_i", "flustr"))
+def _report_flus(spark, sf_dir):
+    """(pep_i, pro_id), (pep_i, flustr)."""
+    return view(spark, sf_dir, "peps").join(view(spark, sf_dir, "pros"), "pro_i").select("pep_i", "pro_id"), _flus(spark, sf_dir).select("pep_i", "flustr")
 
 
 @query(f"""WITH {_FALSE}, {_SHARED}, l AS (SELECT flustr, string_agg(DISTINCT pro_id, ',' ORDER BY pro_id) AS flu_pros FROM w GROUP BY 1)
@@ -344,13 +344,13 @@ SELECT f.pep_i, false_type, false_i, f.false_pep_i, false_weight, w.pro_id, w.fl
 FROM f JOIN w ON w.pep_i = f.pep_i JOIN s USING (flustr) JOIN l USING (flustr) LEFT JOIN w v ON v.pep_i = f.false_pep_i""")
 def falses_flus(spark, sf_dir):
     """J-17: false calls with both peptides' proteins and fluorosequences, and the proteins that share the fluorosequence."""
-    return _falses_flus(spark, sf_dir)[0]
+    return J.falses_flus(C.false_calls(C.conf_mat(view(spark, sf_dir, "calls")), 3), *_report_flus(spark, sf_dir))[0]
 
 
 @query(f"WITH {_SHARED} SELECT DISTINCT flu_set AS set_id, pro_id FROM s JOIN w USING (flustr)")
 def flu_set_members(spark, sf_dir):
     """J-17: the proteins of each set that shares a fluorosequence."""
-    return _falses_flus(spark, sf_dir)[1]
+    return J.flu_sets(*_report_flus(spark, sf_dir))[1]
 
 
 @query(f"""WITH {_FALSE}, p AS (SELECT pep_i, array_to_string({_SITES}, ';') AS pep_ptms FROM peps JOIN pros USING (pro_i))
